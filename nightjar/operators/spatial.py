@@ -71,8 +71,7 @@ def _level_stats(p: DataFrame, level: int) -> DataFrame:
 
 
 def _side(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{prefix}{c}") if c != "vendor" else F.col(c)
-                       for c in df.columns])
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
 def _lon_reach(lat0: Column, lat1: Column) -> Column:
@@ -129,8 +128,9 @@ def proximity_edges(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFr
                 .withColumn("ty", F.col("sy") + F.col("dy")))
     a = _side(offs.drop("reach", "dx", "dy"), "a_")
     b = _side(cells, "b_")
-    pairs = a.join(b, (a["vendor"] == b["vendor"]) & (F.col("a_tx") == F.col("b_sx"))
-                   & (F.col("a_ty") == F.col("b_sy"))).drop(b["vendor"]).drop("a_tx", "a_ty")
+    pairs = (a.join(b, (F.col("a_vendor") == F.col("b_vendor")) & (F.col("a_tx") == F.col("b_sx"))
+                    & (F.col("a_ty") == F.col("b_sy")))
+              .withColumnRenamed("a_vendor", "vendor").drop("b_vendor", "a_tx", "a_ty"))
 
     found: list[DataFrame] = []
     level = 0
@@ -170,10 +170,10 @@ def _point_check(pairs: DataFrame, p: DataFrame, level: int) -> DataFrame:
     pa = _side(pk, "pa_")
     pb = _side(pk, "pb_")
     x = pairs.select(*PAIR_KEYS, "a_sx", "a_sy", "b_sx", "b_sy")
-    x = x.join(pa, (x["vendor"] == pa["vendor"]) & (F.col("a_cell") == F.col("pa_cell"))
-               & (F.col("a_sx") == F.col("pa_sx")) & (F.col("a_sy") == F.col("pa_sy"))).drop(pa["vendor"])
-    x = x.join(pb, (x["vendor"] == pb["vendor"]) & (F.col("b_cell") == F.col("pb_cell"))
-               & (F.col("b_sx") == F.col("pb_sx")) & (F.col("b_sy") == F.col("pb_sy"))).drop(pb["vendor"])
+    x = x.join(pa, (F.col("vendor") == F.col("pa_vendor")) & (F.col("a_cell") == F.col("pa_cell"))
+               & (F.col("a_sx") == F.col("pa_sx")) & (F.col("a_sy") == F.col("pa_sy")))
+    x = x.join(pb, (F.col("vendor") == F.col("pb_vendor")) & (F.col("b_cell") == F.col("pb_cell"))
+               & (F.col("b_sx") == F.col("pb_sx")) & (F.col("b_sy") == F.col("pb_sy")))
     hit = haversine_central_angle("pa_latitude", "pa_longitude", "pb_latitude", "pb_longitude") \
         <= F.lit(CLUSTER_EPS_RAD)
     return x.where(hit).select(*PAIR_KEYS).distinct()
@@ -187,16 +187,15 @@ def _refine(open_pairs: DataFrame, p: DataFrame, level: int) -> DataFrame:
     st = st.withColumn("px", F.shiftright("sx", 1)).withColumn("py", F.shiftright("sy", 1))
     ca = _side(st, "a_")
     cb = _side(st, "b_")
-    o = open_pairs.select("vendor", "a_cell", "b_cell", F.col("a_sx").alias("oa_x"),
-                          F.col("a_sy").alias("oa_y"), F.col("b_sx").alias("ob_x"),
-                          F.col("b_sy").alias("ob_y"))
-    o = o.join(ca, (o["vendor"] == ca["vendor"]) & (o["a_cell"] == ca["a_cell"])
-               & (F.col("oa_x") == F.col("a_px")) & (F.col("oa_y") == F.col("a_py"))) \
-         .drop(ca["vendor"]).drop(ca["a_cell"])
-    o = o.join(cb, (o["vendor"] == cb["vendor"]) & (o["b_cell"] == cb["b_cell"])
-               & (F.col("ob_x") == F.col("b_px")) & (F.col("ob_y") == F.col("b_py"))) \
-         .drop(cb["vendor"]).drop(cb["b_cell"])
-    return o.drop("oa_x", "oa_y", "ob_x", "ob_y", "a_px", "a_py", "b_px", "b_py")
+    o = open_pairs.select("vendor", F.col("a_cell").alias("oa_cell"), F.col("b_cell").alias("ob_cell"),
+                          F.col("a_sx").alias("oa_x"), F.col("a_sy").alias("oa_y"),
+                          F.col("b_sx").alias("ob_x"), F.col("b_sy").alias("ob_y"))
+    o = o.join(ca, (F.col("vendor") == F.col("a_vendor")) & (F.col("oa_cell") == F.col("a_cell"))
+               & (F.col("oa_x") == F.col("a_px")) & (F.col("oa_y") == F.col("a_py")))
+    o = o.join(cb, (F.col("vendor") == F.col("b_vendor")) & (F.col("ob_cell") == F.col("b_cell"))
+               & (F.col("ob_x") == F.col("b_px")) & (F.col("ob_y") == F.col("b_py")))
+    return o.drop("oa_cell", "ob_cell", "oa_x", "oa_y", "ob_x", "ob_y", "a_px", "a_py", "b_px", "b_py",
+                  "a_vendor", "b_vendor")
 
 
 def connected_components(edges: DataFrame, keys=("vendor",), src: str = "a_cell",

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Day partitions such as '01' must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
