@@ -85,7 +85,13 @@ def coord_text(lat, lon, decimals: int = 5, sep: str = ", ") -> Column:
 
 def strip_chars(x, chars: str) -> Column:
     """Remove any of ``chars`` from both ends (Python ``str.strip(chars)``)."""
-    return F.expr("trim(BOTH {} FROM {})".format(_sql_str(chars), _sql_ref(x)))
+    return F.btrim(col_(x), F.lit(chars))
+
+
+def normalize_address(x) -> Column:
+    """``str.strip(', ').strip()``: drop commas/blanks, then whitespace, at
+    both ends. Used for both the geocode key and the lookup."""
+    return F.regexp_replace(strip_chars(x, ", "), r"^\s+|\s+$", "")
 
 
 def _sql_str(s: str) -> str:

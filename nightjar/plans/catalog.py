@@ -155,3 +155,85 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charging_clusters": q_charging_clusters,
     "charging_places": q_charging_places,
 }
+
+
+# --- address side ------------------------------------------------------------
+
+from nightjar.operators import address as ad  # noqa: E402
+
+DATE_COLUMNS = ("dob", "soft_check_date", "loan_approval_date", "disbursal_date", "downpayment_date",
+                "pre_emi_date", "emi_start_date")
+
+
+def profile(spark, sf_dir) -> DataFrame:
+    return ad.loan_profile(proxy.loan_tables(spark, sf_dir))
+
+
+def pairs(spark, sf_dir) -> DataFrame:
+    return ad.loan_vehicle_pairs(proxy.loan_vehicle_pairs_source(spark, sf_dir))
+
+
+def worklist(spark, sf_dir) -> DataFrame:
+    return ad.address_worklist(proxy.address_master_source(spark, sf_dir), pairs(spark, sf_dir))
+
+
+def composed(spark, sf_dir) -> DataFrame:
+    return ad.address_compose(worklist(spark, sf_dir), profile(spark, sf_dir))
+
+
+def geocoded(spark, sf_dir) -> DataFrame:
+    return ad.geocode_lookup(composed(spark, sf_dir), proxy.geocode_reference(spark, sf_dir))
+
+
+def merged_master(spark, sf_dir) -> DataFrame:
+    return ad.address_master_merge(proxy.address_master_source(spark, sf_dir), geocoded(spark, sf_dir),
+                                   fx.BATCH_SEQ)
+
+
+def q_loan_vehicle_pairs(spark, sf_dir):
+    return pairs(spark, sf_dir)
+
+
+def q_loan_role_address(spark, sf_dir):
+    return ad.role_address(proxy.loan_tables(spark, sf_dir), "APPLICANT", "OFFICE", with_stability=True)
+
+
+def q_loan_profile(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    return p.select(*[F.col(c).cast("string").alias(c) if c in DATE_COLUMNS else F.col(c) for c in p.columns])
+
+
+def q_address_worklist(spark, sf_dir):
+    return worklist(spark, sf_dir)
+
+
+def q_address_compose(spark, sf_dir):
+    return composed(spark, sf_dir)
+
+
+def q_geocode_lookup(spark, sf_dir):
+    return geocoded(spark, sf_dir)
+
+
+def q_address_master_merge(spark, sf_dir):
+    return merged_master(spark, sf_dir)
+
+
+def q_master_dedup(spark, sf_dir):
+    m = merged_master(spark, sf_dir)
+    dup = m.select("vin", F.concat(F.col("loan_no"), F.lit("-B")).alias("loan_no"), "current_lat", "current_lng",
+                   "permanent_lat", "permanent_lng",
+                   (F.col("ingest_seq") + F.lit(fx.DUPLICATE_SEQ_OFFSET)).alias("ingest_seq"))
+    return ad.master_dedup(m.unionByName(dup))
+
+
+QUERIES.update({
+    "loan_vehicle_pairs": q_loan_vehicle_pairs,
+    "loan_role_address": q_loan_role_address,
+    "loan_profile": q_loan_profile,
+    "address_worklist": q_address_worklist,
+    "address_compose": q_address_compose,
+    "geocode_lookup": q_geocode_lookup,
+    "address_master_merge": q_address_master_merge,
+    "master_dedup": q_master_dedup,
+})

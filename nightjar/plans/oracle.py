@@ -316,3 +316,253 @@ ORACLE: dict[str, str] = {
     "charging_clusters": q_charging_clusters(),
     "charging_places": q_charging_places(),
 }
+
+
+# --- address side ------------------------------------------------------------
+
+LOAN = """ld AS (
+  SELECT 'LD' || o_orderkey AS uuid, o_orderkey AS lms_id, 'VB' || o_orderkey AS vehicle_booking_id,
+         'LP' || (o_orderkey % 5) AS loan_provider, 'L' || o_custkey AS loan_reference_id,
+         CASE o_orderstatus WHEN 'F' THEN 'DISBURSED' WHEN 'O' THEN 'APPROVED' ELSE 'PENDING' END AS loan_status,
+         CASE WHEN o_custkey % 2 = 0 THEN 'INDIVIDUAL' ELSE 'PROPRIETOR' END AS loan_applicant_type,
+         o_orderpriority AS assigned_to, CAST(o_orderkey % 3 AS INTEGER) AS co_applicant_added,
+         o_totalprice AS on_road_price, o_totalprice * 0.8::DOUBLE AS loan_amount,
+         9.0::DOUBLE + CAST(o_orderkey % 7 AS DOUBLE) AS interest_rate,
+         CAST(12 * (1 + o_orderkey % 4) AS INTEGER) AS duration_in_months,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS decision_date,
+         o_orderdate + to_hours(48) AS loan_start_date, o_orderdate AS dp_date
+  FROM orders),
+lo AS (SELECT 'R' || o_orderkey AS ref_id FROM orders),
+vb AS (
+  SELECT 'VB' || l_orderkey AS uuid, 'R' || l_orderkey AS ref_id, 'VD' || l_orderkey AS vehicle_details_uuid,
+         'P' || min(l_partkey) AS vehicle_uuid, 'S' || min(l_suppkey) AS dealership_uuid,
+         CASE WHEN l_orderkey % 2 = 0 THEN 'DEALER' ELSE 'DIRECT' END AS source, 'KA' || l_orderkey AS vehicle_number
+  FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey),
+vd AS (SELECT 'VD' || o_orderkey AS uuid, CAST(o_custkey AS VARCHAR) AS vin FROM orders),
+oc AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+cp AS (
+  SELECT 'CP' || o_orderkey AS uuid, 'LD' || o_orderkey AS loan_details_id, 'U' || c_custkey AS user_profile_uuid,
+         CASE c_custkey % 4 WHEN 1 THEN 'GURANTOR' WHEN 2 THEN 'CO_APPLICANT' ELSE 'APPLICANT' END AS profile_type,
+         CASE WHEN c_custkey % 5 <> 0 THEN 1 ELSE 0 END AS is_active,
+         CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS is_ntc,
+         CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE
+           '{"segment": "' || c_mktsegment || '", "displayName": "' || c_name || '", "scheme": "S' || (c_custkey % 4)
+           || '", "abbValue": ' || (c_custkey % 90) || '}' END AS details,
+         c_acctbal AS monthly_income, CAST(c_custkey % 13 AS INTEGER) AS business_stability,
+         CAST(c_custkey % 17 AS INTEGER) AS residence_stability
+  FROM oc),
+cr AS (
+  SELECT 'CP' || o_orderkey AS credit_profile_id,
+         CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE '{"score": ' || (600 + o_custkey % 300) || '}' END AS extra,
+         o_orderdate + to_hours(CAST(o_orderkey % 48 AS INTEGER)) AS created_at
+  FROM orders),
+eu AS (
+  SELECT 'U' || c_custkey AS uuid, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS name,
+         CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         '{"occupation": "' || c_mktsegment || '"}' AS profile_info, 'COMMERCIAL' AS use_case,
+         DATE '1970-01-01' + CAST(c_custkey % 9000 AS INTEGER) AS dob
+  FROM customer),
+lp AS (SELECT 'LP' || r_regionkey AS uuid, 'NBFC ' || r_name AS name FROM region),
+veh AS (
+  SELECT 'P' || p_partkey AS uuid, p_name AS name, p_brand AS model, 'O' || p_brand AS oem_uuid,
+         CASE p_size % 3 WHEN 0 THEN '2W' WHEN 1 THEN '3W' ELSE '4W' END AS vehicle_category_by_wheels,
+         p_type AS vehicle_type, p_brand || '-' || p_size AS variant, CAST(p_size % 2 AS INTEGER) AS is_active
+  FROM part),
+oem AS (SELECT DISTINCT 'O' || p_brand AS uuid, 'OEM ' || p_brand AS name FROM part),
+ds AS (SELECT 'S' || s_suppkey AS uuid, s_name AS full_name, 'C' || s_nationkey AS city_uuid FROM supplier),
+ct AS (SELECT 'C' || n_nationkey AS uuid, n_name AS name, 'ST' || n_regionkey AS state_uuid FROM nation),
+st AS (SELECT 'ST' || r_regionkey AS uuid, r_name AS name FROM region),
+dd AS (
+  SELECT 'LD' || o_orderkey AS loan_details_uuid, o_orderdate + INTERVAL 10 DAY AS pre_emi_date,
+         o_orderdate + INTERVAL 40 DAY AS emi_start_date, o_totalprice * 0.2::DOUBLE AS down_payment,
+         o_totalprice * 0.01::DOUBLE AS pre_emi_amount, o_totalprice * 0.05::DOUBLE AS emi_amount,
+         'UTR' || o_orderkey AS utr_reference
+  FROM orders WHERE o_orderstatus = 'F'),
+mp AS (
+  SELECT 'LD' || o_orderkey AS loan_details_uuid, 'U' || c_custkey AS user_profile_uuid,
+         'CURRENT_RESIDENCE' AS address_type, 'AC' || c_custkey AS address_uuid FROM oc
+  UNION ALL
+  SELECT 'LD' || o_orderkey, 'U' || c_custkey,
+         CASE WHEN c_custkey % 3 = 1 THEN 'OFFICE' ELSE 'PERMANENT_RESIDENCE' END, 'AP' || c_custkey FROM oc
+  UNION ALL
+  SELECT 'LD' || o_orderkey, 'U' || c_custkey, 'CURRENT_RESIDENCE', 'AX' || c_custkey FROM oc WHERE c_custkey % 10 = 9),
+cn AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+addr AS (
+  SELECT t.tag || c_custkey AS uuid, t.pre || c_name AS address_line_1, 'Block ' || (c_custkey % 50) AS address_line_2,
+         n_name AS city, r_name AS state,
+         CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(560000 + c_custkey % 1000 AS VARCHAR) END AS pincode,
+         CASE WHEN c_custkey % 2 = 0 THEN 'OWNED' ELSE 'RENTED' END AS house_ownership,
+         DATE '2019-01-31' + CAST(c_custkey % 400 AS INTEGER) AS residing_since,
+         DATE '2024-01-31' + CAST(c_custkey % 30 AS INTEGER) AS marked_at
+  FROM cn, (VALUES ('AC', ''), ('AP', 'Perm '), ('AX', 'Alt ')) t(tag, pre))"""
+
+
+def role_sql(name: str, ptype: str, atype: str, cols: dict[str, str], stability: str | None = None) -> str:
+    sel = ", ".join(f"A.{k} AS {v}" for k, v in cols.items())
+    if stability:
+        sel += f", COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.business_stability) AS {stability}"
+    return f"""{name} AS (
+  SELECT l.lms_id AS lms_id, {sel}
+  FROM ld l
+  LEFT JOIN cp CP ON l.uuid = CP.loan_details_id AND CP.is_active = 1 AND CP.profile_type = '{ptype}'
+  LEFT JOIN mp M ON M.loan_details_uuid = l.uuid AND M.address_type = '{atype}' AND M.user_profile_uuid = CP.user_profile_uuid
+  LEFT JOIN addr A ON A.uuid = M.address_uuid)"""
+
+
+ROLES = ",\n".join([
+    role_sql("r_b", "APPLICANT", "OFFICE", {"address_line_1": "bussiness_address_1", "address_line_2": "bussiness_address_2",
+                                             "city": "bussiness_address_city", "state": "business_address_state",
+                                             "pincode": "business_pincode"}, "business_stability"),
+    role_sql("r_p", "APPLICANT", "PERMANENT_RESIDENCE", {"address_line_1": "permanent_address_1",
+                                                         "address_line_2": "permanent_address_2",
+                                                         "city": "peramanent_address_city",
+                                                         "state": "peramanent_address_state", "pincode": "permanant_pincode"}),
+    role_sql("r_g", "GURANTOR", "CURRENT_RESIDENCE", {"address_line_1": "gurantor_address_1",
+                                                      "address_line_2": "gurantor_address_2", "pincode": "gurantor_pincode"}),
+    role_sql("r_c", "CO_APPLICANT", "CURRENT_RESIDENCE", {"address_line_1": "co_app_address_1",
+                                                          "address_line_2": "co_app_address_2", "pincode": "co_app_pincode"}),
+])
+
+
+def ist(c: str) -> str:
+    return f"CAST(CAST({c} + INTERVAL 330 MINUTE AS DATE) AS VARCHAR)"
+
+
+PROFILE = f"""profile AS (
+  SELECT l.lms_id, o.ref_id AS order_id,
+         COALESCE(EU.name, json_extract_string(COALESCE(CP.details, '{{}}'), '$.displayName')) AS customer_name,
+         EU.gender, l.assigned_to,
+         CASE WHEN CP.is_ntc = 1 THEN 'NTC' ELSE json_extract_string(COALESCE(CR.extra, '{{}}'), '$.score') END AS bureau,
+         json_extract_string(COALESCE(CP.details, '{{}}'), '$.abbValue') AS abb_value,
+         json_extract_string(COALESCE(CP.details, '{{}}'), '$.abcValue') AS abc_value,
+         l.loan_applicant_type AS constitution,
+         json_extract_string(COALESCE(CP.details, '{{}}'), '$.scheme') AS scheme,
+         json_extract_string(COALESCE(CP.details, '{{}}'), '$.segment') AS customer_segment,
+         json_extract_string(COALESCE(EU.profile_info, '{{}}'), '$.occupation') AS occupation,
+         EU.use_case AS use_case_1, CP.monthly_income,
+         CASE WHEN l.co_applicant_added = 1 THEN 'Available' WHEN l.co_applicant_added <> 0 THEN 'NA'
+              ELSE 'Unknown' END AS co_applicant_availability,
+         CAST(EU.dob AS VARCHAR) AS dob,
+         COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.residence_stability) AS residence_stability,
+         r_b.business_stability, b.source, l.loan_reference_id AS loan_no, l.loan_status, LP.name AS nbfc,
+         A.house_ownership, A.address_line_1 AS current_address1, A.address_line_2 AS current_address2,
+         A.city AS current_city, A.state AS current_state, A.pincode AS curr_pincode,
+         r_p.permanent_address_1, r_p.permanent_address_2, r_p.peramanent_address_city,
+         r_p.peramanent_address_state, r_p.permanant_pincode,
+         r_b.bussiness_address_1, r_b.bussiness_address_2, r_b.bussiness_address_city, r_b.business_address_state,
+         r_c.co_app_address_1, r_c.co_app_address_2, r_c.co_app_pincode,
+         r_g.gurantor_address_1, r_g.gurantor_address_2, r_g.gurantor_pincode,
+         OE.name AS oem_name, V.name AS vehicle_name, V.model AS vehicle_model, V.vehicle_category_by_wheels,
+         V.vehicle_type, V.variant AS vehicle_variant, V.is_active AS vehicle_active_status, b.vehicle_number,
+         VD.vin, DS.full_name AS dealership_name, l.on_road_price,
+         {ist('CR.created_at')} AS soft_check_date, {ist('l.decision_date')} AS loan_approval_date,
+         {ist('l.loan_start_date')} AS disbursal_date, {ist('l.dp_date')} AS downpayment_date,
+         {ist('DD.pre_emi_date')} AS pre_emi_date, {ist('DD.emi_start_date')} AS emi_start_date,
+         DD.down_payment AS downpayment, DD.pre_emi_amount, DD.emi_amount, DD.utr_reference,
+         l.loan_amount, l.duration_in_months AS tenure, l.interest_rate AS rate_of_interest,
+         CT.name AS dealership_city_name, ST.name AS dealers_state_name
+  FROM lo o
+  INNER JOIN vb b ON o.ref_id = b.ref_id
+  RIGHT JOIN ld l ON l.vehicle_booking_id = b.uuid
+  LEFT JOIN vd VD ON VD.uuid = b.vehicle_details_uuid
+  LEFT JOIN cp CP ON l.uuid = CP.loan_details_id AND CP.is_active = 1 AND CP.profile_type = 'APPLICANT'
+  LEFT JOIN cr CR ON CP.uuid = CR.credit_profile_id
+  LEFT JOIN eu EU ON EU.uuid = CP.user_profile_uuid
+  LEFT JOIN lp LP ON LP.uuid = l.loan_provider
+  LEFT JOIN veh V ON V.uuid = b.vehicle_uuid
+  LEFT JOIN oem OE ON OE.uuid = V.oem_uuid
+  LEFT JOIN ds DS ON DS.uuid = b.dealership_uuid
+  LEFT JOIN dd DD ON l.uuid = DD.loan_details_uuid
+  LEFT JOIN ct CT ON CT.uuid = DS.city_uuid
+  LEFT JOIN st ST ON CT.state_uuid = ST.uuid
+  LEFT JOIN mp M ON M.loan_details_uuid = l.uuid AND M.address_type = 'CURRENT_RESIDENCE'
+                AND M.user_profile_uuid = CP.user_profile_uuid
+  LEFT JOIN addr A ON A.uuid = M.address_uuid
+  LEFT JOIN r_b ON r_b.lms_id = l.lms_id
+  LEFT JOIN r_p ON r_p.lms_id = l.lms_id
+  LEFT JOIN r_g ON r_g.lms_id = l.lms_id
+  LEFT JOIN r_c ON r_c.lms_id = l.lms_id
+  WHERE l.loan_status IN ('DISBURSED', 'APPROVED'))"""
+
+PAIRS = """sheet AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'L' || o_custkey END AS loan_no,
+         CAST(o_custkey AS VARCHAR) AS chasisno FROM orders),
+pairs AS (SELECT loan_no, chasisno AS vin FROM sheet WHERE loan_no IS NOT NULL AND chasisno IS NOT NULL)"""
+
+MASTER = """master AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS vin, 'L' || c_custkey AS loan_no,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 8.5::DOUBLE + CAST(c_nationkey % 25 AS DOUBLE) * 1.1::DOUBLE END AS current_lat,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 68.5::DOUBLE + CAST(c_nationkey % 25 AS DOUBLE) * 1.2::DOUBLE END AS current_lng,
+         8.51::DOUBLE + CAST(c_nationkey % 25 AS DOUBLE) * 1.1::DOUBLE AS permanent_lat,
+         68.51::DOUBLE + CAST(c_nationkey % 25 AS DOUBLE) * 1.2::DOUBLE AS permanent_lng,
+         c_custkey AS ingest_seq
+  FROM customer WHERE c_custkey % 10 <> 3)"""
+
+INCOMPLETE = "(current_lat IS NULL OR current_lng IS NULL OR permanent_lat IS NULL OR permanent_lng IS NULL)"
+
+WORK = f"""work AS (
+  SELECT loan_no, vin FROM master WHERE {INCOMPLETE}
+  UNION
+  SELECT loan_no, vin FROM pairs p WHERE NOT EXISTS (
+    SELECT 1 FROM master m WHERE m.loan_no = p.loan_no AND m.vin = p.vin))"""
+
+COMPOSE = """composed AS (
+  SELECT w.loan_no, w.vin,
+         COALESCE(p.current_address1, '') || ', ' || COALESCE(p.current_city, '') || ', '
+           || COALESCE(p.current_state, '') || ' ' || COALESCE(p.curr_pincode, '') AS current_full_address,
+         COALESCE(p.permanent_address_1, '') || ', ' || COALESCE(p.peramanent_address_city, '') || ', '
+           || COALESCE(p.peramanent_address_state, '') || ' ' || COALESCE(p.permanant_pincode, '') AS permanent_full_address
+  FROM work w LEFT JOIN profile p ON w.loan_no = p.loan_no AND w.vin = p.vin)"""
+
+
+def norm_addr(x: str) -> str:
+    return f"regexp_replace(trim({x}, ', '), '^\\s+|\\s+$', '', 'g')"
+
+
+GEO = f"""georef AS (
+  SELECT DISTINCT {norm_addr("t.pre || c_name || ', ' || n_name || ', ' || r_name || ' ' || CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CAST(560000 + c_custkey % 1000 AS VARCHAR) END")} AS address,
+         CASE WHEN n_regionkey = 4 THEN NULL ELSE 12.0::DOUBLE + CAST(n_nationkey AS DOUBLE) * 0.5::DOUBLE END AS lat,
+         CASE WHEN n_regionkey = 4 THEN NULL ELSE 75.0::DOUBLE + CAST(n_nationkey AS DOUBLE) * 0.5::DOUBLE END AS lng
+  FROM cn, (VALUES ('AC', ''), ('AP', 'Perm '), ('AX', 'Alt ')) t(tag, pre)),
+keys AS (
+  SELECT DISTINCT a AS address FROM (
+    SELECT {norm_addr('current_full_address')} AS a FROM composed
+    UNION ALL SELECT {norm_addr('permanent_full_address')} FROM composed) WHERE a <> ''),
+known AS (SELECT address, min({{'lat': lat, 'lng': lng}}) AS c FROM georef
+          WHERE lat IS NOT NULL AND lng IS NOT NULL GROUP BY address),
+geo AS (SELECT k.address, n.c.lat AS lat, n.c.lng AS lng FROM keys k LEFT JOIN known n USING (address)),
+geocoded AS (
+  SELECT c.loan_no, c.vin, g1.lat AS current_lat, g1.lng AS current_lng, g2.lat AS permanent_lat, g2.lng AS permanent_lng
+  FROM composed c
+  LEFT JOIN geo g1 ON g1.address = {norm_addr('c.current_full_address')}
+  LEFT JOIN geo g2 ON g2.address = {norm_addr('c.permanent_full_address')})"""
+
+MERGED = f"""merged AS (
+  SELECT vin, loan_no, current_lat, current_lng, permanent_lat, permanent_lng, ingest_seq
+  FROM master WHERE NOT {INCOMPLETE}
+  UNION ALL
+  SELECT vin, loan_no, current_lat, current_lng, permanent_lat, permanent_lng, CAST({fx.BATCH_SEQ} AS BIGINT)
+  FROM geocoded)"""
+
+ADDRESS_CTES = (LOAN, ROLES, PROFILE, PAIRS, MASTER, WORK, COMPOSE, GEO, MERGED)
+
+DEDUP = f"""dedup AS (
+  SELECT vin, loan_no, current_lat, current_lng, permanent_lat, permanent_lng, ingest_seq FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY vin ORDER BY ingest_seq, loan_no, current_lat, current_lng,
+                                 permanent_lat, permanent_lng) AS rn
+    FROM (SELECT * FROM merged UNION ALL
+          SELECT vin, loan_no || '-B', current_lat, current_lng, permanent_lat, permanent_lng,
+                 ingest_seq + {fx.DUPLICATE_SEQ_OFFSET} FROM merged)) WHERE rn = 1)"""
+
+ORACLE.update({
+    "loan_vehicle_pairs": with_(PAIRS) + "SELECT * FROM pairs",
+    "loan_role_address": "WITH " + LOAN + ",\n" + role_sql(
+        "r", "APPLICANT", "OFFICE", {"address_line_1": "line_1", "address_line_2": "line_2", "city": "city",
+                                     "state": "state", "pincode": "pincode"}, "business_stability") + "\nSELECT * FROM r",
+    "loan_profile": "WITH " + LOAN + ",\n" + ROLES + ",\n" + PROFILE + "\nSELECT * FROM profile",
+    "address_worklist": "WITH " + ",\n".join((PAIRS, MASTER, WORK)) + "\nSELECT * FROM work",
+    "address_compose": "WITH " + ",\n".join(ADDRESS_CTES[:7]) + "\nSELECT * FROM composed",
+    "geocode_lookup": "WITH " + ",\n".join(ADDRESS_CTES[:8]) + "\nSELECT * FROM geocoded",
+    "address_master_merge": "WITH " + ",\n".join(ADDRESS_CTES) + "\nSELECT * FROM merged",
+    "master_dedup": "WITH " + ",\n".join(ADDRESS_CTES + (DEDUP,)) + "\nSELECT * FROM dedup",
+})
