@@ -77,6 +77,25 @@ def round_half_even(x, decimals: int) -> Column:
     return F.rint(col_(x) * F.lit(scale)) / F.lit(scale)
 
 
+CENTROID_TYPE = "decimal(22,10)"
+
+
+def exact_mean(c) -> Column:
+    """Mean over DECIMAL(22,10) values: exact sums, so the result does not
+    depend on the order rows are summed in (float AVG does, and then so does
+    a half-even rounding of an exact tie such as 12.000025)."""
+    return F.avg(col_(c).cast(CENTROID_TYPE))
+
+
+def decimal_text(x, decimals: int = 5) -> Column:
+    """Half-even rounding of a DECIMAL, printed as the double it denotes."""
+    return F.bround(col_(x), decimals).cast("double").cast("string")
+
+
+def coord_text_exact(lat, lon, decimals: int = 5, sep: str = ", ") -> Column:
+    return F.concat(decimal_text(lat, decimals), F.lit(sep), decimal_text(lon, decimals))
+
+
 def coord_text(lat, lon, decimals: int = 5, sep: str = ", ") -> Column:
     """``'lat, lon'`` text with both parts rounded half-even."""
     return F.concat(round_half_even(lat, decimals).cast("string"), F.lit(sep),
@@ -104,19 +123,21 @@ def _sql_ref(x) -> str:
     raise TypeError("strip_chars needs a column name")
 
 
+def _part(text, part: int) -> Column:
+    return F.trim(F.try_element_at(F.split(F.trim(col_(text)), ","), F.lit(part))).try_cast("double")
+
+
 def parse_pair(text, part: int) -> Column:
     """Numeric part ``part`` (1-based) of ``'a,b'`` text; NULL if unparsable."""
-    return F.expr("try_cast(trim(split_part({}, ',', {})) AS DOUBLE)".format(_sql_ref(text), part))
+    return _part(text, part)
 
 
 def maps_link(text) -> Column:
     """Map link for ``'lat,lng'`` text: '' unless there are exactly two
     numeric parts."""
     t = F.trim(col_(text))
-    parts = F.split(t, ",")
-    lat = F.expr("try_cast(trim(element_at(split(trim({0}), ','), 1)) AS DOUBLE)".format(_sql_ref(text)))
-    lng = F.expr("try_cast(trim(element_at(split(trim({0}), ','), 2)) AS DOUBLE)".format(_sql_ref(text)))
-    ok = (t.isNotNull() & (t != "") & (F.size(parts) == 2) & lat.isNotNull() & lng.isNotNull())
+    lat, lng = _part(text, 1), _part(text, 2)
+    ok = t.isNotNull() & (t != "") & (F.size(F.split(t, ",")) == 2) & lat.isNotNull() & lng.isNotNull()
     return F.when(ok, F.concat(F.lit(MAPS_LINK_PREFIX), lat.cast("string"), F.lit(","),
                                lng.cast("string"))).otherwise(F.lit(""))
 

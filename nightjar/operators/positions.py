@@ -8,8 +8,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightjar.functions.exprs import (coord_text, in_bbox, round_half_even, utc_date,
-                                      utc_hour)
+from nightjar.functions.exprs import (coord_text, exact_mean, in_bbox, round_half_even,
+                                      utc_date, utc_hour)
 from nightjar.operators.sequence import bucketed_lag, with_bucket
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter, spec_column
 
@@ -119,8 +119,8 @@ def night_cells(night_state: DataFrame, min_nights: int = MIN_NIGHTS_PRESENT,
     pts = with_event_date(night_state).withColumn("grid_cell", grid_cell())
     cells = (pts.groupBy("vendor", "vin", "grid_cell")
                 .agg(F.countDistinct("event_date").alias("night_count"),
-                     F.avg("latitude").alias("latitude"),
-                     F.avg("longitude").alias("longitude"))
+                     exact_mean("latitude").alias("latitude"),
+                     exact_mean("longitude").alias("longitude"))
                 .where(F.col("night_count") >= min_nights))
     w = Window.partitionBy("vendor", "vin").orderBy(F.col("night_count").desc(), F.col("grid_cell"))
     return (cells.withColumn("rank", F.row_number().over(w))

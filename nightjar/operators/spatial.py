@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightjar.functions.exprs import CLUSTER_EPS_RAD, haversine_central_angle
+from nightjar.functions.exprs import CLUSTER_EPS_RAD, exact_mean, haversine_central_angle
 from nightjar.operators.lineage import materialize
 
 CELL_DEG = 0.000635          # 70.6 m edge: diagonal 99.86 m < 100 m
@@ -137,21 +137,21 @@ def proximity_edges(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFr
     while True:
         pairs = materialize(_status(pairs), f"pairs{level}")
         sure = pairs.where(F.col("status") == "edge").select(*PAIR_KEYS)
-        open_ = pairs.where(F.col("status") == "open").join(
-            _union(found + [sure]).distinct(), PAIR_KEYS, "left_anti")
+        open_ = pairs.where(F.col("status") == "open")
+        if found:
+            open_ = open_.join(_union(found).distinct(), PAIR_KEYS, "left_anti")
         small = open_.where(F.col("a_n") * F.col("b_n") <= F.lit(pair_budget))
         big = open_.where(F.col("a_n") * F.col("b_n") > F.lit(pair_budget))
         checked = [sure, _point_check(small, p, level)]
-        if level >= MAX_DEPTH:
+        last = level >= MAX_DEPTH
+        if last:
             # Unreachable with distinct double coordinates; decide exactly.
             checked.append(_point_check(big, p, level))
         found.append(materialize(_union(checked).distinct(), f"edges{level}"))
-        if level >= MAX_DEPTH:
+        if last or big.isEmpty():
             break
         big = materialize(big.join(found[-1], PAIR_KEYS, "left_anti")
                              .select(*PAIR_KEYS, "a_sx", "a_sy", "b_sx", "b_sy"), f"open{level}")
-        if big.isEmpty():
-            break
         level += 1
         pairs = _refine(big, p, level)
     return _union(found).distinct()
@@ -219,19 +219,29 @@ def connected_components(edges: DataFrame, keys=("vendor",), src: str = "a_cell"
         linked = (large.join(ms, keys + ["b"]).where(F.col("a") != F.col("m"))
                        .select(*keys, F.col("m").alias("a"), F.col("a").alias("b")))
         small = linked.unionByName(ms.select(*keys, F.col("m").alias("a"), "b")).distinct()
-        small = materialize(small, f"cc{rnd + 1}")
-        changed = not (small.exceptAll(e).isEmpty() and e.exceptAll(small).isEmpty())
-        e = small
-        if not changed:
+        e = materialize(small, f"cc{rnd + 1}")
+        if _is_star_forest(e, keys):
             break
     return (e.select(*keys, F.col("b").alias("node"), F.col("a").alias("label"))
              .unionByName(e.select(*keys, F.col("a").alias("node"), F.col("a").alias("label")))
              .distinct())
 
 
+def _is_star_forest(e: DataFrame, keys: list[str]) -> bool:
+    """Converged when every edge (a, b), a < b, hangs a leaf b under a root
+    a: no node is both a centre and a leaf, and no leaf has two centres.
+    Then every component is one star centred on its smallest node."""
+    leaves = e.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("k"))
+    two_centres = leaves.where(F.col("k") > 1).select(*keys, F.col("b").alias("node"))
+    chained = (e.select(*keys, F.col("a").alias("node")).distinct()
+                .join(leaves.select(*keys, F.col("b").alias("node")), keys + ["node"], "left_semi"))
+    return two_centres.unionByName(chained).isEmpty()
+
+
 def cluster_labels(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """(vendor, latitude, longitude, cluster) for distinct points; cluster is
     the smallest cell id of the point's component."""
+    points = materialize(points.select("vendor", "latitude", "longitude").distinct(), "points")
     snapped = snap_points(points).select("vendor", "latitude", "longitude", "cell")
     edges = proximity_edges(points, pair_budget)
     comp = connected_components(edges)
@@ -243,6 +253,8 @@ def cluster_labels(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFra
 def charging_clusters(sessions: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """Sessions with their cluster id and the cluster's anchor: the member
     with the earliest (session_start_time, vin) over all vehicles."""
+    sessions = materialize(sessions.select("vendor", "vin", "session_start_time", "latitude", "longitude"),
+                           "sessions")
     labels = cluster_labels(sessions, pair_budget)
     s = sessions.join(labels, ["vendor", "latitude", "longitude"], "left")
     anchor = (s.groupBy("vendor", "cluster")
@@ -259,8 +271,8 @@ def charging_places(clustered: DataFrame, k: int = 3) -> DataFrame:
     """Per vehicle and cluster: centroid and visit count; top ``k`` per
     vehicle by visits, ties by the earliest visit."""
     places = (clustered.groupBy("vendor", "vin", "cluster")
-                       .agg(F.avg("latitude").alias("latitude"),
-                            F.avg("longitude").alias("longitude"),
+                       .agg(exact_mean("latitude").alias("latitude"),
+                            exact_mean("longitude").alias("longitude"),
                             F.count(F.lit(1)).alias("visits"),
                             F.min("session_start_time").alias("first_visit")))
     w = Window.partitionBy("vendor", "vin").orderBy(F.col("visits").desc(), F.col("first_visit"),

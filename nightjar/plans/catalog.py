@@ -8,7 +8,6 @@ two engines summing in different orders compare equal.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +31,11 @@ def _r(c: str) -> F.Column:
     return round_half_even(c, OUT_DECIMALS).alias(c)
 
 
+def _rd(c: str) -> F.Column:
+    """Exact decimal centroid -> half-even at 8 decimals -> double."""
+    return F.bround(F.col(c), OUT_DECIMALS).cast("double").alias(c)
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proxy.telemetry_proxy(proxy.read_table(spark, sf_dir, "events"))
 
@@ -89,7 +93,7 @@ def q_last_night(spark, sf_dir):
 
 def q_night_cells(spark, sf_dir):
     c = pos.night_cells(night_state(spark, sf_dir))
-    return c.select("vendor", "vin", "grid_cell", "night_count", _r("latitude"), _r("longitude"), "rank")
+    return c.select("vendor", "vin", "grid_cell", "night_count", _rd("latitude"), _rd("longitude"), "rank")
 
 
 def q_night_state_merge(spark, sf_dir):
@@ -134,7 +138,7 @@ def q_charging_clusters(spark, sf_dir):
 
 def q_charging_places(spark, sf_dir):
     p = sp.charging_places(sp.charging_clusters(charging_state(spark, sf_dir)))
-    return p.select("vendor", "vin", "cluster", _r("latitude"), _r("longitude"), "visits",
+    return p.select("vendor", "vin", "cluster", _rd("latitude"), _rd("longitude"), "visits",
                     "first_visit", "rank")
 
 
@@ -237,3 +241,49 @@ QUERIES.update({
     "address_master_merge": q_address_master_merge,
     "master_dedup": q_master_dedup,
 })
+
+
+# --- report side ---------------------------------------------------------------
+
+from nightjar.operators import report as rp  # noqa: E402
+
+
+def vehicles_at(spark, sf_dir, as_of) -> DataFrame:
+    """Per-vin telemetry results of a first run at ``as_of``."""
+    tel = telemetry(spark, sf_dir)
+    nstate = st.night_retention(pos.night_points(pos.scan_window(tel, as_of, fx.LOOKBACK), SPECS), as_of, 60)
+    last = pos.last_night(nstate, as_of)
+    nights = pivot_top3(pos.night_cells(nstate), "night_location")
+    cstate = st.charging_retention(sessions(spark, sf_dir, as_of, fx.LOOKBACK), as_of, 60)
+    places = sp.charging_places(sp.charging_clusters(cstate))
+    charging = pivot_top3(places, "charging_location", include_visits=True)
+    return rp.vendor_vehicle(last, nights, charging, SPECS)
+
+
+def report_at(spark, sf_dir, as_of) -> DataFrame:
+    master = ad.master_dedup(merged_master(spark, sf_dir))
+    return rp.vehicle_report(master, vehicles_at(spark, sf_dir, as_of))
+
+
+def q_vendor_vehicle(spark, sf_dir):
+    return vehicles_at(spark, sf_dir, fx.AS_OF)
+
+
+def q_vehicle_report(spark, sf_dir):
+    return report_at(spark, sf_dir, fx.AS_OF)
+
+
+def q_report_delta(spark, sf_dir):
+    return rp.report_delta(report_at(spark, sf_dir, fx.AS_OF), report_at(spark, sf_dir, fx.PREV_AS_OF))
+
+
+def q_report_json(spark, sf_dir):
+    return rp.report_json(report_at(spark, sf_dir, fx.AS_OF))
+
+
+QUERIES.update({
+    "vendor_vehicle": q_vendor_vehicle,
+    "vehicle_report": q_vehicle_report,
+    "report_delta": q_report_delta,
+    "report_json": q_report_json,
+})

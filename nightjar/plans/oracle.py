@@ -28,6 +28,23 @@ def coord(lat: str, lon: str) -> str:
     return f"{txt(lat, 5)} || ', ' || {txt(lon, 5)}"
 
 
+def isum(c: str) -> str:
+    """Sum of values in units of 1e-10 (the DECIMAL(22,10) of the engine)."""
+    return f"sum(CAST(round({c} * 10000000000.0) AS HUGEINT))"
+
+
+def dround(s: str, n: str, d: int) -> str:
+    """Exact half-even rounding of mean s*1e-10/n at d decimals, as DOUBLE."""
+    unit = f"(CAST({n} AS HUGEINT) * {10 ** (10 - d)})"
+    q, r = f"({s} // {unit})", f"({s} % {unit})"
+    return (f"(CAST({q} + CASE WHEN 2 * {r} > {unit} THEN 1 WHEN 2 * {r} = {unit} AND {q} % 2 = 1 THEN 1 ELSE 0 END"
+            f" AS DOUBLE) / {float(10 ** d)!r})")
+
+
+def dcoord(si: str, so: str, n: str) -> str:
+    return f"CAST({dround(si, n, 5)} AS VARCHAR) || ', ' || CAST({dround(so, n, 5)} AS VARCHAR)"
+
+
 def pfilter(days) -> str:
     by: dict[tuple[str, str], list[str]] = {}
     for d in days:
@@ -89,7 +106,8 @@ nstate AS (SELECT * FROM np WHERE {EDATE} >= DATE '{fx.AS_OF - dt.timedelta(days
 
 CELLS = f"""ncell AS (
   SELECT vendor, vin, {txt('latitude', 3)} || ',' || {txt('longitude', 3)} AS grid_cell,
-         count(DISTINCT {EDATE}) AS night_count, avg(latitude) AS latitude, avg(longitude) AS longitude
+         count(DISTINCT {EDATE}) AS night_count, {isum('latitude')} AS lat_i, {isum('longitude')} AS lon_i,
+         count(*) AS n_pts
   FROM nstate GROUP BY ALL HAVING count(DISTINCT {EDATE}) >= 2),
 ncell_top AS (
   SELECT * FROM (
@@ -228,7 +246,8 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin ORDER BY eventat DES
 
 def q_night_cells() -> str:
     return with_(TEL, night_state_sql(), CELLS) + \
-        f"SELECT vendor, vin, grid_cell, night_count, {r8('latitude')}, {r8('longitude')}, rank FROM ncell_top"
+        f"SELECT vendor, vin, grid_cell, night_count, {dround('lat_i', 'n_pts', 8)} AS latitude, " \
+        f"{dround('lon_i', 'n_pts', 8)} AS longitude, rank FROM ncell_top"
 
 
 def q_night_state_merge() -> str:
@@ -243,7 +262,7 @@ WHERE rn = 1 AND {EDATE} >= DATE '{cutoff}'"""
 def pivot(src: str, prefix: str, visits: bool) -> str:
     cols = []
     for i in (1, 2, 3):
-        cols.append(f"COALESCE(max(CASE WHEN rank = {i} THEN {coord('latitude', 'longitude')} END), '') AS {prefix}_{i}")
+        cols.append(f"COALESCE(max(CASE WHEN rank = {i} THEN {dcoord('lat_i', 'lon_i', 'n_pts')} END), '') AS {prefix}_{i}")
         if visits:
             cols.append(f"CAST(COALESCE(max(CASE WHEN rank = {i} THEN visits END), 0) AS INTEGER) AS {prefix}_visits_{i}")
     return f"SELECT vendor, vin, {', '.join(cols)} FROM {src} GROUP BY vendor, vin"
@@ -285,8 +304,8 @@ def q_charging_clusters() -> str:
 FROM clustered c JOIN anchors a USING (vendor, cluster)"""
 
 
-PLACES = """places AS (
-  SELECT vendor, vin, cluster, avg(latitude) AS latitude, avg(longitude) AS longitude,
+PLACES = f"""places AS (
+  SELECT vendor, vin, cluster, {isum('latitude')} AS lat_i, {isum('longitude')} AS lon_i, count(*) AS n_pts,
          count(*) AS visits, min(session_start_time) AS first_visit
   FROM clustered GROUP BY ALL),
 places_top AS (
@@ -296,7 +315,8 @@ places_top AS (
 
 def q_charging_places() -> str:
     return with_(TEL, cstate_sql(), CLUSTER, PLACES) + \
-        f"SELECT vendor, vin, cluster, {r8('latitude')}, {r8('longitude')}, visits, first_visit, rank FROM places_top"
+        f"SELECT vendor, vin, cluster, {dround('lat_i', 'n_pts', 8)} AS latitude, " \
+        f"{dround('lon_i', 'n_pts', 8)} AS longitude, visits, first_visit, rank FROM places_top"
 
 
 ORACLE: dict[str, str] = {
@@ -566,3 +586,122 @@ ORACLE.update({
     "address_master_merge": "WITH " + ",\n".join(ADDRESS_CTES) + "\nSELECT * FROM merged",
     "master_dedup": "WITH " + ",\n".join(ADDRESS_CTES + (DEDUP,)) + "\nSELECT * FROM dedup",
 })
+
+
+# --- report side ---------------------------------------------------------------
+
+def vehicles_sql(sfx: str, as_of: dt.date) -> list[str]:
+    """CTEs ending in ``veh_{sfx}``: per-vin results of a first run."""
+    y = as_of - dt.timedelta(days=1)
+    ncut = as_of - dt.timedelta(days=60)
+    ccut = ((as_of - dt.date(1970, 1, 1)).days - 60) * 86400000
+    return [
+        night_sql(f"np_{sfx}", as_of, fx.LOOKBACK),
+        f"ns_{sfx} AS (SELECT * FROM np_{sfx} WHERE {EDATE} >= DATE '{ncut}')",
+        f"""last_{sfx} AS (
+  SELECT vendor, vin, {coord('latitude', 'longitude')} AS last_night_location
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin ORDER BY eventat DESC) AS rn
+        FROM ns_{sfx} WHERE {EDATE} = DATE '{y}') WHERE rn = 1)""",
+        CELLS.replace("ncell_top", f"nct_{sfx}").replace("ncell", f"nc_{sfx}").replace("nstate", f"ns_{sfx}"),
+        f"nw_{sfx} AS ({pivot(f'nct_{sfx}', 'night_location', False)})",
+        sessions_sql(f"cs_{sfx}", as_of, fx.LOOKBACK),
+        f"""cst_{sfx} AS (SELECT vendor, vin, session_start_time, latitude, longitude FROM cs_{sfx}
+           WHERE session_start_time >= {ccut})""",
+        CLUSTER.replace("cstate", f"cst_{sfx}").replace("ppairs", f"pp_{sfx}").replace("reach", f"reach_{sfx}")
+               .replace("plabel", f"pl_{sfx}").replace("clustered", f"cl_{sfx}").replace("anchors", f"an_{sfx}")
+               .replace("pts", f"pts_{sfx}"),
+        PLACES.replace("clustered", f"cl_{sfx}").replace("places_top", f"pt_{sfx}").replace("places", f"pl2_{sfx}"),
+        f"cw_{sfx} AS ({pivot(f'pt_{sfx}', 'charging_location', True)})",
+        f"""veh_{sfx} AS (
+  SELECT vin, vendor, last_night_location, night_location_1, night_location_2, night_location_3,
+         charging_location_1, charging_location_visits_1, charging_location_2, charging_location_visits_2,
+         charging_location_3, charging_location_visits_3
+  FROM (
+    SELECT s.vendor, s.vin, l.last_night_location, n.night_location_1, n.night_location_2, n.night_location_3,
+           c.charging_location_1, c.charging_location_visits_1, c.charging_location_2, c.charging_location_visits_2,
+           c.charging_location_3, c.charging_location_visits_3,
+           ROW_NUMBER() OVER (PARTITION BY s.vin ORDER BY s.vendor) AS rn
+    FROM (SELECT vendor, vin FROM last_{sfx} UNION SELECT vendor, vin FROM nw_{sfx}
+          UNION SELECT vendor, vin FROM cw_{sfx}) s
+    LEFT JOIN last_{sfx} l USING (vendor, vin)
+    LEFT JOIN nw_{sfx} n USING (vendor, vin)
+    LEFT JOIN cw_{sfx} c USING (vendor, vin)) WHERE rn = 1)""",
+    ]
+
+
+MASTER_ONE = """mdedup AS (
+  SELECT vin, loan_no, current_lat, current_lng FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY vin ORDER BY ingest_seq, loan_no, current_lat, current_lng,
+                                 permanent_lat, permanent_lng) AS rn FROM merged) WHERE rn = 1)"""
+
+
+def report_sql(sfx: str) -> str:
+    return f"""rep_{sfx} AS (
+  SELECT m.loan_no, m.vin, COALESCE(v.last_night_location, '') AS last_night_location,
+         COALESCE(v.night_location_1, '') AS night_location_1, COALESCE(v.night_location_2, '') AS night_location_2,
+         COALESCE(v.night_location_3, '') AS night_location_3,
+         COALESCE(CASE WHEN m.current_lat IS NOT NULL AND m.current_lng IS NOT NULL THEN
+           '(' || CAST(m.current_lat AS VARCHAR) || ', ' || CAST(m.current_lng AS VARCHAR) || ')' END, '') AS current_address,
+         COALESCE(v.charging_location_1, '') AS charging_location_1,
+         CAST(COALESCE(v.charging_location_visits_1, 0) AS INTEGER) AS charging_location_visits_1,
+         COALESCE(v.charging_location_2, '') AS charging_location_2,
+         CAST(COALESCE(v.charging_location_visits_2, 0) AS INTEGER) AS charging_location_visits_2,
+         COALESCE(v.charging_location_3, '') AS charging_location_3,
+         CAST(COALESCE(v.charging_location_visits_3, 0) AS INTEGER) AS charging_location_visits_3
+  FROM mdedup m LEFT JOIN veh_{sfx} v USING (vin))"""
+
+
+def report_with(*sfx_dates) -> str:
+    ctes = [TEL, *ADDRESS_CTES, MASTER_ONE]
+    for sfx, d in sfx_dates:
+        ctes += vehicles_sql(sfx, d) + [report_sql(sfx)]
+    return with_(*ctes)
+
+
+def part(t: str, i: int) -> str:
+    return f"TRY_CAST(trim(split_part(trim({t}), ',', {i})) AS DOUBLE)"
+
+
+def link(t: str) -> str:
+    return (f"CASE WHEN trim({t}) IS NOT NULL AND trim({t}) <> '' AND len(string_split(trim({t}), ',')) = 2"
+            f" AND {part(t, 1)} IS NOT NULL AND {part(t, 2)} IS NOT NULL"
+            f" THEN 'https://www.google.com/maps?q=' || CAST({part(t, 1)} AS VARCHAR) || ',' || CAST({part(t, 2)} AS VARCHAR)"
+            f" ELSE '' END")
+
+
+def moved(a: str, b: str) -> str:
+    la, oa, lb, ob = part(a, 1), part(a, 2), part(b, 1), part(b, 2)
+    h = (f"pow(sin((radians({lb}) - radians({la})) / 2), 2) + cos(radians({la})) * cos(radians({lb}))"
+         f" * pow(sin((radians({ob}) - radians({oa})) / 2), 2)")
+    return (f"COALESCE(COALESCE({a}, '') <> '' AND COALESCE({b}, '') <> '' AND {la} IS NOT NULL AND {oa} IS NOT NULL"
+            f" AND {lb} IS NOT NULL AND {ob} IS NOT NULL"
+            f" AND 6371000.0 * (2 * atan2(sqrt({h}), sqrt(1 - ({h})))) > 100, FALSE)")
+
+
+def q_report_delta() -> str:
+    slots = lambda p: " OR ".join(moved(f"t.{p}_{i}", f"p.{p}_{i}") for i in (1, 2, 3))
+    return report_with(("a", fx.AS_OF), ("b", fx.PREV_AS_OF)) + f"""SELECT
+  count(DISTINCT CASE WHEN t.vin IS NOT NULL AND p.vin IS NULL THEN t.vin END) AS new_vehicles,
+  count(*) FILTER (WHERE {moved('t.last_night_location', 'p.last_night_location')}) AS updated_last_night,
+  count(*) FILTER (WHERE {slots('night_location')}) AS updated_night_locations,
+  count(*) FILTER (WHERE COALESCE(t.charging_location_1, '') <> '' AND COALESCE(p.charging_location_1, '') = ''
+                   AND t.vin IS NOT NULL) AS newly_charged,
+  count(*) FILTER (WHERE {slots('charging_location')}) AS updated_charging_locations
+FROM rep_a t FULL OUTER JOIN rep_b p ON t.vin = p.vin"""
+
+
+def q_report_json() -> str:
+    cols = ["loan_no", "vin", f"{link('last_night_location')} AS last_night_location"]
+    cols += [f"{link(f'night_location_{i}')} AS night_location_{i}" for i in (1, 2, 3)]
+    cols += [f"{link(chr(39) * 0 + 'replace(trim(current_address, ' + chr(39) + '()' + chr(39) + '), ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + chr(39) + ')')} AS current_address"]
+    for i in (1, 2, 3):
+        cols += [f"{link(f'charging_location_{i}')} AS charging_location_{i}", f"charging_location_visits_{i}"]
+    return report_with(("a", fx.AS_OF)) + "SELECT " + ", ".join(cols) + " FROM rep_a"
+
+
+ORACLE.update({
+    "vendor_vehicle": with_(TEL, *vehicles_sql("a", fx.AS_OF)) + "SELECT * FROM veh_a",
+    "vehicle_report": report_with(("a", fx.AS_OF)) + "SELECT * FROM rep_a",
+    "report_delta": q_report_delta(),
+    "report_json": q_report_json(),
+})

@@ -22,9 +22,13 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "nightjar", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "nightjar", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    # Local mode runs every task inside the driver JVM; only honoured when
+    # this call starts the JVM.
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
