@@ -6,9 +6,13 @@ replayed device) then becomes one straggler task holding a large share of the
 data. Here the window is partitioned by ``keys + bucket`` (bucket = a fixed
 slice of the ordering column, an hour by default), and only the first row of
 each bucket needs a value from the previous non-empty bucket. That value comes
-from a per-bucket summary (one row per key and bucket) that is aggregated
-map-side, then ordered by a window whose partitions hold at most
-``span / bucket`` rows per key. Results are identical to the plain window.
+from the last row of each bucket (one row per key and bucket), ordered by a
+small window whose partitions hold at most ``span / bucket`` rows per key.
+Results are identical to the plain window.
+
+The bucket summary is taken from the windowed rows themselves, so the
+summary branch and the row branch share one shuffle (Spark reuses the
+exchange) and nested passes do not recompute their input.
 """
 
 from __future__ import annotations
@@ -40,24 +44,26 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: str,
     keys = list(keys)
     w_in = Window.partitionBy(*keys, bucket).orderBy(order)
     srcs = sorted({src for src, _ in columns.values()})
-    staged = df.withColumn("_first_in_bucket", F.lag(F.col(order)).over(w_in).isNull())
-    for out, (src, _) in columns.items():
-        staged = staged.withColumn(f"_lag_{out}", F.lag(F.col(src)).over(w_in))
+    staged = df.select(
+        "*",
+        F.lag(F.col(order)).over(w_in).isNull().alias("_first_in_bucket"),
+        F.lead(F.col(order)).over(w_in).isNull().alias("_last_in_bucket"),
+        *[F.lag(F.col(src)).over(w_in).alias(f"_lag_{out}") for out, (src, _) in columns.items()])
 
-    last = (df.groupBy(*keys, bucket)
-              .agg(F.max(F.struct(F.col(order), *[F.col(s) for s in srcs])).alias("_last")))
     w_b = Window.partitionBy(*keys).orderBy(bucket)
-    prev = last.select(*keys, bucket, F.lag("_last").over(w_b).alias("_prev_bucket_last"))
+    prev = (staged.where(F.col("_last_in_bucket"))
+                  .select(*keys, bucket, F.struct(*[F.col(s) for s in srcs]).alias("_last"))
+                  .select(*keys, bucket, F.lag("_last").over(w_b).alias("_prev_bucket_last")))
 
     joined = staged.join(prev, on=keys + [bucket], how="left")
+    outs = {}
     for out, (src, default) in columns.items():
         dflt = F.lit(None) if default is None else default
         boundary = F.when(F.col("_prev_bucket_last").isNull(), dflt).otherwise(
             F.col("_prev_bucket_last").getField(src))
-        joined = joined.withColumn(
-            out, F.when(F.col("_first_in_bucket"), boundary).otherwise(F.col(f"_lag_{out}")))
-    drop = ["_first_in_bucket", "_prev_bucket_last"] + [f"_lag_{o}" for o in columns]
-    return joined.drop(*drop)
+        outs[out] = F.when(F.col("_first_in_bucket"), boundary).otherwise(F.col(f"_lag_{out}"))
+    drop = ["_first_in_bucket", "_last_in_bucket", "_prev_bucket_last"] + [f"_lag_{o}" for o in columns]
+    return joined.withColumns(outs).drop(*drop)
 
 
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str,
@@ -65,14 +71,17 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], order: str, value:
     """``out = SUM(value) OVER (PARTITION BY keys ORDER BY order)`` with the
     default RANGE frame (peers with equal ``order`` share the sum)."""
     keys = list(keys)
-    w_in = (Window.partitionBy(*keys, bucket).orderBy(order)
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    staged = df.withColumn("_in_bucket_sum", F.sum(F.col(value)).over(w_in))
-    totals = df.groupBy(*keys, bucket).agg(F.sum(F.col(value)).alias("_bucket_total"))
-    w_b = (Window.partitionBy(*keys).orderBy(bucket)
-           .rowsBetween(Window.unboundedPreceding, -1))
-    prefix = totals.select(*keys, bucket,
-                           F.coalesce(F.sum("_bucket_total").over(w_b), F.lit(0)).alias("_prefix"))
+    w_in = Window.partitionBy(*keys, bucket).orderBy(order)
+    staged = df.select(
+        "*",
+        F.sum(F.col(value)).over(w_in.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+         .alias("_in_bucket_sum"),
+        F.lead(F.col(order)).over(w_in).isNull().alias("_last_in_bucket"))
+    w_b = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = (staged.where(F.col("_last_in_bucket"))
+                    .select(*keys, bucket, F.col("_in_bucket_sum").alias("_bucket_total"))
+                    .select(*keys, bucket,
+                            F.coalesce(F.sum("_bucket_total").over(w_b), F.lit(0)).alias("_prefix")))
     joined = staged.join(prefix, on=keys + [bucket], how="left")
     return (joined.withColumn(out, F.col("_prefix") + F.col("_in_bucket_sum"))
-                  .drop("_in_bucket_sum", "_prefix"))
+                  .drop("_in_bucket_sum", "_prefix", "_last_in_bucket"))
