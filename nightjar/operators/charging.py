@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nightjar.functions.exprs import in_bbox
 from nightjar.operators.positions import STATIONARY_ODOMETER_STEP
-from nightjar.operators.sequence import bucketed_lag, bucketed_running_sum, with_bucket
+from nightjar.operators.sequence import bucketed_island_ids, bucketed_lag, with_bucket
 from nightjar.sources.vendors import (VendorSpec, partition_days, partition_filter,
                                       spec_column)
 
@@ -82,12 +82,8 @@ def charging_sessions(telemetry: DataFrame, specs: Sequence[VendorSpec],
     a charging row whose previous row (any row) was not charging; its id is
     the running count of starts. Sessions shorter than the vendor's minimum
     minutes or points are dropped."""
-    sig = charging_signal(telemetry, specs)
-    sig = bucketed_lag(sig, KEYS, "eventat", {"prev_signal": ("is_charging_signal", F.lit(0))})
-    sig = sig.withColumn("is_new_session_marker",
-                         F.when((F.col("is_charging_signal") == 1) & (F.col("prev_signal") == 0), 1)
-                          .otherwise(0))
-    sig = bucketed_running_sum(sig, KEYS, "eventat", "is_new_session_marker", "session_id")
+    sig = bucketed_island_ids(charging_signal(telemetry, specs), KEYS, "eventat", "is_charging_signal",
+                              "session_id")
     sess = (sig.where(F.col("is_charging_signal") == 1)
                .groupBy("vendor", "vin", "session_id")
                .agg(F.min("eventat").alias("session_start_time"),

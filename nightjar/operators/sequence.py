@@ -85,3 +85,44 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], order: str, value:
     joined = staged.join(prefix, on=keys + [bucket], how="left")
     return (joined.withColumn(out, F.col("_prefix") + F.col("_in_bucket_sum"))
                   .drop("_in_bucket_sum", "_prefix", "_last_in_bucket"))
+
+
+def bucketed_island_ids(df: DataFrame, keys: Sequence[str], order: str, flag: str,
+                        out: str, bucket: str = "_bucket") -> DataFrame:
+    """Gaps and islands in one pass: a row starts an island when ``flag`` is
+    1 and the previous row's flag (0 before the first row) is 0;
+    ``out`` is the running count of starts (default RANGE frame), as
+    ``SUM(start) OVER (PARTITION BY keys ORDER BY order)``.
+
+    Only the first row of a bucket depends on the previous bucket (its
+    previous flag), so one summary row per bucket carries the first and last
+    flag and the number of starts among the other rows; a window over the
+    buckets turns these into the first row's start and the count before the
+    bucket."""
+    keys = list(keys)
+    w_in = Window.partitionBy(*keys, bucket).orderBy(order)
+    w_run = w_in.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w_head = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_flag = F.lag(F.col(flag)).over(w_in)
+    inner_start = F.when((F.col(flag) == 1) & (prev_flag == 0), 1).otherwise(0)
+    staged = (df.select("*", prev_flag.isNull().alias("_first_in_bucket"),
+                        F.lead(F.col(order)).over(w_in).isNull().alias("_last_in_bucket"),
+                        inner_start.alias("_inner_start"),
+                        F.first(F.col(flag)).over(w_head).alias("_head_flag"))
+                .withColumn("_inner_run", F.sum("_inner_start").over(w_run)))
+    w_b = Window.partitionBy(*keys).orderBy(bucket)
+    summary = (staged.where(F.col("_last_in_bucket"))
+                     .select(*keys, bucket, F.col("_head_flag"), F.col(flag).alias("_tail_flag"),
+                             F.col("_inner_run").alias("_inner_total")))
+    summary = (summary
+               .withColumn("_head_start",
+                           F.when((F.col("_head_flag") == 1)
+                                  & (F.coalesce(F.lag("_tail_flag").over(w_b), F.lit(0)) == 0), 1).otherwise(0))
+               .withColumn("_prefix", F.coalesce(
+                   F.sum(F.col("_inner_total") + F.col("_head_start"))
+                    .over(w_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .select(*keys, bucket, "_head_start", "_prefix"))
+    joined = staged.join(summary, on=keys + [bucket], how="left")
+    return (joined.withColumn(out, F.col("_prefix") + F.col("_head_start") + F.col("_inner_run"))
+                  .drop("_first_in_bucket", "_last_in_bucket", "_inner_start", "_head_flag", "_inner_run",
+                        "_head_start", "_prefix"))

@@ -46,3 +46,14 @@ def test_bucketed_running_sum_equals_plain(spark):
     plain = {(r.vin, r.eventat, r.s) for r in df.select("vin", "eventat", F.sum("m").over(w).alias("s")).collect()}
     got = bucketed_running_sum(with_bucket(df, "eventat"), ["vendor", "vin"], "eventat", "m", "s")
     assert plain == {(r.vin, r.eventat, r.s) for r in got.collect()}
+
+
+def test_bucketed_island_ids_equal_plain(spark):
+    from nightjar.operators.sequence import bucketed_island_ids
+    df = frame(spark, n=900, seed=5)
+    w = Window.partitionBy("vendor", "vin").orderBy("eventat")
+    start = F.when((F.col("m") == 1) & (F.lag("m", 1, 0).over(w) == 0), 1).otherwise(0)
+    plain = df.withColumn("st", start).withColumn("s", F.sum("st").over(w))
+    a = {(r.vin, r.eventat, r.s) for r in plain.collect()}
+    got = bucketed_island_ids(with_bucket(df, "eventat"), ["vendor", "vin"], "eventat", "m", "s")
+    assert a == {(r.vin, r.eventat, r.s) for r in got.collect()}
