@@ -114,10 +114,12 @@ def _status(df: DataFrame) -> DataFrame:
 PAIR_KEYS = ["vendor", "a_cell", "b_cell"]
 
 
-def proximity_edges(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFrame:
+def proximity_edges(points: DataFrame | None, pair_budget: int = PAIR_BUDGET,
+                    snapped: DataFrame | None = None) -> DataFrame:
     """Distinct cell pairs (vendor, a_cell, b_cell), a_cell < b_cell in
-    (cx, cy) order, that hold two points within 100 m of each other."""
-    p = snap_points(points)
+    (cx, cy) order, that hold two points within 100 m of each other.
+    The distinct snapped points are written once; every round reads them."""
+    p = snapped if snapped is not None else materialize(snap_points(points), "points")
     cells = _level_stats(p, 0)
 
     offs = cells.withColumn("reach", _lon_reach(F.col("lat0"), F.col("lat1")))
@@ -241,11 +243,11 @@ def _is_star_forest(e: DataFrame, keys: list[str]) -> bool:
 def cluster_labels(points: DataFrame, pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """(vendor, latitude, longitude, cluster) for distinct points; cluster is
     the smallest cell id of the point's component."""
-    points = materialize(points.select("vendor", "latitude", "longitude").distinct(), "points")
-    snapped = snap_points(points).select("vendor", "latitude", "longitude", "cell")
-    edges = proximity_edges(points, pair_budget)
+    p = materialize(snap_points(points), "points")
+    edges = proximity_edges(None, pair_budget, snapped=p)
     comp = connected_components(edges)
-    lab = snapped.join(comp.withColumnRenamed("node", "cell"), ["vendor", "cell"], "left")
+    lab = p.select("vendor", "latitude", "longitude", "cell") \
+           .join(comp.withColumnRenamed("node", "cell"), ["vendor", "cell"], "left")
     return lab.select("vendor", "latitude", "longitude",
                       F.coalesce(F.col("label"), F.col("cell")).alias("cluster"))
 
