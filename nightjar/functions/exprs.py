@@ -32,10 +32,15 @@ def col_(c) -> Column:
 # --- time -----------------------------------------------------------------
 
 def epoch_ms_from_ntz(ts: str) -> Column:
-    """Milliseconds since the epoch of a TIMESTAMP_NTZ column, truncating
-    micros. Independent of ``spark.sql.session.timeZone``."""
-    return F.expr(
-        "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})".format(_sql_ref(ts)))
+    """Milliseconds since the epoch of a TIMESTAMP_NTZ column read as UTC,
+    truncating micros. Built from the date and the time of day, which do not
+    depend on ``spark.sql.session.timeZone`` (a cast to TIMESTAMP would, by
+    an hour across daylight-saving changes)."""
+    t = F.col(ts)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    millis_of_day = (F.hour(t).cast("long") * MS_PER_HOUR + F.minute(t).cast("long") * 60_000
+                     + F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long"))
+    return days * MS_PER_DAY + millis_of_day
 
 
 def utc_hour(eventat) -> Column:

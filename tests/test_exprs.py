@@ -59,3 +59,17 @@ def test_haversine_report_radius(spark):
     # 0.0009 degrees of latitude at R = 6,371,000 m is about 100.08 m
     d = one(spark, X.haversine_m(F.lit(12.0), F.lit(77.0), F.lit(12.0009), F.lit(77.0)))
     assert abs(d - 100.0758) < 0.01
+
+
+def test_epoch_ms_ignores_session_time_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 30, 15, 123456),),
+                                (dt.datetime(1999, 12, 31, 23, 59, 59, 999999),)], ["ts"])
+    df = df.select(F.col("ts").cast("timestamp_ntz").alias("ts"))
+    want = [1719837015123, 946684799999]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r[0] for r in df.select(X.epoch_ms_from_ntz("ts")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
