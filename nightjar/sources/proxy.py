@@ -49,9 +49,9 @@ def telemetry_proxy(events: DataFrame) -> DataFrame:
         F.expr("CAST(get_json_object(props, '$.k') AS DOUBLE)").alias("dte"),
         ((F.col("event_type") == "purchase") & ((F.col("user_id") % 5) != 3)).alias("charge_flag"),
         (F.col("event_type") != "error").alias("motion_ok"),
-        F.date_format("ts", "yyyy").alias("year"),
-        F.date_format("ts", "MM").alias("month"),
-        F.date_format("ts", "dd").alias("day"),
+        F.lpad(F.year("ts").cast("string"), 4, "0").alias("year"),
+        F.lpad(F.month("ts").cast("string"), 2, "0").alias("month"),
+        F.lpad(F.dayofmonth("ts").cast("string"), 2, "0").alias("day"),
     )
 
 

@@ -83,8 +83,15 @@ def spec_column(specs: Sequence[VendorSpec], attr: str, default=None) -> Column:
     """CASE over ``vendor`` yielding ``getattr(spec, attr)`` per vendor.
 
     The vendor list is configuration (a handful of entries), so this stays a
-    literal expression that Catalyst folds into codegen, not a join.
+    literal expression that Catalyst folds into codegen, not a join. Boolean
+    attributes become one ``vendor IN (...)`` test.
     """
+    values = [getattr(s, attr) for s in specs]
+    if all(isinstance(v, bool) for v in values):
+        hits = [s.name for s in specs if getattr(s, attr)]
+        known = F.col("vendor").isin([s.name for s in specs])
+        member = F.coalesce(F.col("vendor").isin(hits), F.lit(False)) if hits else F.lit(False)
+        return member if default is False or default is None else (member | ~known)
     expr = None
     for s in specs:
         value = getattr(s, attr)
