@@ -246,10 +246,13 @@ QUERIES.update({
 # --- report side ---------------------------------------------------------------
 
 from nightjar.operators import report as rp  # noqa: E402
+from nightjar.operators.lineage import materialize  # noqa: E402
 
 
 def vehicles_at(spark, sf_dir, as_of) -> DataFrame:
-    """Per-vin telemetry results of a first run at ``as_of``."""
+    """Per-vin telemetry results of a first run at ``as_of`` (one row per
+    vehicle), written once so that reports join two small tables instead of
+    re-planning both pipelines."""
     tel = telemetry(spark, sf_dir)
     nstate = st.night_retention(pos.night_points(pos.scan_window(tel, as_of, fx.LOOKBACK), SPECS), as_of, 60)
     last = pos.last_night(nstate, as_of)
@@ -257,11 +260,15 @@ def vehicles_at(spark, sf_dir, as_of) -> DataFrame:
     cstate = st.charging_retention(sessions(spark, sf_dir, as_of, fx.LOOKBACK), as_of, 60)
     places = sp.charging_places(sp.charging_clusters(cstate))
     charging = pivot_top3(places, "charging_location", include_visits=True)
-    return rp.vendor_vehicle(last, nights, charging, SPECS)
+    return materialize(rp.vendor_vehicle(last, nights, charging, SPECS), "vehicles")
 
 
-def report_at(spark, sf_dir, as_of) -> DataFrame:
-    master = ad.master_dedup(merged_master(spark, sf_dir))
+def report_master(spark, sf_dir) -> DataFrame:
+    return materialize(ad.master_dedup(merged_master(spark, sf_dir)), "master")
+
+
+def report_at(spark, sf_dir, as_of, master: DataFrame | None = None) -> DataFrame:
+    master = master if master is not None else report_master(spark, sf_dir)
     return rp.vehicle_report(master, vehicles_at(spark, sf_dir, as_of))
 
 
@@ -274,7 +281,9 @@ def q_vehicle_report(spark, sf_dir):
 
 
 def q_report_delta(spark, sf_dir):
-    return rp.report_delta(report_at(spark, sf_dir, fx.AS_OF), report_at(spark, sf_dir, fx.PREV_AS_OF))
+    master = report_master(spark, sf_dir)
+    return rp.report_delta(report_at(spark, sf_dir, fx.AS_OF, master),
+                           report_at(spark, sf_dir, fx.PREV_AS_OF, master))
 
 
 def q_report_json(spark, sf_dir):
