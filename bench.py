@@ -51,6 +51,10 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
+        "master": f"local[{cpus}]",
+        "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory", "default"),
+        "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
+        "session": "one session, queries in order, each fully computed",
     }))
     spark.stop()
 

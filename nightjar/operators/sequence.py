@@ -19,12 +19,31 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_MS = 3_600_000
 
 
+_SHARED: list[DataFrame] = []
+
+
+def _shared(df: DataFrame) -> DataFrame:
+    """The row branch and the bucket-summary branch both read the input;
+    keep one computed copy (on disk, no heap) instead of computing the
+    input twice, and nested passes 2**n times. Lost blocks are recomputed
+    from lineage. ``release_shared()`` drops the copies after a job."""
+    out = df.persist(StorageLevel.DISK_ONLY)
+    _SHARED.append(out)
+    return out
+
+
+def release_shared() -> None:
+    while _SHARED:
+        _SHARED.pop().unpersist()
+
+
 def with_bucket(df: DataFrame, order: str, bucket_ms: int = DEFAULT_BUCKET_MS,
                 name: str = "_bucket") -> DataFrame:
     return df.withColumn(name, F.floor(F.col(order) / F.lit(bucket_ms)))
@@ -44,6 +63,7 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: str,
     keys = list(keys)
     w_in = Window.partitionBy(*keys, bucket).orderBy(order)
     srcs = sorted({src for src, _ in columns.values()})
+    df = _shared(df)
     staged = df.select(
         "*",
         F.lag(F.col(order)).over(w_in).isNull().alias("_first_in_bucket"),
@@ -103,6 +123,7 @@ def bucketed_island_ids(df: DataFrame, keys: Sequence[str], order: str, flag: st
     w_in = Window.partitionBy(*keys, bucket).orderBy(order)
     w_run = w_in.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     w_head = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = _shared(df)
     prev_flag = F.lag(F.col(flag)).over(w_in)
     inner_start = F.when((F.col(flag) == 1) & (prev_flag == 0), 1).otherwise(0)
     staged = (df.select("*", prev_flag.isNull().alias("_first_in_bucket"),

@@ -23,6 +23,7 @@ from nightjar.operators import report as rp
 from nightjar.operators import spatial as sp
 from nightjar.operators import state as st
 from nightjar.operators.reshape import pivot_top3
+from nightjar.operators.sequence import release_shared
 from nightjar.sources import io
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter
 
@@ -75,6 +76,15 @@ def _vendors_in(df: DataFrame | None) -> set[str]:
 
 
 def run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
+    """One daily run; every output is written before this returns, and the
+    inputs shared between plan branches are released."""
+    try:
+        return _run(spark, as_of, cfg)
+    finally:
+        release_shared()
+
+
+def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
     specs = cfg.specs
     tel = _telemetry(spark, cfg)
     night_root, charge_root = f"{cfg.state_root}/night", f"{cfg.state_root}/charging"
