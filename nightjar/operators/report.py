@@ -7,8 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightjar.functions.exprs import (MOVE_THRESHOLD_M, coord_text, haversine_m, maps_link,
-                                      parse_pair)
+from nightjar.functions.exprs import MOVE_THRESHOLD_M, haversine_m, maps_link, parse_pair
 from nightjar.sources.vendors import VendorSpec, vendor_priority
 
 LOCATION_SLOTS = ["night_location_1", "night_location_2", "night_location_3"]

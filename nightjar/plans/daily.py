@@ -43,6 +43,7 @@ class JobConfig:
     geocode_cache: Callable[[SparkSession], DataFrame] | None = None
     geocode_enrich: Callable | None = None
     history_days: int = HISTORY_DAYS
+    previous_report_csv: str | None = None   # compare against this CSV instead of the last version
     extra: dict = field(default_factory=dict)
 
 
@@ -117,7 +118,10 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataF
     io.write_report_json(report, io.version_path(f"{cfg.report_root}/json", as_of))
 
     out = {"night_state": night_state, "charging_state": charge_state, "master": master, "report": report}
-    previous = io.read_version(spark, f"{cfg.report_root}/table", as_of, report.schema)
+    if cfg.previous_report_csv:
+        previous = io.read_report_csv(spark, cfg.previous_report_csv)
+    else:
+        previous = io.read_version(spark, f"{cfg.report_root}/table", as_of, report.schema)
     if previous is not None:
         out["delta"] = rp.report_delta(report, previous)
     return out

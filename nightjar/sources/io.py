@@ -76,6 +76,18 @@ def read_master(spark: SparkSession, path: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType) for f in MASTER_SCHEMA.fields])
 
 
+def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A report CSV (this engine's or an earlier tool's) with the report
+    schema: text columns as strings (an empty cell reads as NULL), visit
+    counts as integers (unparsable -> NULL)."""
+    from nightjar.operators.report import REPORT_COLUMNS, VISIT_SLOTS
+
+    raw = spark.read.option("header", True).schema(
+        T.StructType([T.StructField(c, T.StringType()) for c in REPORT_COLUMNS])).csv(path)
+    return raw.select(*[(F.col(c).try_cast("int") if c in VISIT_SLOTS else F.col(c)).alias(c)
+                        for c in REPORT_COLUMNS])
+
+
 def write_report_csv(report: DataFrame, path: str) -> None:
     """CSV with header, rows in report order (last night, loan, vin
     descending). The sort is the sink's, range-partitioned, not one task."""

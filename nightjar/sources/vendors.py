@@ -89,9 +89,10 @@ def spec_column(specs: Sequence[VendorSpec], attr: str, default=None) -> Column:
     values = [getattr(s, attr) for s in specs]
     if all(isinstance(v, bool) for v in values):
         hits = [s.name for s in specs if getattr(s, attr)]
-        known = F.col("vendor").isin([s.name for s in specs])
         member = F.coalesce(F.col("vendor").isin(hits), F.lit(False)) if hits else F.lit(False)
-        return member if default is False or default is None else (member | ~known)
+        if default is True:   # vendors outside the list take the default
+            return member | ~F.coalesce(F.col("vendor").isin([s.name for s in specs]), F.lit(False))
+        return member
     expr = None
     for s in specs:
         value = getattr(s, attr)

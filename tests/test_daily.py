@@ -62,3 +62,21 @@ def test_stream_trigger_runs_the_job_once_per_new_files(spark):
     q = incremental.start(spark, tel_path, f"{root}/checkpoint", cfg)
     q.awaitTermination(600)
     assert io.latest_version(spark, f"{root}/report/table", dt.date(2030, 1, 1)) == dt.date(2024, 1, 31)
+
+
+def test_report_csv_round_trip_and_master_column_check(spark):
+    import pytest
+
+    from nightjar.operators import report as rp
+    root = tempfile.mkdtemp(prefix="nightjar-io-")
+    cols = rp.REPORT_COLUMNS
+    rows = [tuple("" if c not in rp.VISIT_SLOTS else 0 for c in cols)]
+    schema = ", ".join(f"{c} {'int' if c in rp.VISIT_SLOTS else 'string'}" for c in cols)
+    rep = spark.createDataFrame(rows, schema).withColumn("vin", F.lit("7")).withColumn("loan_no", F.lit("L7"))
+    io.write_report_csv(rep, f"{root}/csv")
+    back = io.read_report_csv(spark, f"{root}/csv").first()
+    assert (back.vin, back.loan_no, back.last_night_location, back.charging_location_visits_1) == ("7", "L7", None, 0)
+    assert rp.report_delta(rep, io.read_report_csv(spark, f"{root}/csv")).first().new_vehicles == 0
+    spark.createDataFrame([("1", "L1")], "vin string, loan_no string").write.parquet(f"{root}/bad")
+    with pytest.raises(ValueError):
+        io.read_master(spark, f"{root}/bad")
