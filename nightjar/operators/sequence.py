@@ -39,8 +39,12 @@ def _shared(df: DataFrame) -> DataFrame:
     return out
 
 
-def release_shared() -> None:
-    while _SHARED:
+def shared_mark() -> int:
+    return len(_SHARED)
+
+
+def release_shared(since: int = 0) -> None:
+    while len(_SHARED) > since:
         _SHARED.pop().unpersist()
 
 

@@ -23,7 +23,8 @@ from nightjar.operators import report as rp
 from nightjar.operators import spatial as sp
 from nightjar.operators import state as st
 from nightjar.operators.reshape import pivot_top3
-from nightjar.operators.sequence import release_shared
+from nightjar.operators.lineage import release_written, written_mark
+from nightjar.operators.sequence import release_shared, shared_mark
 from nightjar.sources import io
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter
 
@@ -77,12 +78,15 @@ def _vendors_in(df: DataFrame | None) -> set[str]:
 
 
 def run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
-    """One daily run; every output is written before this returns, and the
-    inputs shared between plan branches are released."""
+    """One daily run; every output is written before this returns, then the
+    inputs shared between plan branches and the scratch tables are released
+    (the returned frames read only the written versions)."""
+    shared, written = shared_mark(), written_mark()
     try:
         return _run(spark, as_of, cfg)
     finally:
-        release_shared()
+        release_shared(shared)
+        release_written(written)
 
 
 def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
