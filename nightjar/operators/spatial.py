@@ -224,6 +224,8 @@ def connected_components(edges: DataFrame, keys=("vendor",), src: str = "a_cell"
         e = materialize(small, f"cc{rnd + 1}")
         if _is_star_forest(e, keys):
             break
+    else:
+        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     return (e.select(*keys, F.col("b").alias("node"), F.col("a").alias("label"))
              .unionByName(e.select(*keys, F.col("a").alias("node"), F.col("a").alias("label")))
              .distinct())
