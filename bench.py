@@ -72,7 +72,12 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
-    daily = {} if only else bench_daily_job(spark, sf_dir)
+    daily: dict = {}
+    if not only:
+        try:
+            daily = bench_daily_job(spark, sf_dir)
+        except Exception as exc:  # noqa: BLE001  the query timings above still stand
+            daily = {"error": repr(exc)[:200]}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
