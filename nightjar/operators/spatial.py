@@ -210,27 +210,33 @@ def connected_components(edges: DataFrame, keys=("vendor",), src: str = "a_cell"
               .select(*keys, F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b"))
               .distinct())
     e = materialize(e, "cc0")
-    for rnd in range(max_rounds):
-        both = e.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            e.select(*keys, F.col("b").alias("u"), F.col("a").alias("v")))
-        m = (both.groupBy(*keys, "u").agg(F.min("v").alias("mv"))
-                 .select(*keys, "u", F.least("u", "mv").alias("m")))
-        large = (both.join(m, keys + ["u"]).where(F.col("v") > F.col("u"))
-                     .select(*keys, F.col("m").alias("a"), F.col("v").alias("b")).distinct())
-        ms = large.groupBy(*keys, "b").agg(F.min("a").alias("m"))
-        linked = (large.join(ms, keys + ["b"]).where(F.col("a") != F.col("m"))
-                       .select(*keys, F.col("m").alias("a"), F.col("a").alias("b")))
-        small = linked.unionByName(ms.select(*keys, F.col("m").alias("a"), "b")).distinct()
-        e = materialize(small, f"cc{rnd + 1}")
-        if _is_star_forest(e, keys):
-            break
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+    # Many graphs (isolated pairs, single depots) already are star forests.
+    if not _is_star_forest(e, keys):
+        for rnd in range(max_rounds):
+            e = materialize(_star_round(e, keys), f"cc{rnd + 1}")
+            if _is_star_forest(e, keys):
+                break
+        else:
+            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     return (e.select(*keys, F.col("b").alias("node"), F.col("a").alias("label"))
              .unionByName(e.select(*keys, F.col("a").alias("node"), F.col("a").alias("label")))
              .distinct())
 
 
+def _star_round(e: DataFrame, keys: list[str]) -> DataFrame:
+    """One large-star step followed by one small-star step on edges a < b."""
+    both = e.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        e.select(*keys, F.col("b").alias("u"), F.col("a").alias("v")))
+    m = (both.groupBy(*keys, "u").agg(F.min("v").alias("mv"))
+             .select(*keys, "u", F.least("u", "mv").alias("m")))
+    large = (both.join(m, keys + ["u"]).where(F.col("v") > F.col("u"))
+                 .select(*keys, F.col("m").alias("a"), F.col("v").alias("b")).distinct())
+    ms = large.groupBy(*keys, "b").agg(F.min("a").alias("m"))
+    linked = (large.join(ms, keys + ["b"]).where(F.col("a") != F.col("m"))
+                   .select(*keys, F.col("m").alias("a"), F.col("a").alias("b")))
+    return linked.unionByName(ms.select(*keys, F.col("m").alias("a"), "b")).distinct()
+
+
 def _is_star_forest(e: DataFrame, keys: list[str]) -> bool:
     """Converged when every edge (a, b), a < b, hangs a leaf b under a root
     a: no node is both a centre and a leaf, and no leaf has two centres.

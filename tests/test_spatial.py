@@ -81,3 +81,16 @@ def test_two_vehicles_bridge_one_place_and_places_rank_by_visits(spark):
     assert len(a_clusters) == 2
     places = sp.charging_places(sp.charging_clusters(df)).where("vin = 'a'").orderBy("rank").collect()
     assert [(p.visits, p.rank) for p in places] == [(3, 1), (1, 2)]
+
+
+def test_connected_components_on_path_star_and_cycle(spark):
+    edges = [("v", 5, 4), ("v", 4, 3), ("v", 3, 2), ("v", 2, 1),          # path
+             ("v", 10, 11), ("v", 10, 12), ("v", 10, 13),                # star
+             ("v", 20, 21), ("v", 21, 22), ("v", 22, 20), ("w", 1, 2)]   # cycle, other vendor
+    df = spark.createDataFrame(edges, "vendor string, a_cell long, b_cell long")
+    got = {(r.vendor, r.node): r.label for r in sp.connected_components(df).collect()}
+    want = {("v", n): 1 for n in (1, 2, 3, 4, 5)}
+    want.update({("v", n): 10 for n in (10, 11, 12, 13)})
+    want.update({("v", n): 20 for n in (20, 21, 22)})
+    want.update({("w", 1): 1, ("w", 2): 1})
+    assert got == want
