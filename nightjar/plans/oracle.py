@@ -247,7 +247,7 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin ORDER BY eventat DES
 def q_night_cells() -> str:
     return with_(TEL, night_state_sql(), CELLS) + \
         f"SELECT vendor, vin, grid_cell, night_count, {dround('lat_i', 'n_pts', 8)} AS latitude, " \
-        f"{dround('lon_i', 'n_pts', 8)} AS longitude, rank FROM ncell_top"
+        f"{dround('lon_i', 'n_pts', 8)} AS longitude, CAST(rank AS INTEGER) AS rank FROM ncell_top"
 
 
 def q_night_state_merge() -> str:
@@ -316,7 +316,7 @@ places_top AS (
 def q_charging_places() -> str:
     return with_(TEL, cstate_sql(), CLUSTER, PLACES) + \
         f"SELECT vendor, vin, cluster, {dround('lat_i', 'n_pts', 8)} AS latitude, " \
-        f"{dround('lon_i', 'n_pts', 8)} AS longitude, visits, first_visit, rank FROM places_top"
+        f"{dround('lon_i', 'n_pts', 8)} AS longitude, visits, first_visit, CAST(rank AS INTEGER) AS rank FROM places_top"
 
 
 ORACLE: dict[str, str] = {
@@ -420,7 +420,8 @@ addr AS (
 def role_sql(name: str, ptype: str, atype: str, cols: dict[str, str], stability: str | None = None) -> str:
     sel = ", ".join(f"A.{k} AS {v}" for k, v in cols.items())
     if stability:
-        sel += f", COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.business_stability) AS {stability}"
+        sel += (f", CAST(COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.business_stability)"
+                f" AS INTEGER) AS {stability}")
     return f"""{name} AS (
   SELECT l.lms_id AS lms_id, {sel}
   FROM ld l
@@ -463,7 +464,8 @@ PROFILE = f"""profile AS (
          CASE WHEN l.co_applicant_added = 1 THEN 'Available' WHEN l.co_applicant_added <> 0 THEN 'NA'
               ELSE 'Unknown' END AS co_applicant_availability,
          CAST(EU.dob AS VARCHAR) AS dob,
-         COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.residence_stability) AS residence_stability,
+         CAST(COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.residence_stability) AS INTEGER)
+           AS residence_stability,
          r_b.business_stability, b.source, l.loan_reference_id AS loan_no, l.loan_status, LP.name AS nbfc,
          A.house_ownership, A.address_line_1 AS current_address1, A.address_line_2 AS current_address2,
          A.city AS current_city, A.state AS current_state, A.pincode AS curr_pincode,
