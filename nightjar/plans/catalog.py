@@ -198,13 +198,26 @@ def q_loan_vehicle_pairs(spark, sf_dir):
     return pairs(spark, sf_dir)
 
 
+# Integer columns that can be NULL are returned as DOUBLE by the checked
+# queries, so both engines hand pandas the same NaN for a missing value.
+NULLABLE_INTS = ("business_stability", "residence_stability", "vehicle_active_status",
+                 "charging_location_visits_1", "charging_location_visits_2", "charging_location_visits_3")
+
+
+def _as_checked(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in NULLABLE_INTS else F.col(c)
+                       for c in df.columns])
+
+
 def q_loan_role_address(spark, sf_dir):
-    return ad.role_address(proxy.loan_tables(spark, sf_dir), "APPLICANT", "OFFICE", with_stability=True)
+    return _as_checked(ad.role_address(proxy.loan_tables(spark, sf_dir), "APPLICANT", "OFFICE",
+                                       with_stability=True))
 
 
 def q_loan_profile(spark, sf_dir):
     p = profile(spark, sf_dir)
-    return p.select(*[F.col(c).cast("string").alias(c) if c in DATE_COLUMNS else F.col(c) for c in p.columns])
+    return _as_checked(p.select(*[F.col(c).cast("string").alias(c) if c in DATE_COLUMNS else F.col(c)
+                                  for c in p.columns]))
 
 
 def q_address_worklist(spark, sf_dir):
@@ -273,7 +286,7 @@ def report_at(spark, sf_dir, as_of, master: DataFrame | None = None) -> DataFram
 
 
 def q_vendor_vehicle(spark, sf_dir):
-    return vehicles_at(spark, sf_dir, fx.AS_OF)
+    return _as_checked(vehicles_at(spark, sf_dir, fx.AS_OF))
 
 
 def q_vehicle_report(spark, sf_dir):

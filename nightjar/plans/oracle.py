@@ -421,7 +421,7 @@ def role_sql(name: str, ptype: str, atype: str, cols: dict[str, str], stability:
     sel = ", ".join(f"A.{k} AS {v}" for k, v in cols.items())
     if stability:
         sel += (f", CAST(COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.business_stability)"
-                f" AS INTEGER) AS {stability}")
+                f" AS DOUBLE) AS {stability}")
     return f"""{name} AS (
   SELECT l.lms_id AS lms_id, {sel}
   FROM ld l
@@ -464,7 +464,7 @@ PROFILE = f"""profile AS (
          CASE WHEN l.co_applicant_added = 1 THEN 'Available' WHEN l.co_applicant_added <> 0 THEN 'NA'
               ELSE 'Unknown' END AS co_applicant_availability,
          CAST(EU.dob AS VARCHAR) AS dob,
-         CAST(COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.residence_stability) AS INTEGER)
+         CAST(COALESCE(date_diff('month', A.residing_since, A.marked_at), CP.residence_stability) AS DOUBLE)
            AS residence_stability,
          r_b.business_stability, b.source, l.loan_reference_id AS loan_no, l.loan_status, LP.name AS nbfc,
          A.house_ownership, A.address_line_1 AS current_address1, A.address_line_2 AS current_address2,
@@ -475,7 +475,8 @@ PROFILE = f"""profile AS (
          r_c.co_app_address_1, r_c.co_app_address_2, r_c.co_app_pincode,
          r_g.gurantor_address_1, r_g.gurantor_address_2, r_g.gurantor_pincode,
          OE.name AS oem_name, V.name AS vehicle_name, V.model AS vehicle_model, V.vehicle_category_by_wheels,
-         V.vehicle_type, V.variant AS vehicle_variant, V.is_active AS vehicle_active_status, b.vehicle_number,
+         V.vehicle_type, V.variant AS vehicle_variant, CAST(V.is_active AS DOUBLE) AS vehicle_active_status,
+         b.vehicle_number,
          VD.vin, DS.full_name AS dealership_name, l.on_road_price,
          {ist('CR.created_at')} AS soft_check_date, {ist('l.decision_date')} AS loan_approval_date,
          {ist('l.loan_start_date')} AS disbursal_date, {ist('l.dp_date')} AS downpayment_date,
@@ -702,7 +703,10 @@ def q_report_json() -> str:
 
 
 ORACLE.update({
-    "vendor_vehicle": with_(TEL, *vehicles_sql("a", fx.AS_OF)) + "SELECT * FROM veh_a",
+    "vendor_vehicle": with_(TEL, *vehicles_sql("a", fx.AS_OF)) + """SELECT * REPLACE (
+  CAST(charging_location_visits_1 AS DOUBLE) AS charging_location_visits_1,
+  CAST(charging_location_visits_2 AS DOUBLE) AS charging_location_visits_2,
+  CAST(charging_location_visits_3 AS DOUBLE) AS charging_location_visits_3) FROM veh_a""",
     "vehicle_report": report_with(("a", fx.AS_OF)) + "SELECT * FROM rep_a",
     "report_delta": q_report_delta(),
     "report_json": q_report_json(),
