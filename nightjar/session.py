@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (tests, local runs) a fresh scratch folder is
-    created and registered.
+    is; if it is unset there, this raises rather than fall back to a folder
+    that only one machine sees. Only in local mode (tests, local runs) an
+    unset directory is replaced by a fresh scratch folder.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this job")
     path = tempfile.mkdtemp(prefix="nightjar-ckpt-", dir=os.environ.get("NIGHTJAR_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
