@@ -73,3 +73,21 @@ def test_epoch_ms_ignores_session_time_zone(spark):
             assert [r[0] for r in df.select(X.epoch_ms_from_ntz("ts")).collect()] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_partition_filter_spans_year_end_inclusively(spark):
+    from nightjar.sources.vendors import partition_days, partition_filter
+    days = partition_days(dt.date(2024, 1, 1), 2)
+    assert days == [dt.date(2024, 1, 1), dt.date(2023, 12, 31), dt.date(2023, 12, 30)]
+    parts = [("2023", "12", "29"), ("2023", "12", "30"), ("2023", "12", "31"), ("2024", "01", "01"),
+             ("2024", "01", "02"), ("2024", "12", "31")]
+    df = spark.createDataFrame(parts, "year string, month string, day string")
+    got = sorted(tuple(r) for r in df.where(partition_filter(days)).collect())
+    assert got == [("2023", "12", "30"), ("2023", "12", "31"), ("2024", "01", "01")]
+
+
+def test_local_session_gets_a_reliable_checkpoint_dir(spark):
+    from nightjar.session import ensure_checkpoint_dir
+    path = ensure_checkpoint_dir(spark)
+    assert path and spark.sparkContext.getCheckpointDir() is not None
+    assert ensure_checkpoint_dir(spark) == path
