@@ -77,3 +77,21 @@ def test_vendor_vehicle_prefers_configuration_order(spark):
         f"charging_location_{i} string, charging_location_visits_{i} int" for i in (1, 2, 3)))
     v = rp.vendor_vehicle(last, nights, charging, SPECS).first()
     assert (v.vendor, v.last_night_location) == ("v1", "3.0, 4.0")
+
+
+def test_report_json_lines_sink_is_valid_json(spark):
+    import json
+    import tempfile
+
+    from nightjar.sources import io
+    rep = report(spark, [{"vin": "1", "loan_no": "L1", "current_address": "(12.5, 77.25)",
+                          "night_location_1": "12.9716, 77.0", "charging_location_visits_1": 2},
+                         {"vin": "2", "loan_no": "L2"}])
+    texts = [r.value for r in rp.report_json_text(rep).collect()]
+    recs = {d["vin"]: d for d in map(json.loads, texts)}
+    assert recs["1"]["night_location_1"] == "https://www.google.com/maps?q=12.9716,77.0"
+    assert recs["1"]["charging_location_visits_1"] == 2 and recs["2"]["current_address"] == ""
+    out = tempfile.mkdtemp(prefix="nightjar-json-") + "/r"
+    io.write_report_json(rep, out)
+    back = spark.read.json(out)
+    assert back.count() == 2 and "charging_location_visits_3" in back.columns
