@@ -36,4 +36,22 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_substring_dedup, op5_simhash_dedup, op7_suffix_dedup)}
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from nightjar.llm.bpe_codec import digests
+
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from nightjar.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
+                                   op7_suffix_dedup, op10_best_fit_packing)}
+ORACLE: dict[str, str] = {}
