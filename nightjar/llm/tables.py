@@ -124,5 +124,5 @@ def split_by_keys(df: DataFrame, col: str, keys: DataFrame, n: int) -> tuple[Dat
 
         return pd.Series(f.contains(k.to_numpy(dtype=np.int64)))
 
-    flagged = df.withColumn("_maybe", maybe(F.coalesce(F.col(col).cast("long"), F.lit(-1))))
-    return flagged.where(~F.col("_maybe")).drop("_maybe"), flagged.where("_maybe").drop("_maybe")
+    flagged = df.withColumn("__maybe_key", maybe(F.coalesce(F.col(col).cast("long"), F.lit(-1))))
+    return flagged.where(~F.col("__maybe_key")).drop("__maybe_key"), flagged.where("__maybe_key").drop("__maybe_key")
