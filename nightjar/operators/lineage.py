@@ -18,13 +18,18 @@ from nightjar.session import ensure_checkpoint_dir
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, after: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. With ``after`` (a
+    ``written_mark()``) the scratch tables since then, from which ``df`` was
+    made, are deleted once it is written."""
     spark: SparkSession = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/nightjar-{tag}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    if after is not None:
+        release_written(after)
     _WRITTEN.append((spark, path))
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def written_mark() -> int:
