@@ -52,6 +52,87 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
-                                   op7_suffix_dedup, op10_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.url_filter import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op9_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.hamming_search import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
+    op7_suffix_dedup, op8_url_filter, op9_hamming_top_k, op10_best_fit_packing, pipeline)}
+
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS place,
+                   first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+                   count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM d)
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked""",
+    "op4_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                       lambda x: x <> '') AS ws
+            FROM documents),
+        word AS (
+            SELECT doc_id, j, ws[j] AS word,
+                   CASE WHEN j + 12 <= len(ws) THEN array_to_string(ws[j:j + 12], ' ') END AS win
+            FROM w, unnest(range(1, len(ws) + 1)) t(j)),
+        first AS (SELECT win, min(doc_id) AS first_doc FROM word WHERE win IS NOT NULL GROUP BY win),
+        flag AS (
+            SELECT doc_id, j, word, coalesce(first_doc < doc_id, false) AS bad
+            FROM word LEFT JOIN first USING (win)),
+        cut AS (
+            SELECT doc_id, j, word, bool_or(bad) OVER (PARTITION BY doc_id ORDER BY j
+                                                       ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+            FROM flag),
+        kept AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS text
+            FROM cut GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op9_hamming_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0, false)) AS bits
+            FROM embeddings WHERE embedding IS NOT NULL),
+        pairs AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   len(list_filter(list_zip(q.bits, v.bits), lambda p: p[1] <> p[2])) AS distance
+            FROM v AS q, v WHERE q.vec_id % 50 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS place FROM pairs)
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(distance AS BIGINT) AS distance
+        FROM ranked WHERE place <= 10""",
+}
