@@ -29,7 +29,7 @@ from nightjar.llm.lexicon import MAX_WORDS, compile_lexicon, opened
 from nightjar.llm.tables import documents
 from nightjar.llm.textbytes import blocks, strings, word_hashes
 
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 
 
 def _texts(b) -> list[str]:

@@ -43,7 +43,7 @@ from nightjar.llm.textbytes import blocks
 SIZE = 2048
 CLOSING = 0
 RANGES = 4
-_BLOCK = 4 << 20
+_BLOCK = 1 << 20
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, closing: int = CLOSING, with_ids: bool = False) -> DataFrame:

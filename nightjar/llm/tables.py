@@ -16,17 +16,29 @@ from nightjar.operators.lineage import materialize
 #: callers join instead of broadcasting.
 FILTER_BITS = 1 << 27
 CAPACITY = FILTER_BITS // 4
+#: Rows of an Arrow batch at most, unless the session asks for fewer: texts can
+#: be long, and a Python worker holds a batch or two.
+BATCH_ROWS = 512
 _CHUNK = 1 << 16                      # bytes of a filter that travel as one row
 
 __all__ = ["BitFilter", "documents", "key_filter", "materialize", "partitions", "split_by_keys", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Limit the rows of an Arrow batch for this session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def documents(df: DataFrame) -> DataFrame:
     """doc_id and text of any frame that has them; a null text is empty."""
+    small_batches(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"),
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

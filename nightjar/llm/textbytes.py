@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE_BASE = 0x9E3779B97F4A7C15 | 1
