@@ -6,8 +6,6 @@ inside whole-stage codegen; nothing calls back into Python per row.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,11 +52,6 @@ def utc_date(eventat) -> Column:
                       F.floor(col_(eventat) / MS_PER_DAY).cast("int"))
 
 
-def date_start_ms(d) -> Column:
-    """Epoch ms of midnight UTC at the start of a DATE column or literal."""
-    return F.datediff(col_(d), F.lit("1970-01-01").cast("date")).cast("long") * MS_PER_DAY
-
-
 def ist_date(ts) -> Column:
     """Calendar date in India of a naive UTC timestamp."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(IST_ZONE), col_(ts)))
@@ -86,7 +79,8 @@ CENTROID_TYPE = "decimal(22,10)"
 
 
 def exact_mean(c) -> Column:
-    """Mean over DECIMAL(22,10) values: exact sums, so the result does not
+    """Mean over DECIMAL(22,10) values (a coordinate keeps 10 decimals, about
+    10 micrometres; finer digits are rounded off): exact sums, so the result does not
     depend on the order rows are summed in (float AVG does, and then so does
     a half-even rounding of an exact tie such as 12.000025)."""
     return F.avg(col_(c).cast(CENTROID_TYPE))
@@ -118,18 +112,17 @@ def normalize_address(x) -> Column:
     return F.regexp_replace(strip_chars(x, ", "), r"^\s+|\s+$", "")
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def _sql_ref(x) -> str:
-    if isinstance(x, str):
-        return "`" + x.replace("`", "``") + "`"
-    raise TypeError("strip_chars needs a column name")
+def number(text) -> Column:
+    """Decimal text as DOUBLE, else NULL. A bare ``try_cast`` would also take
+    a type suffix, as in ``'12.5d'``."""
+    return F.when(F.regexp_like(col_(text), F.lit(NUMBER)), F.trim(col_(text)).try_cast("double"))
 
 
 def _part(text, part: int) -> Column:
-    return F.trim(F.try_element_at(F.split(F.trim(col_(text)), ","), F.lit(part))).try_cast("double")
+    return number(F.try_element_at(F.split(F.trim(col_(text)), ","), F.lit(part)))
 
 
 def parse_pair(text, part: int) -> Column:
@@ -170,13 +163,5 @@ def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_REPORT_M)
 CLUSTER_EPS_RAD = CLUSTER_EPS_KM / EARTH_RADIUS_CLUSTER_KM
 
 
-def within_cluster_eps(lat1, lon1, lat2, lon2) -> Column:
-    return haversine_central_angle(lat1, lon1, lat2, lon2) <= F.lit(CLUSTER_EPS_RAD)
-
-
 def in_bbox(lat, lon) -> Column:
     return col_(lat).between(LAT_MIN, LAT_MAX) & col_(lon).between(LON_MIN, LON_MAX)
-
-
-def deg_per_metre_lat() -> float:
-    return 180.0 / (math.pi * EARTH_RADIUS_CLUSTER_KM * 1000.0)

@@ -36,11 +36,19 @@ def _mapping(tables: dict, address_type: str) -> DataFrame:
     return tables["address_mapping"].where(F.col("address_type") == address_type)
 
 
-def role_address(tables: dict, profile_type: str, address_type: str, with_stability: bool = False) -> DataFrame:
+def role_address(tables: dict, profile_type: str, address_type: str, with_stability: bool = False,
+                 lms: DataFrame | None = None) -> DataFrame:
     """Per loan (lms_id) the address of the active profile of one role and
     one address type. Left joins throughout: every loan appears; a role
-    with several mapped addresses gives several rows."""
+    with several mapped addresses gives several rows. ``lms`` (column
+    ``lms_id``) limits the loans.
+
+    Profile, mapping and address are joined first, on keys that are there;
+    the loans come last, on their own id. So no join has the NULL of the
+    loans without a profile as a hot key."""
     ld = tables["loan_details"].select(F.col("uuid").alias("ld_uuid"), "lms_id")
+    if lms is not None:
+        ld = ld.join(lms, "lms_id", "left_semi")
     cp = _active_profiles(tables, profile_type).select(
         F.col("loan_details_id").alias("cp_ld"), F.col("user_profile_uuid").alias("cp_user"),
         F.col("business_stability").alias("cp_business_stability"))
@@ -49,9 +57,9 @@ def role_address(tables: dict, profile_type: str, address_type: str, with_stabil
         F.col("address_uuid").alias("m_addr"))
     a = tables["address"].select(F.col("uuid").alias("a_uuid"), "address_line_1", "address_line_2", "city",
                                  "state", "pincode", "residing_since", "marked_at")
-    j = (ld.join(cp, F.col("ld_uuid") == F.col("cp_ld"), "left")
-           .join(mp, (F.col("m_ld") == F.col("ld_uuid")) & (F.col("m_user") == F.col("cp_user")), "left")
-           .join(a, F.col("a_uuid") == F.col("m_addr"), "left"))
+    mapped = mp.join(a, F.col("a_uuid") == F.col("m_addr"), "left")
+    known = cp.join(mapped, (F.col("m_ld") == F.col("cp_ld")) & (F.col("m_user") == F.col("cp_user")), "left")
+    j = ld.join(known, F.col("ld_uuid") == F.col("cp_ld"), "left")
     cols = [F.col("lms_id"), F.col("address_line_1").alias("line_1"), F.col("address_line_2").alias("line_2"),
             F.col("city"), F.col("state"), F.col("pincode")]
     if with_stability:
@@ -65,49 +73,61 @@ def _prefixed(df: DataFrame, names: dict[str, str]) -> DataFrame:
                      *[F.col(k).alias(v) for k, v in names.items()])
 
 
-def loan_profile(tables: dict) -> DataFrame:
+def loan_profile(tables: dict, loans: DataFrame | None = None) -> DataFrame:
     """One row per loan in DISBURSED/APPROVED (more when a role maps to
-    several addresses), 69 output columns."""
+    several addresses), 69 output columns. ``loans`` (column ``loan_no``)
+    limits the loans before any other join.
+
+    The branches (booking with vehicle and dealer; applicant profile with
+    report, user and address; each role) are joined from their far side, on
+    keys that are there, and meet the loans last, one left join each. Loans
+    without a branch so never share a NULL join key."""
     ld = tables["loan_details"].where(F.col("loan_status").isin(*LOAN_STATUSES))
+    if loans is not None:
+        ld = ld.join(loans.select(F.col("loan_no").alias("w_loan_no")).distinct(),
+                     F.col("loan_reference_id") == F.col("w_loan_no"), "left_semi")
+    lms = ld.select("lms_id").distinct() if loans is not None else None
+    t = lambda name, prefix: tables[name].select(
+        *[F.col(c).alias(f"{prefix}_{c}") for c in tables[name].columns])
     ld = ld.select(*[F.col(c).alias(f"ld_{c}") for c in ld.columns])
-    o = tables["orders"].select(F.col("ref_id").alias("o_ref_id"))
-    vb = tables["vehicle_bookings"].select(*[F.col(c).alias(f"vb_{c}") for c in tables["vehicle_bookings"].columns])
-    booked = o.join(vb, F.col("o_ref_id") == F.col("vb_ref_id"), "inner")
+
+    dealers = (tables["dealerships"].select(F.col("uuid").alias("ds_uuid"), F.col("full_name").alias("ds_full_name"),
+                                            F.col("city_uuid").alias("ds_city_uuid"))
+               .join(tables["cities"].select(F.col("uuid").alias("ct_uuid"), F.col("name").alias("ct_name"),
+                                             F.col("state_uuid").alias("ct_state_uuid")),
+                     F.col("ct_uuid") == F.col("ds_city_uuid"), "left")
+               .join(tables["states"].select(F.col("uuid").alias("st_uuid"), F.col("name").alias("st_name")),
+                     F.col("ct_state_uuid") == F.col("st_uuid"), "left"))
+    vehicles = t("vehicles", "v").join(
+        tables["oems"].select(F.col("uuid").alias("oe_uuid"), F.col("name").alias("oe_name")),
+        F.col("oe_uuid") == F.col("v_oem_uuid"), "left")
     # RIGHT JOIN keeping every loan == loans LEFT JOIN bookings.
-    j = ld.join(booked, F.col("ld_vehicle_booking_id") == F.col("vb_uuid"), "left")
-    vd = tables["vehicle_details"].select(F.col("uuid").alias("vd_uuid"), F.col("vin").alias("vd_vin"))
-    j = j.join(vd, F.col("vd_uuid") == F.col("vb_vehicle_details_uuid"), "left")
+    booked = (tables["orders"].select(F.col("ref_id").alias("o_ref_id"))
+              .join(t("vehicle_bookings", "vb"), F.col("o_ref_id") == F.col("vb_ref_id"), "inner")
+              .join(tables["vehicle_details"].select(F.col("uuid").alias("vd_uuid"), F.col("vin").alias("vd_vin")),
+                    F.col("vd_uuid") == F.col("vb_vehicle_details_uuid"), "left")
+              .join(vehicles, F.col("v_uuid") == F.col("vb_vehicle_uuid"), "left")
+              .join(dealers, F.col("ds_uuid") == F.col("vb_dealership_uuid"), "left"))
+
     cp = _active_profiles(tables, "APPLICANT")
     cp = cp.select(*[F.col(c).alias(f"cp_{c}") for c in cp.columns])
-    j = j.join(cp, F.col("ld_uuid") == F.col("cp_loan_details_id"), "left")
-    cr = tables["credit_report"].select(F.col("credit_profile_id").alias("cr_cp"),
-                                        F.col("credit_report_extra").alias("cr_extra"),
-                                        F.col("created_at").alias("cr_created_at"))
-    j = j.join(cr, F.col("cp_uuid") == F.col("cr_cp"), "left")
-    eu = tables["user_profiles"].select(*[F.col(c).alias(f"eu_{c}") for c in tables["user_profiles"].columns])
-    j = j.join(eu, F.col("eu_uuid") == F.col("cp_user_profile_uuid"), "left")
-    lp = tables["loan_provider"].select(F.col("uuid").alias("lp_uuid"), F.col("name").alias("lp_name"))
-    j = j.join(lp, F.col("lp_uuid") == F.col("ld_loan_provider"), "left")
-    v = tables["vehicles"].select(*[F.col(c).alias(f"v_{c}") for c in tables["vehicles"].columns])
-    j = j.join(v, F.col("v_uuid") == F.col("vb_vehicle_uuid"), "left")
-    oe = tables["oems"].select(F.col("uuid").alias("oe_uuid"), F.col("name").alias("oe_name"))
-    j = j.join(oe, F.col("oe_uuid") == F.col("v_oem_uuid"), "left")
-    ds = tables["dealerships"].select(F.col("uuid").alias("ds_uuid"), F.col("full_name").alias("ds_full_name"),
-                                      F.col("city_uuid").alias("ds_city_uuid"))
-    j = j.join(ds, F.col("ds_uuid") == F.col("vb_dealership_uuid"), "left")
-    dd = tables["disbursal_details"].select(*[F.col(c).alias(f"dd_{c}") for c in tables["disbursal_details"].columns])
-    j = j.join(dd, F.col("ld_uuid") == F.col("dd_loan_details_uuid"), "left")
-    ct = tables["cities"].select(F.col("uuid").alias("ct_uuid"), F.col("name").alias("ct_name"),
-                                 F.col("state_uuid").alias("ct_state_uuid"))
-    j = j.join(ct, F.col("ct_uuid") == F.col("ds_city_uuid"), "left")
-    stt = tables["states"].select(F.col("uuid").alias("st_uuid"), F.col("name").alias("st_name"))
-    j = j.join(stt, F.col("ct_state_uuid") == F.col("st_uuid"), "left")
-    mp = _mapping(tables, "CURRENT_RESIDENCE").select(
+    mapped = (_mapping(tables, "CURRENT_RESIDENCE").select(
         F.col("loan_details_uuid").alias("m_ld"), F.col("user_profile_uuid").alias("m_user"),
         F.col("address_uuid").alias("m_addr"))
-    j = j.join(mp, (F.col("m_ld") == F.col("ld_uuid")) & (F.col("m_user") == F.col("cp_user_profile_uuid")), "left")
-    a = tables["address"].select(*[F.col(c).alias(f"a_{c}") for c in tables["address"].columns])
-    j = j.join(a, F.col("a_uuid") == F.col("m_addr"), "left")
+        .join(t("address", "a"), F.col("a_uuid") == F.col("m_addr"), "left"))
+    applicant = (cp.join(tables["credit_report"].select(F.col("credit_profile_id").alias("cr_cp"),
+                                                        F.col("credit_report_extra").alias("cr_extra"),
+                                                        F.col("created_at").alias("cr_created_at")),
+                         F.col("cp_uuid") == F.col("cr_cp"), "left")
+                 .join(t("user_profiles", "eu"), F.col("eu_uuid") == F.col("cp_user_profile_uuid"), "left")
+                 .join(mapped, (F.col("m_ld") == F.col("cp_loan_details_id"))
+                       & (F.col("m_user") == F.col("cp_user_profile_uuid")), "left"))
+
+    lp = tables["loan_provider"].select(F.col("uuid").alias("lp_uuid"), F.col("name").alias("lp_name"))
+    j = (ld.join(booked, F.col("ld_vehicle_booking_id") == F.col("vb_uuid"), "left")
+           .join(applicant, F.col("ld_uuid") == F.col("cp_loan_details_id"), "left")
+           .join(lp, F.col("lp_uuid") == F.col("ld_loan_provider"), "left")
+           .join(t("disbursal_details", "dd"), F.col("ld_uuid") == F.col("dd_loan_details_uuid"), "left"))
 
     roles = [
         ("APPLICANT", "OFFICE", True, {"lms_id": "b_lms", "line_1": "bussiness_address_1", "line_2": "bussiness_address_2",
@@ -125,7 +145,7 @@ def loan_profile(tables: dict) -> DataFrame:
     ]
     for ptype, atype, stab, names in roles:
         key = names["lms_id"]
-        r = _prefixed(role_address(tables, ptype, atype, stab), dict(names))
+        r = _prefixed(role_address(tables, ptype, atype, stab, lms), dict(names))
         j = j.join(r, F.col(key) == F.col("ld_lms_id"), "left")
 
     details = F.col("cp_credit_profile_additional_details")
@@ -203,8 +223,11 @@ def loan_vehicle_pairs(sheet: DataFrame) -> DataFrame:
 
 
 def incomplete(master: DataFrame) -> Column:
-    return (F.col("current_lat").isNull() | F.col("current_lng").isNull()
-            | F.col("permanent_lat").isNull() | F.col("permanent_lng").isNull())
+    """A coordinate is missing: NULL, or NaN from an imported file."""
+    out = F.lit(False)
+    for c in ("current_lat", "current_lng", "permanent_lat", "permanent_lng"):
+        out = out | F.col(c).isNull() | F.isnan(c)
+    return out
 
 
 def address_worklist(master: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -250,7 +273,8 @@ def geocode(addresses: DataFrame, cache: DataFrame,
     keys = (addresses.select(normalize_address("address").alias("address"))
                      .where(F.col("address") != "").distinct())
     known = cache.select(normalize_address("address").alias("address"), "lat", "lng") \
-                 .where(F.col("lat").isNotNull() & F.col("lng").isNotNull()) \
+                 .where(F.col("lat").isNotNull() & F.col("lng").isNotNull()
+                        & ~F.isnan("lat") & ~F.isnan("lng")) \
                  .groupBy("address").agg(F.min(F.struct("lat", "lng")).alias("c"))
     hit = keys.join(known, "address", "left")
     out = hit.select("address", F.col("c.lat").alias("lat"), F.col("c.lng").alias("lng"))
@@ -263,15 +287,26 @@ def geocode(addresses: DataFrame, cache: DataFrame,
 
 
 def geocode_lookup(composed: DataFrame, cache: DataFrame, enrich=None) -> DataFrame:
-    """Coordinates of both composed addresses of each work-list row; the
-    lookup key is normalised exactly like the geocoded key."""
-    both = composed.select(F.explode(F.array("current_full_address", "permanent_full_address")).alias("address"))
-    g = geocode(both, cache, enrich).select("address", "lat", "lng")
+    """Coordinates of both composed addresses of each work-list row."""
+    return attach_coordinates(composed, geocode(composed_addresses(composed), cache, enrich))
+
+
+def composed_addresses(composed: DataFrame) -> DataFrame:
+    return composed.select(F.explode(F.array("current_full_address", "permanent_full_address")).alias("address"))
+
+
+def attach_coordinates(composed: DataFrame, geocoded: DataFrame) -> DataFrame:
+    """The lookup key is normalised exactly like the geocoded key; rows with
+    nothing to look up ('' can never match) become NULL keys of a spread of
+    their own, so they do not meet in one task."""
+    g = geocoded.select("address", "lat", "lng")
     cur = g.select(F.col("address").alias("_ca"), F.col("lat").alias("current_lat"), F.col("lng").alias("current_lng"))
     per = g.select(F.col("address").alias("_pa"), F.col("lat").alias("permanent_lat"),
                    F.col("lng").alias("permanent_lng"))
-    c = composed.withColumn("_ck", normalize_address("current_full_address")) \
-                .withColumn("_pk", normalize_address("permanent_full_address"))
+    spread = lambda c: F.when(c != "", c).otherwise(  # noqa: E731  no address starts with a NUL
+        F.concat(F.lit("\0"), F.xxhash64("loan_no", "vin").cast("string")))
+    c = composed.withColumn("_ck", spread(normalize_address("current_full_address"))) \
+                .withColumn("_pk", spread(normalize_address("permanent_full_address")))
     j = c.join(cur, F.col("_ck") == F.col("_ca"), "left").join(per, F.col("_pk") == F.col("_pa"), "left")
     return j.select("loan_no", "vin", "current_lat", "current_lng", "permanent_lat", "permanent_lng")
 

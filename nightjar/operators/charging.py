@@ -15,6 +15,7 @@ from nightjar.sources.vendors import (VendorSpec, partition_days, partition_filt
                                       spec_column)
 
 KEYS = ["vendor", "vin"]
+TIES = ["latitude", "longitude", "odometer", "soc", "dte", "charge_flag"]
 
 
 def charging_scan_filter(specs: Sequence[VendorSpec], as_of: dt.date, lookback: int) -> Column:
@@ -49,7 +50,7 @@ def charging_candidates(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> Da
             .where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
                    & in_bbox("latitude", "longitude"))
             .where(~has_odo | F.col("odometer").isNotNull())
-            .where(~has_odo | ~motion | F.coalesce(F.col("motion_ok"), F.lit(False)))
+            .where(~motion | F.coalesce(F.col("motion_ok"), F.lit(False)))
             .select("vendor", "vin", "eventat", "latitude", "longitude", "odometer",
                     "soc", "dte", "charge_flag"))
 
@@ -63,7 +64,7 @@ def charging_signal(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> DataFr
         "prev_soc": ("soc", F.lit(0.0)),
         "prev_dte": ("dte", F.lit(0.0)),
         "prev_odometer": ("odometer", F.col("odometer")),
-    })
+    }, ties=TIES)
     use_flag = spec_column(specs, "use_flag", False)
     use_soc = spec_column(specs, "use_soc", False)
     use_dte = spec_column(specs, "use_dte", False)
@@ -83,7 +84,7 @@ def charging_sessions(telemetry: DataFrame, specs: Sequence[VendorSpec],
     the running count of starts. Sessions shorter than the vendor's minimum
     minutes or points are dropped."""
     sig = bucketed_island_ids(charging_signal(telemetry, specs), KEYS, "eventat", "is_charging_signal",
-                              "session_id")
+                              "session_id", ties=TIES)
     sess = (sig.where(F.col("is_charging_signal") == 1)
                .groupBy("vendor", "vin", "session_id")
                .agg(F.min("eventat").alias("session_start_time"),

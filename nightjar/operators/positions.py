@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightjar.functions.exprs import (coord_text, exact_mean, in_bbox, round_half_even,
+from nightjar.functions.exprs import (coord_text, exact_mean, in_bbox, number, round_half_even,
                                       utc_date, utc_hour)
 from nightjar.operators.sequence import bucketed_lag, with_bucket
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter, spec_column
@@ -27,18 +27,14 @@ def valid_positions(raw: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
     vendors with ``packed_position``, else separate text columns. Keeps rows
     whose parts parse and lie in the bounding box."""
     packed = spec_column(specs, "packed_position", False)
-    loc = F.col("location")
-    p1 = F.expr("try_cast(split_part(location, ',', 1) AS DOUBLE)")
-    p2 = F.expr("try_cast(split_part(location, ',', 2) AS DOUBLE)")
-    s1 = F.expr("try_cast(lat_text AS DOUBLE)")
-    s2 = F.expr("try_cast(lon_text AS DOUBLE)")
-    packed_ok = loc.isNotNull() & (F.size(F.split(loc, ",")) == 2) & p1.isNotNull() & p2.isNotNull()
-    sep_ok = s1.isNotNull() & s2.isNotNull()
-    lat = F.when(packed, p1).otherwise(s1)
-    lon = F.when(packed, p2).otherwise(s2)
-    ok = F.when(packed, packed_ok).otherwise(sep_ok)
-    return (raw.where(ok & in_bbox(lat, lon))
-               .select("vendor", "vin", "eventat", lat.alias("latitude"), lon.alias("longitude")))
+    parts = F.split(F.col("location"), ",")
+    lat = F.when(~packed, F.col("lat_text")).when(F.size(parts) == 2, F.try_element_at(parts, F.lit(1)))
+    lon = F.when(~packed, F.col("lon_text")).when(F.size(parts) == 2, F.try_element_at(parts, F.lit(2)))
+    # The generator parses each text once: filters are not pushed through it,
+    # so the parsing is not repeated in every part of the filter.
+    typed = raw.select("vendor", "vin", "eventat", F.inline(F.array(F.struct(
+        number(lat).alias("latitude"), number(lon).alias("longitude")))))
+    return typed.where(in_bbox("latitude", "longitude"))
 
 
 def scan_window(telemetry: DataFrame, as_of: dt.date, lookback: int) -> DataFrame:
@@ -72,7 +68,8 @@ def stationary_points(telemetry: DataFrame, specs: Sequence[VendorSpec],
         return cand.withColumn("prev_odometer", F.lit(None).cast("double"))
     keys = ["vendor", "vin"]
     lagged = bucketed_lag(with_bucket(cand, "eventat"), keys, "eventat",
-                          {"prev_odometer": ("odometer", F.col("odometer"))}).drop("_bucket")
+                          {"prev_odometer": ("odometer", F.col("odometer"))},
+                          ties=["latitude", "longitude", "odometer"]).drop("_bucket")
     has_odo = spec_column(specs, "has_odometer", False)
     keep = ~has_odo | (F.abs(F.col("odometer") - F.col("prev_odometer")) <= STATIONARY_ODOMETER_STEP)
     return lagged.where(keep)

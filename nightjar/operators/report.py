@@ -23,14 +23,13 @@ TEXT_COLUMNS = [c for c in REPORT_COLUMNS if c not in VISIT_SLOTS]
 
 def vendor_vehicle(last: DataFrame, nights: DataFrame, charging: DataFrame,
                    specs: Sequence[VendorSpec]) -> DataFrame:
-    """One row per vin. Per vendor: the vins of any of the three results
-    (a spine), left-joined with each. Across vendors a vin keeps the row of
-    the first vendor in configuration order. Missing values stay NULL."""
-    spine = (last.select("vendor", "vin").unionByName(nights.select("vendor", "vin"))
-                 .unionByName(charging.select("vendor", "vin")).distinct())
-    v = (spine.join(last, ["vendor", "vin"], "left")
-              .join(nights, ["vendor", "vin"], "left")
-              .join(charging, ["vendor", "vin"], "left"))
+    """One row per vin. Per vendor: the vins of any of the three results,
+    each of which has one row per vin, so one aggregate over their union
+    brings the columns together. Across vendors a vin keeps the row of the
+    first vendor in configuration order. Missing values stay NULL."""
+    every = (last.unionByName(nights, allowMissingColumns=True)
+                 .unionByName(charging, allowMissingColumns=True))
+    v = every.groupBy("vendor", "vin").agg(*[F.max(c).alias(c) for c in VEHICLE_COLUMNS])
     v = v.withColumn("_prio", vendor_priority(specs))
     best = v.groupBy("vin").agg(F.min(F.struct("_prio", "vendor", *VEHICLE_COLUMNS)).alias("b"))
     return best.select("vin", F.col("b.vendor").alias("vendor"), *[F.col(f"b.{c}").alias(c) for c in VEHICLE_COLUMNS])

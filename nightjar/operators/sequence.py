@@ -10,42 +10,25 @@ from the last row of each bucket (one row per key and bucket), ordered by a
 small window whose partitions hold at most ``span / bucket`` rows per key.
 Results are identical to the plain window.
 
-The bucket summary is taken from the windowed rows themselves, so the
-summary branch and the row branch share one shuffle (Spark reuses the
-exchange) and nested passes do not recompute their input.
+The row branch and the bucket-summary branch both read the pass's input. It
+is written once to the shared folder (``lineage.materialize``), so it is
+computed once, each branch reads only its columns, and no copy depends on one
+executor's disk.
+
+``ties`` are further order columns for rows with an equal ``order`` value, so
+that a retry orders them alike.
 """
 
 from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_MS = 3_600_000
-
-
-_SHARED: list[DataFrame] = []
-
-
-def _shared(df: DataFrame) -> DataFrame:
-    """The row branch and the bucket-summary branch both read the input;
-    keep one computed copy (on disk, no heap) instead of computing the
-    input twice, and nested passes 2**n times. Lost blocks are recomputed
-    from lineage. ``release_shared()`` drops the copies after a job."""
-    out = df.persist(StorageLevel.DISK_ONLY)
-    _SHARED.append(out)
-    return out
-
-
-def shared_mark() -> int:
-    return len(_SHARED)
+from nightjar.operators.lineage import materialize
 
-
-def release_shared(since: int = 0) -> None:
-    while len(_SHARED) > since:
-        _SHARED.pop().unpersist()
+DEFAULT_BUCKET_MS = 3_600_000
 
 
 def with_bucket(df: DataFrame, order: str, bucket_ms: int = DEFAULT_BUCKET_MS,
@@ -55,7 +38,7 @@ def with_bucket(df: DataFrame, order: str, bucket_ms: int = DEFAULT_BUCKET_MS,
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], order: str,
                  columns: Mapping[str, tuple[str, Column | None]],
-                 bucket: str = "_bucket") -> DataFrame:
+                 bucket: str = "_bucket", ties: Sequence[str] = ()) -> DataFrame:
     """Add ``out = lag(src, 1, default)`` over ``keys`` ordered by ``order``.
 
     ``columns`` maps output name -> (source column, default). The default is
@@ -65,9 +48,9 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: str,
     ``df`` must already carry ``bucket``.
     """
     keys = list(keys)
-    w_in = Window.partitionBy(*keys, bucket).orderBy(order)
+    w_in = Window.partitionBy(*keys, bucket).orderBy(order, *ties)
     srcs = sorted({src for src, _ in columns.values()})
-    df = _shared(df)
+    df = materialize(df, "pass")
     staged = df.select(
         "*",
         F.lag(F.col(order)).over(w_in).isNull().alias("_first_in_bucket"),
@@ -90,29 +73,8 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: str,
     return joined.withColumns(outs).drop(*drop)
 
 
-def bucketed_running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str,
-                         out: str, bucket: str = "_bucket") -> DataFrame:
-    """``out = SUM(value) OVER (PARTITION BY keys ORDER BY order)`` with the
-    default RANGE frame (peers with equal ``order`` share the sum)."""
-    keys = list(keys)
-    w_in = Window.partitionBy(*keys, bucket).orderBy(order)
-    staged = df.select(
-        "*",
-        F.sum(F.col(value)).over(w_in.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-         .alias("_in_bucket_sum"),
-        F.lead(F.col(order)).over(w_in).isNull().alias("_last_in_bucket"))
-    w_b = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = (staged.where(F.col("_last_in_bucket"))
-                    .select(*keys, bucket, F.col("_in_bucket_sum").alias("_bucket_total"))
-                    .select(*keys, bucket,
-                            F.coalesce(F.sum("_bucket_total").over(w_b), F.lit(0)).alias("_prefix")))
-    joined = staged.join(prefix, on=keys + [bucket], how="left")
-    return (joined.withColumn(out, F.col("_prefix") + F.col("_in_bucket_sum"))
-                  .drop("_in_bucket_sum", "_prefix", "_last_in_bucket"))
-
-
 def bucketed_island_ids(df: DataFrame, keys: Sequence[str], order: str, flag: str,
-                        out: str, bucket: str = "_bucket") -> DataFrame:
+                        out: str, bucket: str = "_bucket", ties: Sequence[str] = ()) -> DataFrame:
     """Gaps and islands in one pass: a row starts an island when ``flag`` is
     1 and the previous row's flag (0 before the first row) is 0;
     ``out`` is the running count of starts (default RANGE frame), as
@@ -124,10 +86,11 @@ def bucketed_island_ids(df: DataFrame, keys: Sequence[str], order: str, flag: st
     buckets turns these into the first row's start and the count before the
     bucket."""
     keys = list(keys)
-    w_in = Window.partitionBy(*keys, bucket).orderBy(order)
-    w_run = w_in.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w_in = Window.partitionBy(*keys, bucket).orderBy(order, *ties)
+    w_run = (Window.partitionBy(*keys, bucket).orderBy(order)
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     w_head = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = _shared(df)
+    df = materialize(df, "pass")
     prev_flag = F.lag(F.col(flag)).over(w_in)
     inner_start = F.when((F.col(flag) == 1) & (prev_flag == 0), 1).otherwise(0)
     staged = (df.select("*", prev_flag.isNull().alias("_first_in_bucket"),

@@ -18,6 +18,7 @@ from nightjar.operators import charging as ch
 from nightjar.operators import positions as pos
 from nightjar.operators import spatial as sp
 from nightjar.operators import state as st
+from nightjar.operators.lineage import materialize
 from nightjar.operators.reshape import pivot_top3
 from nightjar.plans import fixture as fx
 from nightjar.sources import proxy
@@ -74,8 +75,7 @@ def q_partition_window(spark, sf_dir):
 
 def q_stationary_points(spark, sf_dir):
     t = pos.scan_window(telemetry(spark, sf_dir), fx.AS_OF, fx.LOOKBACK)
-    odo = [s.name for s in SPECS if s.has_odometer]
-    return (pos.stationary_points(t.where(F.col("vendor").isin(odo)), SPECS)
+    return (pos.stationary_points(t, SPECS)
             .select("vendor", "vin", "eventat", "latitude", "longitude", "odometer", "prev_odometer"))
 
 
@@ -182,7 +182,9 @@ def worklist(spark, sf_dir) -> DataFrame:
 
 
 def composed(spark, sf_dir) -> DataFrame:
-    return ad.address_compose(worklist(spark, sf_dir), profile(spark, sf_dir))
+    work = materialize(worklist(spark, sf_dir), "worklist")
+    return materialize(ad.address_compose(work, ad.loan_profile(proxy.loan_tables(spark, sf_dir), loans=work)),
+                       "composed")
 
 
 def geocoded(spark, sf_dir) -> DataFrame:
@@ -210,8 +212,14 @@ def _as_checked(df: DataFrame) -> DataFrame:
 
 
 def q_loan_role_address(spark, sf_dir):
-    return _as_checked(ad.role_address(proxy.loan_tables(spark, sf_dir), "APPLICANT", "OFFICE",
-                                       with_stability=True))
+    tables = proxy.loan_tables(spark, sf_dir)
+    out = None
+    for profile_type, address_type in (("APPLICANT", "OFFICE"), ("APPLICANT", "PERMANENT_RESIDENCE"),
+                                       ("GURANTOR", "CURRENT_RESIDENCE"), ("CO_APPLICANT", "CURRENT_RESIDENCE")):
+        r = ad.role_address(tables, profile_type, address_type, with_stability=True).select(
+            F.lit(f"{profile_type} {address_type}").alias("role"), "*")
+        out = r if out is None else out.unionByName(r)
+    return _as_checked(out)
 
 
 def q_loan_profile(spark, sf_dir):
@@ -259,7 +267,6 @@ QUERIES.update({
 # --- report side ---------------------------------------------------------------
 
 from nightjar.operators import report as rp  # noqa: E402
-from nightjar.operators.lineage import materialize  # noqa: E402
 
 
 def vehicles_at(spark, sf_dir, as_of) -> DataFrame:
@@ -267,7 +274,8 @@ def vehicles_at(spark, sf_dir, as_of) -> DataFrame:
     vehicle), written once so that reports join two small tables instead of
     re-planning both pipelines."""
     tel = telemetry(spark, sf_dir)
-    nstate = st.night_retention(pos.night_points(pos.scan_window(tel, as_of, fx.LOOKBACK), SPECS), as_of, 60)
+    nstate = materialize(st.night_retention(
+        pos.night_points(pos.scan_window(tel, as_of, fx.LOOKBACK), SPECS), as_of, 60), "night")
     last = pos.last_night(nstate, as_of)
     nights = pivot_top3(pos.night_cells(nstate), "night_location")
     cstate = st.charging_retention(sessions(spark, sf_dir, as_of, fx.LOOKBACK), as_of, 60)
@@ -295,8 +303,10 @@ def q_vehicle_report(spark, sf_dir):
 
 def q_report_delta(spark, sf_dir):
     master = report_master(spark, sf_dir)
+    # The report compared with is older and has a smaller master.
+    before = master.where(F.col("vin").cast("long") % fx.DELTA_MASTER_STEP != 0)
     return rp.report_delta(report_at(spark, sf_dir, fx.AS_OF, master),
-                           report_at(spark, sf_dir, fx.PREV_AS_OF, master))
+                           report_at(spark, sf_dir, fx.DELTA_AS_OF, before))
 
 
 def q_report_json(spark, sf_dir):

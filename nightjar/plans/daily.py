@@ -10,7 +10,7 @@ vendor.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +23,12 @@ from nightjar.operators import report as rp
 from nightjar.operators import spatial as sp
 from nightjar.operators import state as st
 from nightjar.operators.reshape import pivot_top3
-from nightjar.operators.lineage import release_written, written_mark
-from nightjar.operators.sequence import release_shared, shared_mark
+from nightjar.operators.lineage import materialize, release_written, written_mark
 from nightjar.sources import io
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter
 
 HISTORY_DAYS = 60
-INCREMENTAL_DAYS = 1
+INCREMENTAL_DAYS = 1      # days before as_of that a run rescans at least
 
 
 @dataclass
@@ -43,27 +42,41 @@ class JobConfig:
     loan_pairs: Callable[[SparkSession], DataFrame] | None = None
     geocode_cache: Callable[[SparkSession], DataFrame] | None = None
     geocode_enrich: Callable | None = None
+    geocode_root: str | None = None          # answers are kept here from run to run
     history_days: int = HISTORY_DAYS
     previous_report_csv: str | None = None   # compare against this CSV instead of the last version
-    extra: dict = field(default_factory=dict)
 
 
 def _telemetry(spark, cfg) -> DataFrame:
     return cfg.telemetry(spark) if callable(cfg.telemetry) else cfg.telemetry
 
 
-def _scan(specs, as_of, with_state: set[str], history: int, charging: bool):
-    """Partition predicate: vendors with state read as_of and the day
-    before, others the whole history; for charging, ``charging_days``
-    vendors read only the days before as_of."""
+def _lookback(as_of: dt.date, version: dt.date | None, since: dt.date | None, history: int) -> int:
+    """Days before ``as_of`` to rescan on top of the state of ``version``: back
+    to that version's own day, so that a gap between runs loses nothing, and
+    back to the day before ``since`` if older days were delivered."""
+    days = INCREMENTAL_DAYS
+    if version is not None:
+        days = max(days, (as_of - version).days)
+    if since is not None:
+        days = max(days, (as_of - since).days + 1)
+    return min(days, history)
+
+
+def _scan(specs, as_of, with_state: set[str], lookback: int, history: int, charging: bool):
+    """Partition predicate: vendors with state read as_of and ``lookback``
+    days before, others the whole history; for charging, ``charging_days``
+    vendors read only the days before as_of, that many or, after a gap, all
+    since the state."""
     clauses = []
     for s in specs:
         if charging and not s.charging:
             continue
         if charging and s.charging_days is not None:
-            days = [as_of - dt.timedelta(days=i) for i in range(1, s.charging_days + 1)]
+            back = max(s.charging_days, lookback if s.name in with_state else 0)
+            days = [as_of - dt.timedelta(days=i) for i in range(1, back + 1)]
         else:
-            days = partition_days(as_of, INCREMENTAL_DAYS if s.name in with_state else history)
+            days = partition_days(as_of, lookback if s.name in with_state else history)
         clauses.append((F.col("vendor") == s.name) & partition_filter(days))
     out = F.lit(False)
     for c in clauses:
@@ -77,37 +90,39 @@ def _vendors_in(df: DataFrame | None) -> set[str]:
     return {r[0] for r in df.select("vendor").distinct().collect()}   # at most one row per vendor
 
 
-def run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
+def run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None = None) -> dict[str, DataFrame]:
     """One daily run; every output is written before this returns, then the
-    inputs shared between plan branches and the scratch tables are released
-    (the returned frames read only the written versions)."""
-    shared, written = shared_mark(), written_mark()
+    scratch tables are deleted (the returned frames read only the written
+    versions). ``since`` is the oldest day of which new rows arrived; days
+    back to it are rescanned even if the state is newer. States are written
+    last, so a failed run leaves no state without its report."""
+    written = written_mark()
     try:
-        return _run(spark, as_of, cfg)
+        return _run(spark, as_of, cfg, since)
     finally:
-        release_shared(shared)
         release_written(written)
 
 
-def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None) -> dict[str, DataFrame]:
     specs = cfg.specs
     tel = _telemetry(spark, cfg)
     night_root, charge_root = f"{cfg.state_root}/night", f"{cfg.state_root}/charging"
 
     prev_night = io.read_version(spark, night_root, as_of, io.NIGHT_STATE_SCHEMA)
+    back = _lookback(as_of, io.latest_version(spark, night_root, as_of), since, cfg.history_days)
     night_new = pos.night_points(
-        tel.where(_scan(specs, as_of, _vendors_in(prev_night), cfg.history_days, False)), specs)
-    night_state = io.write_version(
+        tel.where(_scan(specs, as_of, _vendors_in(prev_night), back, cfg.history_days, False)), specs)
+    night_state = materialize(
         st.merge_night_state(prev_night, night_new, as_of, cfg.history_days).select(*io.NIGHT_STATE_SCHEMA.names),
-        night_root, as_of, ("vendor",))
+        "night")
 
     prev_charge = io.read_version(spark, charge_root, as_of, io.CHARGING_STATE_SCHEMA)
+    back = _lookback(as_of, io.latest_version(spark, charge_root, as_of), since, cfg.history_days)
     sessions = ch.charging_sessions(
-        tel.where(_scan(specs, as_of, _vendors_in(prev_charge), cfg.history_days, True)), specs)
-    charge_state = io.write_version(
+        tel.where(_scan(specs, as_of, _vendors_in(prev_charge), back, cfg.history_days, True)), specs)
+    charge_state = materialize(
         st.merge_charging_state(prev_charge, sessions, as_of, cfg.history_days)
-          .select(*io.CHARGING_STATE_SCHEMA.names),
-        charge_root, as_of, ("vendor",))
+          .select(*io.CHARGING_STATE_SCHEMA.names), "charging")
 
     last = pos.last_night(night_state, as_of)
     nights = pivot_top3(pos.night_cells(night_state), "night_location")
@@ -121,29 +136,50 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> dict[str, DataF
     io.write_report_csv(report, io.version_path(f"{cfg.report_root}/csv", as_of))
     io.write_report_json(report, io.version_path(f"{cfg.report_root}/json", as_of))
 
-    out = {"night_state": night_state, "charging_state": charge_state, "master": master, "report": report}
+    out = {"master": master, "report": report}
     if cfg.previous_report_csv:
         previous = io.read_report_csv(spark, cfg.previous_report_csv)
     else:
         previous = io.read_version(spark, f"{cfg.report_root}/table", as_of, report.schema)
     if previous is not None:
-        out["delta"] = rp.report_delta(report, previous)
+        out["delta"] = io.write_version(rp.report_delta(report, previous), f"{cfg.report_root}/delta", as_of)
+    out["night_state"] = io.write_version(night_state, night_root, as_of, ("vendor",))
+    out["charging_state"] = io.write_version(charge_state, charge_root, as_of, ("vendor",))
+    out["counts"] = io.write_version(_counts(spark, out), f"{cfg.report_root}/counts", as_of)
     return out
 
 
+def _counts(spark: SparkSession, out: dict[str, DataFrame]) -> DataFrame:
+    """(name, rows) of the run's outputs."""
+    rows = [(k, df.count()) for k, df in sorted(out.items()) if k != "delta"]
+    return spark.createDataFrame(rows, "name string, rows long")
+
+
 def update_master(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> DataFrame:
     """Geocode the work list (incomplete rows and new loan/vehicle pairs)
     and write the next master version; without loan sources the previous
     master is carried over unchanged."""
-    master = io.read_version(spark, cfg.master_root, as_of, io.MASTER_SCHEMA)
-    if master is None:
+    version = io.latest_version(spark, cfg.master_root, as_of)
+    if version is None:
         master = spark.createDataFrame([], io.MASTER_SCHEMA)
+    else:
+        master = io.read_master(spark, io.version_path(cfg.master_root, version))
     if cfg.loan_tables is None or cfg.loan_pairs is None:
         return io.write_version(master, cfg.master_root, as_of)
-    profile = ad.loan_profile(cfg.loan_tables(spark))
-    work = ad.address_worklist(master, ad.loan_vehicle_pairs(cfg.loan_pairs(spark)))
-    composed = ad.address_compose(work, profile)
+    work = materialize(ad.address_worklist(master, ad.loan_vehicle_pairs(cfg.loan_pairs(spark))), "worklist")
+    profile = ad.loan_profile(cfg.loan_tables(spark), loans=work)
+    composed = materialize(ad.address_compose(work, profile), "composed")
     cache = cfg.geocode_cache(spark) if cfg.geocode_cache else spark.createDataFrame([], ad.GEOCODE_SCHEMA)
-    geocoded = ad.geocode_lookup(composed, cache, cfg.geocode_enrich)
+    kept = io.read_version(spark, cfg.geocode_root, as_of, ad.GEOCODE_SCHEMA) if cfg.geocode_root else None
+    if kept is not None:
+        cache = cache.select(*ad.GEOCODE_SCHEMA.names).unionByName(kept)
+    answers = materialize(ad.geocode(ad.composed_addresses(composed), cache, cfg.geocode_enrich), "geocodes")
+    if cfg.geocode_root:
+        # Only answers are kept: a miss is asked again by the next run.
+        found = answers.where("status = 'ok'").select(*ad.GEOCODE_SCHEMA.names)
+        if kept is not None:
+            found = found.unionByName(kept.join(found.select("address"), "address", "left_anti"))
+        io.write_version(found, cfg.geocode_root, as_of)
+    geocoded = ad.attach_coordinates(composed, answers)
     seq = (as_of - dt.date(1970, 1, 1)).days * 4_294_967_296
     return io.write_version(ad.address_master_merge(master, geocoded, seq), cfg.master_root, as_of)

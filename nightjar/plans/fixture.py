@@ -4,6 +4,8 @@ import datetime as dt
 
 AS_OF = dt.date(2024, 1, 31)          # report day; telemetry ends 2024-01-30
 PREV_AS_OF = dt.date(2024, 1, 30)     # previous run (state and report)
+DELTA_AS_OF = dt.date(2024, 1, 15)    # report that report_delta compares with
+DELTA_MASTER_STEP = 9                 # its master lacks every 9th vehicle
 LOOKBACK = 60                         # first run: as_of and 60 days back
 INCREMENTAL_LOOKBACK = 1              # later runs: as_of and the day before
 RETENTION_TRIAL_DAYS = 10             # retention exercised: 30 days never reach 60

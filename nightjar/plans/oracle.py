@@ -45,13 +45,12 @@ def dcoord(si: str, so: str, n: str) -> str:
     return f"CAST({dround(si, n, 5)} AS VARCHAR) || ', ' || CAST({dround(so, n, 5)} AS VARCHAR)"
 
 
+DAY = "make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), CAST(day AS INTEGER))"
+
+
 def pfilter(days) -> str:
-    by: dict[tuple[str, str], list[str]] = {}
-    for d in days:
-        by.setdefault((f"{d.year:04d}", f"{d.month:02d}"), []).append(f"{d.day:02d}")
-    parts = [f"(year = '{y}' AND month = '{m}' AND day IN ({', '.join(repr(x) for x in sorted(ds))}))"
-             for (y, m), ds in sorted(by.items())]
-    return "(" + " OR ".join(parts) + ")"
+    """Consecutive days as a date range."""
+    return f"{DAY} BETWEEN DATE '{min(days)}' AND DATE '{max(days)}'"
 
 
 def window(as_of: dt.date, lookback: int) -> str:
@@ -115,42 +114,31 @@ ncell_top AS (
     FROM ncell) WHERE rank <= 3)"""
 
 
-def charging_cand_window(as_of: dt.date, lookback: int) -> str:
-    return f"(vendor IN {ODO_VENDORS} AND {window(as_of, lookback)})"
-
-
 def sessions_sql(name: str, as_of: dt.date, lookback: int) -> str:
-    return f"""{name}_cand AS (
-  SELECT * FROM tel
-  WHERE {charging_cand_window(as_of, lookback)}
-    AND latitude IS NOT NULL AND longitude IS NOT NULL AND {BBOX}
-    AND odometer IS NOT NULL AND (vendor <> 'v0' OR motion_ok)),
-{name}_sig AS (
-  SELECT *, CASE WHEN ((vendor IN ('v0', 'v1', 'v2') AND charge_flag) OR soc > prev_soc
-                       OR (vendor IN ('v0', 'v2') AND dte > prev_dte))
-                      AND abs(odometer - prev_odometer) <= 0.1 THEN 1 ELSE 0 END AS is_charging_signal
-  FROM (
-    SELECT *, LAG(soc, 1, 0) OVER w AS prev_soc, LAG(dte, 1, 0) OVER w AS prev_dte,
-           COALESCE(LAG(odometer) OVER w, odometer) AS prev_odometer
-    FROM {name}_cand WINDOW w AS (PARTITION BY vendor, vin ORDER BY eventat))),
-{name}_mark AS (
-  SELECT *, CASE WHEN is_charging_signal = 1
-                  AND LAG(is_charging_signal, 1, 0) OVER (PARTITION BY vendor, vin ORDER BY eventat) = 0
-                 THEN 1 ELSE 0 END AS marker
-  FROM {name}_sig),
-{name}_ids AS (
-  SELECT *, SUM(marker) OVER (PARTITION BY vendor, vin ORDER BY eventat) AS session_id
-  FROM {name}_mark WHERE is_charging_signal = 1),
-{name}_agg AS (
-  SELECT vendor, vin, session_id, MIN(eventat) AS session_start_time,
-         AVG(latitude) AS latitude, AVG(longitude) AS longitude, COUNT(*) AS point_count,
-         ((MAX(eventat) // 1000) - (MIN(eventat) // 1000)) // 60 AS duration_minutes
-  FROM {name}_ids GROUP BY vendor, vin, session_id),
+    """Charging rows of a vehicle that follow each other directly have the
+    same difference of two row numbers (among all rows, among charging rows)."""
+    return f"""{name}_sig AS (
+  SELECT t.*,
+         coalesce(first_value(soc) OVER before, CASE WHEN place = 1 THEN 0 END) AS prev_soc,
+         coalesce(first_value(dte) OVER before, CASE WHEN place = 1 THEN 0 END) AS prev_dte,
+         CASE WHEN place = 1 THEN odometer ELSE first_value(odometer) OVER before END AS prev_odometer,
+         CAST(coalesce((charge_flag AND vendor <> 'v3') OR soc > prev_soc OR (dte > prev_dte AND vendor NOT IN ('v1', 'v3')),
+                       false)
+              AND abs(odometer - prev_odometer) <= 0.1 AS INTEGER) AS is_charging_signal
+  FROM (SELECT *, row_number() OVER (PARTITION BY vendor, vin ORDER BY eventat) AS place
+        FROM tel
+        WHERE vendor IN {ODO_VENDORS} AND {window(as_of, lookback)} AND {BBOX}
+          AND odometer IS NOT NULL AND (motion_ok OR vendor <> 'v0')) t
+  WINDOW before AS (PARTITION BY vendor, vin ORDER BY place ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING)),
 {name} AS (
-  SELECT vendor, vin, session_start_time, latitude, longitude, point_count, duration_minutes
-  FROM {name}_agg
-  WHERE duration_minutes >= CASE WHEN vendor IN ('v0', 'v1') THEN 10 ELSE 1 END
-    AND point_count >= CASE WHEN vendor IN ('v0', 'v1') THEN 5 WHEN vendor = 'v2' THEN 1 ELSE 2 END)"""
+  SELECT vendor, vin, min(eventat) AS session_start_time, avg(latitude) AS latitude, avg(longitude) AS longitude,
+         count(*) AS point_count,
+         (max(eventat) // 1000 - min(eventat) // 1000) // 60 AS duration_minutes
+  FROM (SELECT *, place - row_number() OVER (PARTITION BY vendor, vin ORDER BY place) AS island
+        FROM {name}_sig WHERE is_charging_signal = 1)
+  GROUP BY vendor, vin, island
+  HAVING count(*) >= (CASE vendor WHEN 'v0' THEN 5 WHEN 'v1' THEN 5 WHEN 'v3' THEN 2 ELSE 1 END)
+     AND (max(eventat) // 1000 - min(eventat) // 1000) // 60 >= (CASE WHEN vendor IN ('v0', 'v1') THEN 10 ELSE 1 END))"""
 
 
 def cstate_sql() -> str:
@@ -226,7 +214,7 @@ def q_partition_window() -> str:
 
 def q_stationary_points() -> str:
     return with_(TEL, night_sql("np", fx.AS_OF, fx.LOOKBACK)) + \
-        f"SELECT vendor, vin, eventat, latitude, longitude, odometer, prev_odometer FROM np_stat WHERE vendor IN {ODO_VENDORS}"
+        f"SELECT vendor, vin, eventat, latitude, longitude, odometer, prev_odometer FROM np_stat"
 
 
 def q_night_points() -> str:
@@ -569,6 +557,9 @@ MERGED = f"""merged AS (
 
 ADDRESS_CTES = (LOAN, ROLES, PROFILE, PAIRS, MASTER, WORK, COMPOSE, GEO, MERGED)
 
+ROLE_TYPES = (("APPLICANT", "OFFICE"), ("APPLICANT", "PERMANENT_RESIDENCE"), ("GURANTOR", "CURRENT_RESIDENCE"),
+              ("CO_APPLICANT", "CURRENT_RESIDENCE"))
+
 DEDUP = f"""dedup AS (
   SELECT vin, loan_no, current_lat, current_lng, permanent_lat, permanent_lng, ingest_seq FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY vin ORDER BY ingest_seq, loan_no, current_lat, current_lng,
@@ -579,9 +570,11 @@ DEDUP = f"""dedup AS (
 
 ORACLE.update({
     "loan_vehicle_pairs": with_(PAIRS) + "SELECT * FROM pairs",
-    "loan_role_address": "WITH " + LOAN + ",\n" + role_sql(
-        "r", "APPLICANT", "OFFICE", {"address_line_1": "line_1", "address_line_2": "line_2", "city": "city",
-                                     "state": "state", "pincode": "pincode"}, "business_stability") + "\nSELECT * FROM r",
+    "loan_role_address": "WITH " + LOAN + ",\n" + ",\n".join(
+        role_sql(f"r{i}", p, a, {"address_line_1": "line_1", "address_line_2": "line_2", "city": "city",
+                                 "state": "state", "pincode": "pincode"}, "business_stability")
+        for i, (p, a) in enumerate(ROLE_TYPES)) + "\n" + " UNION ALL ".join(
+        f"SELECT '{p} {a}' AS role, * FROM r{i}" for i, (p, a) in enumerate(ROLE_TYPES)),
     "loan_profile": "WITH " + LOAN + ",\n" + ROLES + ",\n" + PROFILE + "\nSELECT * FROM profile",
     "address_worklist": "WITH " + ",\n".join((PAIRS, MASTER, WORK)) + "\nSELECT * FROM work",
     "address_compose": "WITH " + ",\n".join(ADDRESS_CTES[:7]) + "\nSELECT * FROM composed",
@@ -683,14 +676,15 @@ def moved(a: str, b: str) -> str:
 
 def q_report_delta() -> str:
     slots = lambda p: " OR ".join(moved(f"t.{p}_{i}", f"p.{p}_{i}") for i in (1, 2, 3))
-    return report_with(("a", fx.AS_OF), ("b", fx.PREV_AS_OF)) + f"""SELECT
+    older = f"(SELECT * FROM rep_b WHERE CAST(vin AS BIGINT) % {fx.DELTA_MASTER_STEP} <> 0)"
+    return report_with(("a", fx.AS_OF), ("b", fx.DELTA_AS_OF)) + f"""SELECT
   count(DISTINCT CASE WHEN t.vin IS NOT NULL AND p.vin IS NULL THEN t.vin END) AS new_vehicles,
   count(*) FILTER (WHERE {moved('t.last_night_location', 'p.last_night_location')}) AS updated_last_night,
   count(*) FILTER (WHERE {slots('night_location')}) AS updated_night_locations,
   count(*) FILTER (WHERE COALESCE(t.charging_location_1, '') <> '' AND COALESCE(p.charging_location_1, '') = ''
                    AND t.vin IS NOT NULL) AS newly_charged,
   count(*) FILTER (WHERE {slots('charging_location')}) AS updated_charging_locations
-FROM rep_a t FULL OUTER JOIN rep_b p ON t.vin = p.vin"""
+FROM rep_a t FULL OUTER JOIN {older} p ON t.vin = p.vin"""
 
 
 def q_report_json() -> str:

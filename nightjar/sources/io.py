@@ -13,7 +13,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 NIGHT_STATE_SCHEMA = T.StructType([
     T.StructField("vin", T.StringType()), T.StructField("eventat", T.LongType()),
@@ -36,37 +35,53 @@ def version_path(root: str, as_of: dt.date) -> str:
 
 
 def latest_version(spark: SparkSession, root: str, as_of: dt.date) -> dt.date | None:
-    """Newest ``run_date`` strictly before ``as_of`` under ``root`` (one
-    scalar from the partition listing), or None on a first run."""
-    try:
-        versions = spark.read.option("basePath", root).parquet(root).select("run_date")
-    except AnalysisException:
+    """Newest complete ``run_date`` strictly before ``as_of`` under ``root``,
+    or None on a first run (no such folder, or no version in it). Lists the
+    folders only; a version without ``_SUCCESS`` was not finished and does
+    not count. Any other failure to list is raised."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
         return None
-    row = (versions.where(F.col("run_date") < F.lit(as_of.isoformat()))
-                   .agg(F.max("run_date").alias("v")).first())
-    return dt.date.fromisoformat(row["v"]) if row and row["v"] else None
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("run_date="):
+            day = dt.date.fromisoformat(name.removeprefix("run_date="))
+            if day < as_of:
+                found.append((day, status.getPath()))
+    for day, path in sorted(found, key=lambda x: x[0], reverse=True):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            return day
+    return None
 
 
 def read_version(spark: SparkSession, root: str, as_of: dt.date, schema: T.StructType) -> DataFrame | None:
     v = latest_version(spark, root, as_of)
     if v is None:
         return None
-    return spark.read.schema(schema).parquet(version_path(root, v))
+    return spark.read.schema(schema).parquet(version_path(root, v)).select(*schema.names)
 
 
 def write_version(df: DataFrame, root: str, as_of: dt.date, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as the version of ``as_of`` and return it read back, so
-    later steps start from the written files (short lineage)."""
+    later steps start from the written files (short lineage). It is read
+    with its own schema, so a version without rows reads as empty."""
     path = version_path(root, as_of)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def read_master(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+    return checked_master(spark.read.parquet(path), path)
+
+
+def checked_master(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a master: the required columns must be there, others may be absent."""
     missing = [c for c in REQUIRED_MASTER_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"address master at {path} lacks columns {missing}")

@@ -189,19 +189,18 @@ def loan_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit("CURRENT_RESIDENCE").alias("address_type"), _s("AX", "c_custkey").alias("address_uuid"))
     out["address_mapping"] = m1.unionByName(m2).unionByName(m3)
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == r["r_regionkey"])
-    addr = []
-    for tag, line1 in (("AC", F.col("c_name")), ("AP", F.concat(F.lit("Perm "), F.col("c_name"))),
-                       ("AX", F.concat(F.lit("Alt "), F.col("c_name")))):
-        addr.append(cn.select(
-            _s(tag, "c_custkey").alias("uuid"), line1.alias("address_line_1"),
+    lines = cn.select("*", F.inline(F.array(*[
+        F.struct(_s(tag, "c_custkey").alias("uuid"), F.concat(F.lit(word), F.col("c_name")).alias("address_line_1"))
+        for tag, word in (("AC", ""), ("AP", "Perm "), ("AX", "Alt "))])))
+    out["address"] = lines.select(
+            "uuid", "address_line_1",
             F.concat(F.lit("Block "), (F.col("c_custkey") % 50).cast("string")).alias("address_line_2"),
             F.col("n_name").alias("city"), F.col("r_name").alias("state"),
             F.when(F.col("c_custkey") % 11 == 0, F.lit(None).cast("string"))
              .otherwise((F.lit(560000) + F.col("c_custkey") % 1000).cast("string")).alias("pincode"),
             F.when(F.col("c_custkey") % 2 == 0, "OWNED").otherwise("RENTED").alias("house_ownership"),
             F.expr("date_add(DATE'2019-01-31', CAST(c_custkey % 400 AS INT))").alias("residing_since"),
-            F.expr("date_add(DATE'2024-01-31', CAST(c_custkey % 30 AS INT))").alias("marked_at")))
-    out["address"] = addr[0].unionByName(addr[1]).unionByName(addr[2])
+            F.expr("date_add(DATE'2024-01-31', CAST(c_custkey % 30 AS INT))").alias("marked_at"))
     return out
 
 
@@ -240,14 +239,12 @@ def geocode_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == r["r_regionkey"])
     pin = F.when(F.col("c_custkey") % 11 == 0, F.lit("")).otherwise(
         (F.lit(560000) + F.col("c_custkey") % 1000).cast("string"))
-    rows = []
-    for line1 in (F.col("c_name"), F.concat(F.lit("Perm "), F.col("c_name")),
-                  F.concat(F.lit("Alt "), F.col("c_name"))):
-        text = F.concat(line1, F.lit(", "), F.col("n_name"), F.lit(", "), F.col("r_name"), F.lit(" "), pin)
-        rows.append(cn.select(
-            normalize_address(text).alias("address"),
-            F.when(F.col("n_regionkey") == 4, F.lit(None).cast("double"))
-             .otherwise(F.lit(12.0) + F.col("n_nationkey").cast("double") * F.lit(0.5)).alias("lat"),
-            F.when(F.col("n_regionkey") == 4, F.lit(None).cast("double"))
-             .otherwise(F.lit(75.0) + F.col("n_nationkey").cast("double") * F.lit(0.5)).alias("lng")))
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).distinct()
+    lines = cn.withColumn("word", F.explode(F.array(F.lit(""), F.lit("Perm "), F.lit("Alt "))))
+    text = F.concat(F.col("word"), F.col("c_name"), F.lit(", "), F.col("n_name"), F.lit(", "), F.col("r_name"),
+                    F.lit(" "), pin)
+    return lines.select(
+        normalize_address(text).alias("address"),
+        F.when(F.col("n_regionkey") == 4, F.lit(None).cast("double"))
+         .otherwise(F.lit(12.0) + F.col("n_nationkey").cast("double") * F.lit(0.5)).alias("lat"),
+        F.when(F.col("n_regionkey") == 4, F.lit(None).cast("double"))
+         .otherwise(F.lit(75.0) + F.col("n_nationkey").cast("double") * F.lit(0.5)).alias("lng")).distinct()

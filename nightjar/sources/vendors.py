@@ -110,10 +110,6 @@ def vendor_priority(specs: Sequence[VendorSpec]) -> Column:
     return expr.otherwise(F.lit(len(specs)))
 
 
-def names_where(specs: Sequence[VendorSpec], pred: Callable[[VendorSpec], bool]) -> list[str]:
-    return [s.name for s in specs if pred(s)]
-
-
 # --- partition predicates -------------------------------------------------
 
 def partition_days(as_of: dt.date, lookback: int) -> list[dt.date]:
