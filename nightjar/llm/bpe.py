@@ -21,7 +21,7 @@ from nightjar.llm.textbytes import word_hashes
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 _NO = np.int32(2**31 - 1)
 _LONG = 48                           # longer words are merged one by one
-_CACHE_WORDS = 1 << 20
+_CACHE_WORDS = 1 << 19
 _classes: list[np.ndarray] = []
 
 

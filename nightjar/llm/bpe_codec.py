@@ -59,8 +59,9 @@ def frequent_words(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> list[b
     return [bytes(r.word) for r in top.collect()]
 
 
-def encode(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> DataFrame:
-    """doc_id and ids (binary, little-endian unsigned 32-bit integers)."""
+def encode(docs: DataFrame, path: str, limit: int = MAX_WORDS, decoded: bool = False) -> DataFrame:
+    """doc_id and ids (binary, little-endian unsigned 32-bit integers); with
+    ``decoded`` also the text decoded from them, by the same worker."""
     raw = compile_lexicon(frequent_words(docs, path, limit), model(path))
     shared = docs.sparkSession.sparkContext.broadcast(raw)
     name = uuid.uuid4().hex
@@ -72,11 +73,17 @@ def encode(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> DataFrame:
                 r = bpe.encode(_texts(b), lexicon)
                 flat = r.flat.astype("<u4").tobytes()
                 edge = (r.bounds * 4).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(b.lo, b.hi - b.lo),
-                     pa.array([flat[s:e] for s, e in zip(edge, edge[1:])], pa.binary())], names=["doc_id", "ids"])
+                ids = [flat[s:e] for s, e in zip(edge, edge[1:])]
+                cols = [batch.column(0).slice(b.lo, b.hi - b.lo), pa.array(ids, pa.binary())]
+                if decoded:
+                    cols.append(pa.array([_decoded(bpe, x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "decoded"][:len(cols)])
+
+    return documents(docs).mapInArrow(run, "doc_id long, ids binary" + ", decoded binary" * decoded)
+
 
-    return documents(docs).mapInArrow(run, "doc_id long, ids binary")
+def _decoded(bpe, ids: bytes) -> bytes:
+    return bpe.decode(np.frombuffer(ids, dtype="<u4")).decode("utf-8", "replace").encode()
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -86,8 +93,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         bpe = model(path)
         for batch in batches:
-            out = [bpe.decode(np.frombuffer(x.as_py(), dtype="<u4")).decode("utf-8", "replace").encode()
-                   for x in batch.column(1)]
+            out = [_decoded(bpe, x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
 
@@ -96,6 +102,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of the round trip."""
-    back = decode(encode(docs, path), path)
+    back = encode(docs, path, decoded=True)
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

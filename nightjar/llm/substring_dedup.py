@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightjar.llm.tables import CAPACITY, documents, key_filter, materialize, split_by_keys
+from nightjar.llm.tables import CAPACITY, documents, key_filter, map_without, materialize, split_by_keys
 from nightjar.llm.textbytes import (blocks, gram_hashes, runs, signed, sliding_min, strings, word_hashes, words)
 
 WINDOW = 13
@@ -87,7 +87,7 @@ def word_classes(docs: DataFrame) -> DataFrame:
     return documents(docs).mapInArrow(run, "doc_id long, n_words long, sha string")
 
 
-def _anchors(reps: DataFrame, window: int, phrase: int) -> DataFrame:
+def _anchors(docs: DataFrame, gone: DataFrame, n_gone: int, window: int, phrase: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -101,14 +101,16 @@ def _anchors(reps: DataFrame, window: int, phrase: int) -> DataFrame:
                         [pa.array(signed(anchor[new])), pa.array(ids[b.lo + row[new]], pa.int64())],
                         names=["key", "doc_id"])
 
-    return reps.mapInArrow(run, "key long, doc_id long")
+    return map_without(docs, gone, n_gone, run, "key long, doc_id long")
 
 
-def _stretches(reps: DataFrame, shared: DataFrame, window: int, phrase: int) -> DataFrame:
+def _stretches(docs: DataFrame, gone: DataFrame, n_gone: int, shared: DataFrame, window: int,
+               phrase: int) -> DataFrame:
     """doc_id, first word, text of the runs of windows with a shared anchor."""
     n = shared.count()
     if n > CAPACITY:
-        return _joined_stretches(reps, shared, window, phrase)
+        return _joined_stretches(docs.join(gone, "doc_id", "left_anti").select("doc_id", "text"), shared, window,
+                                 phrase)
     f = key_filter(shared, n)
 
     def run(batches):
@@ -122,7 +124,7 @@ def _stretches(reps: DataFrame, shared: DataFrame, window: int, phrase: int) ->
                 maybe[at[f.contains(anchor)]] = True
                 yield _stretch_batch(b, w, maybe, ids, window)
 
-    return reps.mapInArrow(run, "doc_id long, first long, text string")
+    return map_without(docs, gone, n_gone, run, "doc_id long, first long, text string")
 
 
 def _stretch_batch(b, w, maybe, ids, window):
@@ -300,13 +302,11 @@ def repeated_spans(docs: DataFrame, classes: DataFrame | None = None, window: in
               .select("doc_id", "n_words").distinct())
     copies = materialize(copies, "op4-copies")
     known = documents(docs).where(F.col("doc_id").isNotNull())
-    alone, maybe = split_by_keys(known, "doc_id", copies, copies.count())
-    reps = maybe.join(copies.select("doc_id"), "doc_id", "left_anti").select("doc_id", "text")
-    reps = reps if alone is None else alone.unionByName(reps)
-    shared = (_anchors(reps, window, phrase).groupBy("key")
+    gone, n_gone = copies.select("doc_id"), copies.count()
+    shared = (_anchors(known, gone, n_gone, window, phrase).groupBy("key")
               .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key"))
     shared = materialize(shared, "op4-anchors")
-    stretches = materialize(_stretches(reps, shared, window, phrase), "op4-stretches")
+    stretches = materialize(_stretches(known, gone, n_gone, shared, window, phrase), "op4-stretches")
     seen = materialize(_occurrences(stretches, window, phrase), "op4-windows")
     recurring = materialize(seen.groupBy("win").agg(F.min("doc_id").alias("first_doc"),
                                                     F.max("doc_id").alias("last_doc"))

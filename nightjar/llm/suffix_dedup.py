@@ -39,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightjar.llm.tables import CAPACITY, documents, key_filter, materialize, partitions, split_by_keys
+from nightjar.llm.tables import (CAPACITY, documents, key_filter, map_without, materialize, partitions,
+                                 split_by_keys)
 from nightjar.llm.textbytes import blocks, mix, powers, runs, signed, sliding_min
 from nightjar.llm.substring_dedup import covered
 
@@ -102,7 +103,7 @@ def _sides(b, size: int, gram: int):
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _keys(docs: DataFrame, size: int, gram: int) -> DataFrame:
+def _keys(docs: DataFrame, gone: DataFrame, n_gone: int, size: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in blocks(batch.column(1), _BLOCK):
@@ -110,13 +111,13 @@ def _keys(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 if len(key):
                     yield pa.RecordBatch.from_arrays([pa.array(signed(key))], names=["key"])
 
-    return docs.mapInArrow(run, "key long")
+    return map_without(docs, gone, n_gone, run, "key long")
 
 
 _HIT = "key long, ctx long, doc_id long, pos long, context binary, before int"
 
 
-def _hits(docs: DataFrame, shared: DataFrame, size: int, gram: int) -> DataFrame:
+def _hits(docs: DataFrame, gone: DataFrame, n_gone: int, shared: DataFrame, size: int, gram: int) -> DataFrame:
     """A row for every pivot with a shared key; the context only with the
     first of equal ones in a block."""
     n = shared.count()
@@ -142,7 +143,7 @@ def _hits(docs: DataFrame, shared: DataFrame, size: int, gram: int) -> DataFrame
                      pa.array(at - b.offsets[row]), pa.array(text, pa.binary()), pa.array((at - lo).astype(np.int32))],
                     names=["key", "ctx", "doc_id", "pos", "context", "before"])
 
-    hits = docs.mapInArrow(run, _HIT)
+    hits = map_without(docs, gone, n_gone, run, _HIT)
     if f is None:
         # More keys than a filter holds: contexts of all pivots, then a join.
         hits = hits.join(shared, "key", "left_semi")
@@ -287,13 +288,18 @@ def _counted_repeats(contexts: DataFrame, size: int) -> DataFrame:
             .select("key", "ctx", "left", (F.lit(size) - F.col("left")).cast("int").alias("right")))
 
 
-def repeats(docs: DataFrame, size: int = MIN_BYTES, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTES, gram: int = GRAM,
+            group: int = GROUP) -> DataFrame:
     """doc_id, start, end: places of strings of ``size`` bytes and more that
-    occur more than once; equal whole texts are not looked for here."""
+    occur more than once in ``docs`` (doc_id, text) without the rows of
+    ``gone`` (doc_id)."""
     spark = docs.sparkSession
-    keys = _keys(docs, size, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    if gone is None:
+        gone = spark.createDataFrame([], "doc_id long")
+    n_gone = gone.count()
+    keys = _keys(docs, gone, n_gone, size, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     shared = materialize(keys, "op7-keys")
-    hits = materialize(_hits(docs, shared, size, gram), "op7-hits")
+    hits = materialize(_hits(docs, gone, n_gone, shared, size, gram), "op7-hits")
     contexts = materialize(
         hits.groupBy("key", "ctx").agg(F.first("context", ignorenulls=True).alias("context"),
                                        F.first("before").alias("before"), F.count(F.lit(1)).alias("n")),
@@ -327,10 +333,8 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     copies = materialize(classes.where("rows > 1"), "op7-copies")
     known = own.join(copies, F.col("sha") == F.col("c_sha"), "left")
     later = materialize(known.where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "op7-later")
-    alone, maybe = split_by_keys(d.where(F.col("doc_id").isNotNull()), "doc_id", later, later.count())
-    one = maybe.join(later, "doc_id", "left_anti").select("doc_id", "text")
-    one = one if alone is None else alone.unionByName(one)
-    spans = materialize(repeats(one, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
+    one = d.where(F.col("doc_id").isNotNull())
+    spans = materialize(repeats(one, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "op7-spans")
     gone = F.col("rows").isNotNull() & (F.col("n_bytes") >= size)
     base = known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left")

@@ -21,7 +21,8 @@ CAPACITY = FILTER_BITS // 4
 BATCH_ROWS = 512
 _CHUNK = 1 << 16                      # bytes of a filter that travel as one row
 
-__all__ = ["BitFilter", "documents", "key_filter", "materialize", "partitions", "split_by_keys", "table"]
+__all__ = ["BitFilter", "documents", "key_filter", "map_without", "materialize", "partitions", "split_by_keys",
+           "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,3 +139,31 @@ def split_by_keys(df: DataFrame, col: str, keys: DataFrame, n: int) -> tuple[Dat
 
     flagged = df.withColumn("__maybe_key", maybe(F.coalesce(F.col(col).cast("long"), F.lit(-1))))
     return flagged.where(~F.col("__maybe_key")).drop("__maybe_key"), flagged.where("__maybe_key").drop("__maybe_key")
+
+
+def map_without(docs: DataFrame, gone: DataFrame, n: int, fn, schema: str) -> DataFrame:
+    """``docs`` (doc_id, text) without the ``n`` doc_ids of ``gone``, through
+    the ``mapInArrow`` function ``fn``. Most rows are tested and mapped in one
+    Python worker; those that may be among ``gone`` shuffle to an anti-join
+    first, so no task needs a second worker beside the one of ``fn``."""
+    if n > CAPACITY:
+        return docs.join(gone, "doc_id", "left_anti").select("doc_id", "text").mapInArrow(fn, schema)
+    f = key_filter(gone.select(F.col("doc_id").alias("key")), n)
+
+    def unseen(batches):
+        for batch in batches:
+            hit = f.contains(batch.column(0).to_numpy(zero_copy_only=False))
+            if not hit.all():
+                yield batch.filter(pa.array(~hit)) if hit.any() else batch
+
+    @F.pandas_udf(BooleanType())
+    def maybe(k):
+        import pandas as pd
+
+        return pd.Series(f.contains(k.to_numpy(dtype=np.int64)))
+
+    rest = docs.where(maybe("doc_id")).join(gone, "doc_id", "left_anti").select("doc_id", "text")
+    # The exchange keeps the test and ``fn`` in different stages.
+    rest = rest.hint("rebalance")
+    return (docs.select("doc_id", "text").mapInArrow(lambda batches: fn(unseen(batches)), schema)
+            .unionByName(rest.mapInArrow(fn, schema)))
