@@ -25,7 +25,7 @@ def materialize(df: DataFrame, tag: str, after: int | None = None) -> DataFrame:
     spark: SparkSession = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/nightjar-{tag}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     if after is not None:
         release_written(after)
     _WRITTEN.append((spark, path))
