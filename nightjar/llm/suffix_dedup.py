@@ -9,9 +9,11 @@ the same or another document, is removed.
    169 32-byte hashes. Of a repeat, both places have that position in common
    (its pivot), and share 100 bytes to the right of it or 100 to the left.
    These 100-byte keys are counted over the corpus.
-3. Pivots with a key that occurs twice shuffle by key, with the context that
-   a 200-byte string around the pivot can reach (300 bytes at most). Equal
-   contexts are counted before the shuffle and travel once.
+3. Pivots with a key that occurs twice get the context that a 200-byte string
+   around the pivot can reach (300 bytes at most), and contexts are counted by
+   hash. A context that occurs twice is a repeat as a whole. Only keys with
+   different contexts, one of them single, are open: their contexts shuffle by
+   key as text, each once a task.
 4. Per key the contexts are an enhanced (sparse) suffix array: sorted by what
    follows the pivot, with the longest common prefixes of neighbours. A stack
    scan gives the common-prefix intervals. In every interval the members are
@@ -114,7 +116,7 @@ def _keys(docs: DataFrame, gone: DataFrame, n_gone: int, size: int, gram: int) -
     return map_without(docs, gone, n_gone, run, "key long")
 
 
-_HIT = "key long, ctx long, doc_id long, pos long, context binary, before int"
+_HIT = "key long, ctx long, doc_id long, pos long, context binary, before int, after int"
 
 
 def _hits(docs: DataFrame, gone: DataFrame, n_gone: int, shared: DataFrame, size: int, gram: int) -> DataFrame:
@@ -140,8 +142,9 @@ def _hits(docs: DataFrame, gone: DataFrame, n_gone: int, shared: DataFrame, size
                 text = [raw[x:y] if z else None for x, y, z in zip(lo.tolist(), hi.tolist(), first.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(key)), pa.array(signed(ctx)), ids.take(pa.array(b.lo + row)),
-                     pa.array(at - b.offsets[row]), pa.array(text, pa.binary()), pa.array((at - lo).astype(np.int32))],
-                    names=["key", "ctx", "doc_id", "pos", "context", "before"])
+                     pa.array(at - b.offsets[row]), pa.array(text, pa.binary()), pa.array((at - lo).astype(np.int32)),
+                     pa.array((hi - at).astype(np.int32))],
+                    names=["key", "ctx", "doc_id", "pos", "context", "before", "after"])
 
     hits = map_without(docs, gone, n_gone, run, _HIT)
     if f is None:
@@ -201,15 +204,16 @@ def group_repeats(contexts: list[bytes], before: list[int], size: int) -> list[t
 
 
 def _repeats(size: int):
-    """Task over distinct contexts sorted by key."""
+    """Task over contexts sorted by key and hash; equal ones follow each other."""
 
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(5))))
-            if not rows:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if not held or held[-1][:2] != row[:2]:
+                    held.append(row)
+            if not held:
                 continue
-            held += rows
             last = held[-1][0]
             cut = len(held)
             while cut and held[cut - 1][0] == last:
@@ -235,9 +239,6 @@ def _found(rows: list[tuple], size: int):
         j = i + 1
         while j < len(rows) and rows[j][0] == rows[i][0]:
             j += 1
-        for r in rows[i:j]:
-            if r[4] > 1:
-                add(r, r[3], len(r[2]) - r[3])
         if j - i == 2:
             pairs.append(i)
         elif j - i > 2:
@@ -266,23 +267,22 @@ def _counted_repeats(contexts: DataFrame, size: int) -> DataFrame:
 
     def strings_of(batches):
         for batch in batches:
-            key, ctx, at, digest, times = [], [], [], [], []
-            for k, c, text, before, n in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            key, ctx, at, digest = [], [], [], []
+            for k, c, text, before in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 for s in range(len(text) - size + 1):
                     if s <= before < s + size:
                         key.append(k)
                         ctx.append(c)
                         at.append(before - s)
                         digest.append(hashlib.blake2b(text[s:s + size], digest_size=16).digest())
-                        times.append(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key, pa.int64()), pa.array(ctx, pa.int64()), pa.array(at, pa.int32()),
-                 pa.array(digest, pa.binary()), pa.array(times, pa.int64())],
-                names=["key", "ctx", "left", "digest", "n"])
+                 pa.array(digest, pa.binary())],
+                names=["key", "ctx", "left", "digest"])
 
-    each = contexts.mapInArrow(strings_of, "key long, ctx long, left int, digest binary, n long")
+    each = contexts.mapInArrow(strings_of, "key long, ctx long, left int, digest binary")
     often = (each.groupBy(F.col("key").alias("o_key"), F.col("left").alias("o_left"), F.col("digest").alias("o_digest"))
-             .agg(F.sum("n").alias("n_all")).where("n_all > 1").drop("n_all"))
+             .agg(F.count(F.lit(1)).alias("n_all")).where("n_all > 1").drop("n_all"))
     return (each.join(often, (F.col("key") == F.col("o_key")) & (F.col("left") == F.col("o_left"))
                       & (F.col("digest") == F.col("o_digest")), "left_semi")
             .select("key", "ctx", "left", (F.lit(size) - F.col("left")).cast("int").alias("right")))
@@ -300,26 +300,60 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
     keys = _keys(docs, gone, n_gone, size, gram).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     shared = materialize(keys, "op7-keys")
     hits = materialize(_hits(docs, gone, n_gone, shared, size, gram), "op7-hits")
-    contexts = materialize(
-        hits.groupBy("key", "ctx").agg(F.first("context", ignorenulls=True).alias("context"),
-                                       F.first("before").alias("before"), F.count(F.lit(1)).alias("n")),
-        "op7-contexts")
-    per_key = contexts.groupBy(F.col("key").alias("g_key")).agg(F.count(F.lit(1)).alias("g_n"))
-    crowded = materialize(per_key.where(F.col("g_n") > group).select("g_key"), "op7-crowded")
-    usual, found = contexts, []
-    if not crowded.isEmpty():
-        many = contexts.join(crowded, F.col("key") == F.col("g_key"), "left_semi")
-        usual = contexts.join(crowded, F.col("key") == F.col("g_key"), "left_anti")
-        found.append(_counted_repeats(many.select("key", "ctx", "context", "before", "n"), size))
-    dealt = (usual.select("key", "ctx", "context", "before", "n")
-             .repartition(partitions(spark), "key").sortWithinPartitions("key"))
-    found.append(dealt.mapInArrow(_repeats(size), "key long, ctx long, left int, right int"))
-    ranges = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    ranges = (ranges.groupBy(F.col("key").alias("r_key"), F.col("ctx").alias("r_ctx"), "left")
-              .agg(F.max("right").alias("right")))
-    return (hits.join(ranges, (F.col("key") == F.col("r_key")) & (F.col("ctx") == F.col("r_ctx")))
-            .select("doc_id", (F.col("pos") - F.col("left")).alias("start"),
-                    (F.col("pos") + F.col("right")).alias("end")).distinct())
+    counts = materialize(hits.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n")), "op7-contexts")
+    per_key = (counts.groupBy(F.col("key").alias("g_key"))
+               .agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least")))
+    open_ = materialize(per_key.where("contexts > 1 AND least = 1").select("g_key", "contexts"), "op7-open")
+    crowded = open_.where(F.col("contexts") > group).select("g_key")
+    texts = _open_contexts(hits, open_)
+    if crowded.isEmpty():
+        usual, many = texts, None
+    else:
+        many = texts.join(crowded, F.col("key") == F.col("g_key"), "left_semi").dropDuplicates(["key", "ctx"])
+        usual = texts.join(crowded, F.col("key") == F.col("g_key"), "left_anti")
+    dealt = usual.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx")
+    ranges = dealt.mapInArrow(_repeats(size), "key long, ctx long, left int, right int")
+    if many is not None:
+        ranges = ranges.unionByName(_counted_repeats(many, size))
+    ranges = ranges.groupBy("key", "ctx", "left").agg(F.max("right").alias("right"))
+    whole = counts.where("n > 1").select("key", "ctx", F.lit(None).cast("int").alias("left"),
+                                         F.lit(None).cast("int").alias("right"))
+    ranges = whole.unionByName(ranges).select(F.col("key").alias("r_key"), F.col("ctx").alias("r_ctx"), "left", "right")
+    return (hits.drop("context")
+            .join(ranges, (F.col("key") == F.col("r_key")) & (F.col("ctx") == F.col("r_ctx")))
+            .select("doc_id", (F.col("pos") - F.coalesce("left", "before")).alias("start"),
+                    (F.col("pos") + F.coalesce("right", "after")).alias("end")))
+
+
+def _open_contexts(hits: DataFrame, open_: DataFrame) -> DataFrame:
+    """key, ctx, context, before of the open keys. A filter of these keys
+    drops most rows before the shuffle (some others may pass: their keys have
+    equal contexts only, or one, which find nothing new); a task sends a
+    context once."""
+    n = open_.count()
+    rows = hits.where(F.col("context").isNotNull()).select("key", "ctx", "context", "before")
+    if n > CAPACITY:
+        return rows.join(open_.select("g_key"), F.col("key") == F.col("g_key"), "left_semi")
+    f = key_filter(open_.select(F.col("g_key").alias("key")), n)
+
+    def run(batches):
+        sent: set[int] = set()
+        for batch in batches:
+            key = batch.column(0).to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(f.contains(key))
+            if not len(keep):
+                continue
+            ctx = batch.column(1).to_numpy(zero_copy_only=False)
+            new = []
+            for i, x in zip(keep.tolist(), (key[keep] ^ signed(mix(ctx[keep].view(np.uint64)))).tolist()):
+                if x not in sent:
+                    if len(sent) < 1 << 18:
+                        sent.add(x)
+                    new.append(i)
+            if new:
+                yield batch.take(pa.array(new, pa.int64()))
+
+    return rows.mapInArrow(run, "key long, ctx long, context binary, before int")
 
 
 def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
