@@ -49,14 +49,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nothing is left goes. Other documents keep their text as it is."""
     from nightjar.llm import substring_dedup as op
 
-    cut = op.substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("__doc"), "kept")
+    cut = op.substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("__doc"), F.col("kept").alias("__kept"))
     cut = materialize(cut, "substring-cut")
     ids = cut.select(F.col("__doc").alias("doc_id"))
     alone, maybe = split_by_keys(docs, "doc_id", ids, ids.count())
-    text = F.coalesce(F.col("kept"), F.col("text"))
-    changed = maybe.join(cut, F.col("doc_id") == F.col("__doc"), "left").where("kept IS NULL OR kept <> ''")
+    text = F.coalesce(F.col("__kept"), F.col("text"))
+    changed = maybe.join(cut, F.col("doc_id") == F.col("__doc"), "left").where("__kept IS NULL OR __kept <> ''")
     if "n_chars" in docs.columns:
-        size = F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.char_length("kept"))
+        size = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.char_length("__kept"))
         changed = changed.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
     changed = changed.withColumn("text", text).select(*docs.columns)
     return changed if alone is None else alone.unionByName(changed)

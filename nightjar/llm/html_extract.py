@@ -208,7 +208,8 @@ def second_pass(kinds: list[str], found: list[Block], has_main: bool) -> list[bo
         for i in order:
             if last and (not has_main or found[where].main == found[i].main):
                 into[i] = (last, abs(i - where))
-            if kinds[i] in (GOOD, BAD):
+            # In a marked main part, marked blocks say nothing about their neighbours.
+            if kinds[i] in (GOOD, BAD) and not (has_main and found[i].barred):
                 last, where = kinds[i], i
     out = []
     for i, kind in enumerate(kinds):

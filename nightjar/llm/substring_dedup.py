@@ -331,11 +331,14 @@ def _per_document(spans: DataFrame) -> DataFrame:
 
 def covered(spans, n: int) -> np.ndarray:
     """Mask of n positions under [start, end) spans."""
-    step = np.zeros(n + 1, dtype=np.int32)
-    for s in spans:
-        step[min(s["start"], n)] += 1
-        step[min(s["end"], n)] -= 1
-    return np.cumsum(step[:-1]) > 0
+    return covered_by(np.array([s["start"] for s in spans], dtype=np.int64),
+                      np.array([s["end"] for s in spans], dtype=np.int64), n)
+
+
+def covered_by(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    depth = (np.bincount(np.minimum(start, n), minlength=n + 1)
+             - np.bincount(np.minimum(end, n), minlength=n + 1))
+    return np.cumsum(depth[:-1]) > 0
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:

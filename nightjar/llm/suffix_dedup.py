@@ -38,17 +38,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightjar.llm.tables import (CAPACITY, documents, key_filter, map_without, materialize, partitions,
                                  split_by_keys)
 from nightjar.llm.textbytes import blocks, mix, powers, runs, signed, sliding_min
-from nightjar.llm.substring_dedup import covered
+from nightjar.llm.substring_dedup import covered_by
 
 MIN_BYTES = 200
 GRAM = 32
-GROUP = 4096
+GROUP = 1 << 14
 _BLOCK = 1 << 18
 _BASE = 0xA0761D6478BD642F | 1
 
@@ -267,20 +268,24 @@ def _counted_repeats(contexts: DataFrame, size: int) -> DataFrame:
 
     def strings_of(batches):
         for batch in batches:
-            key, ctx, at, digest = [], [], [], []
-            for k, c, text, before in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                for s in range(len(text) - size + 1):
-                    if s <= before < s + size:
-                        key.append(k)
-                        ctx.append(c)
-                        at.append(before - s)
-                        digest.append(hashlib.blake2b(text[s:s + size], digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(ctx, pa.int64()), pa.array(at, pa.int32()),
-                 pa.array(digest, pa.binary())],
-                names=["key", "ctx", "left", "digest"])
+            before = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+            for b in blocks(batch.column(2), _BLOCK):
+                p, inv = powers(_BASE, len(b.data) + 1)
+                acc = np.zeros(len(b.data) + 1, dtype=np.uint64)
+                np.cumsum((b.data.astype(np.uint64) + np.uint64(1)) * p[:-1], out=acc[1:])
+                x = before[b.lo:b.hi]
+                low = np.maximum(0, x - size + 1)              # first start of a string that holds the pivot
+                n = np.maximum(0, np.minimum(x, np.diff(b.offsets) - size) - low + 1)
+                row = np.repeat(np.arange(len(n)), n)
+                start = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                at = b.offsets[row] + start
+                digest = mix((acc[at + size] - acc[at]) * inv[at])
+                part = batch.slice(b.lo, b.hi - b.lo).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array((x[row] - start).astype(np.int32)),
+                     pa.array(signed(digest))], names=["key", "ctx", "left", "digest"])
 
-    each = contexts.mapInArrow(strings_of, "key long, ctx long, left int, digest binary")
+    each = contexts.mapInArrow(strings_of, "key long, ctx long, left int, digest long")
     often = (each.groupBy(F.col("key").alias("o_key"), F.col("left").alias("o_left"), F.col("digest").alias("o_digest"))
              .agg(F.count(F.lit(1)).alias("n_all")).where("n_all > 1").drop("n_all"))
     return (each.join(often, (F.col("key") == F.col("o_key")) & (F.col("left") == F.col("o_left"))
@@ -315,7 +320,9 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
     ranges = dealt.mapInArrow(_repeats(size), "key long, ctx long, left int, right int")
     if many is not None:
         ranges = ranges.unionByName(_counted_repeats(many, size))
-    ranges = ranges.groupBy("key", "ctx", "left").agg(F.max("right").alias("right"))
+    # All ranges of a context hold its pivot, so together they are one range.
+    ranges = ranges.groupBy("key", "ctx").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    ranges = ranges.join(counts.where("n > 1"), ["key", "ctx"], "left_anti")
     whole = counts.where("n > 1").select("key", "ctx", F.lit(None).cast("int").alias("left"),
                                          F.lit(None).cast("int").alias("right"))
     ranges = whole.unionByName(ranges).select(F.col("key").alias("r_key"), F.col("ctx").alias("r_ctx"), "left", "right")
@@ -369,7 +376,7 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     later = materialize(known.where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "op7-later")
     one = d.where(F.col("doc_id").isNotNull())
     spans = materialize(repeats(one, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "op7-spans")
+        F.collect_list(F.struct("start", "end")).alias("spans")), "op7-spans")
     gone = F.col("rows").isNotNull() & (F.col("n_bytes") >= size)
     base = known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left")
     whole = base.where(F.col("s_doc").isNull() | gone).select(
@@ -389,12 +396,17 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
 
 def _cut(batches):
     for batch in batches:
-        spans = batch.column(2).to_pylist()
+        spans = batch.column(2)
+        flat = spans.flatten()
+        start = flat.field(0).to_numpy(zero_copy_only=False)
+        end = flat.field(1).to_numpy(zero_copy_only=False)
+        edge = np.concatenate(([0], np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False))))
         for b in blocks(batch.column(1)):
             out = []
             for i in range(b.hi - b.lo):
                 own = b.data[b.offsets[i]:b.offsets[i + 1]]
-                off = covered(spans[b.lo + i], len(own))
+                x, y = edge[b.lo + i], edge[b.lo + i + 1]
+                off = covered_by(start[x:y], end[x:y], len(own))
                 kept = own[~off].tobytes()
                 out.append((len(own), int(off.sum()), len(runs(off)[0]), kept, hashlib.sha256(kept).hexdigest()))
             c = list(zip(*out))

@@ -37,8 +37,9 @@ from nightjar.llm.textbytes import _BYTE_BASE, Block, blocks, mix, powers, signe
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 SAMPLE = 12_000
 FOLDS = 3
-FEATURES = 4_000                     # per category
-MIN_DOCS = 4                         # documents of the sample that hold a feature
+FEATURES = 4_000                     # per category at most, and
+DOCS_PER_FEATURE = 10                # one for so many documents of the sample (64 at least)
+MIN_DOCS = 2                         # documents of the sample that hold a feature
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.5
 ROUNDS = 120
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
     counts = texts.select("text", *ys).mapInArrow(count, schema).groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ["n", *ys]]).where(F.col("n") >= MIN_DOCS)
     counts = materialize(counts, "op3-counts")
+    n_features = min(n_features, max(64, (total.n or 0) // DOCS_PER_FEATURE))
     keys: set[int] = set()
     for c in ys:
         all_n, all_y = float(total.n or 0), float(total[c] or 0)

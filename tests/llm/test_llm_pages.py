@@ -103,7 +103,7 @@ def test_search_equals_brute_force(spark, m):
     if m:
         codes = df.where("embedding IS NOT NULL").select(F.col("vec_id").alias("id"),
                                                          hs.sign_code(F.col("embedding")).alias("code")).distinct()
-        assert hs.top_k(codes, codes.where("id % 50 = 0").select("code"), 10, m).count() == 50
+        assert hs.top_k(codes, codes.where("id % 50 = 0").select("code"), 10, m).count() == 40    # two queries share a code
         return
     got = {}
     for x in hs.search(df).collect():
