@@ -326,10 +326,15 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
     whole = counts.where("n > 1").select("key", "ctx", F.lit(None).cast("int").alias("left"),
                                          F.lit(None).cast("int").alias("right"))
     ranges = whole.unionByName(ranges).select(F.col("key").alias("r_key"), F.col("ctx").alias("r_ctx"), "left", "right")
-    return (hits.drop("context")
+    # A place shuffles as one number; both sides of a context are shorter than ``wide``.
+    wide = 2 * size
+    place = (F.col("pos") * wide + F.col("before")) * wide + F.col("after")
+    before, after = F.expr(f"place div {wide} % {wide}"), F.col("place") % wide
+    pos = F.expr(f"place div {wide * wide}")
+    return (hits.select("key", "ctx", "doc_id", place.alias("place"))
             .join(ranges, (F.col("key") == F.col("r_key")) & (F.col("ctx") == F.col("r_ctx")))
-            .select("doc_id", (F.col("pos") - F.coalesce("left", "before")).alias("start"),
-                    (F.col("pos") + F.coalesce("right", "after")).alias("end")))
+            .select("doc_id", (pos - F.coalesce("left", before)).alias("start"),
+                    (pos + F.coalesce("right", after)).alias("end")))
 
 
 def _open_contexts(hits: DataFrame, open_: DataFrame) -> DataFrame:
@@ -375,8 +380,10 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     known = own.join(copies, F.col("sha") == F.col("c_sha"), "left")
     later = materialize(known.where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "op7-later")
     one = d.where(F.col("doc_id").isNotNull())
+    # A span is one number too: no span is longer than a context.
+    span = F.col("start") * (2 * size) + (F.col("end") - F.col("start"))
     spans = materialize(repeats(one, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
-        F.collect_list(F.struct("start", "end")).alias("spans")), "op7-spans")
+        F.collect_list(span).alias("spans")), "op7-spans")
     gone = F.col("rows").isNotNull() & (F.col("n_bytes") >= size)
     base = known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left")
     whole = base.where(F.col("s_doc").isNull() | gone).select(
@@ -391,26 +398,28 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     _, maybe = split_by_keys(d, "doc_id", ids, ids.count())
     cut = maybe.join(touched, F.col("doc_id") == F.col("s_doc")).select("doc_id", "text", "spans")
     return whole.unionByName(cut.mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"))
-
-
-def _cut(batches):
-    for batch in batches:
-        spans = batch.column(2)
-        flat = spans.flatten()
-        start = flat.field(0).to_numpy(zero_copy_only=False)
-        end = flat.field(1).to_numpy(zero_copy_only=False)
-        edge = np.concatenate(([0], np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False))))
-        for b in blocks(batch.column(1)):
-            out = []
-            for i in range(b.hi - b.lo):
-                own = b.data[b.offsets[i]:b.offsets[i + 1]]
-                x, y = edge[b.lo + i], edge[b.lo + i + 1]
-                off = covered_by(start[x:y], end[x:y], len(own))
-                kept = own[~off].tobytes()
-                out.append((len(own), int(off.sum()), len(runs(off)[0]), kept, hashlib.sha256(kept).hexdigest()))
-            c = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(b.lo, b.hi - b.lo), pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()),
-                 pa.array(c[2], pa.int64()), pa.array(c[3], pa.binary()), pa.array(c[4], pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+        _cut(2 * size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"))
+
+
+def _cut(wide: int):
+    def run(batches):
+        for batch in batches:
+            spans = batch.column(2)
+            flat = spans.flatten().to_numpy(zero_copy_only=False)
+            start, end = flat // wide, flat // wide + flat % wide
+            edge = np.concatenate(([0], np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False))))
+            for b in blocks(batch.column(1)):
+                out = []
+                for i in range(b.hi - b.lo):
+                    own = b.data[b.offsets[i]:b.offsets[i + 1]]
+                    x, y = edge[b.lo + i], edge[b.lo + i + 1]
+                    off = covered_by(start[x:y], end[x:y], len(own))
+                    kept = own[~off].tobytes()
+                    out.append((len(own), int(off.sum()), len(runs(off)[0]), kept, hashlib.sha256(kept).hexdigest()))
+                c = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(b.lo, b.hi - b.lo), pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()),
+                     pa.array(c[2], pa.int64()), pa.array(c[3], pa.binary()), pa.array(c[4], pa.string())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+
+    return run
