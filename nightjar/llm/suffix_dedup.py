@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightjar.llm.tables import (CAPACITY, documents, key_filter, map_without, materialize, partitions,
+from nightjar.llm.tables import (CAPACITY, BitFilter, documents, key_filter, map_without, materialize, partitions,
                                  split_by_keys)
 from nightjar.llm.textbytes import blocks, mix, powers, runs, signed, sliding_min
 from nightjar.llm.substring_dedup import covered_by
@@ -308,18 +308,14 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
     counts = materialize(hits.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n")), "op7-contexts")
     per_key = (counts.groupBy(F.col("key").alias("g_key"))
                .agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least")))
-    open_ = materialize(per_key.where("contexts > 1 AND least = 1").select("g_key", "contexts"), "op7-open")
-    crowded = open_.where(F.col("contexts") > group).select("g_key")
-    texts = _open_contexts(hits, open_)
-    if crowded.isEmpty():
-        usual, many = texts, None
-    else:
-        many = texts.join(crowded, F.col("key") == F.col("g_key"), "left_semi").dropDuplicates(["key", "ctx"])
-        usual = texts.join(crowded, F.col("key") == F.col("g_key"), "left_anti")
+    is_open, is_crowded = F.expr("contexts > 1 AND least = 1"), F.col("contexts") > group
+    found = materialize(per_key.select("g_key", is_open.alias("open"), is_crowded.alias("crowded"))
+                        .where("open OR crowded"), "op7-open")
+    usual, many = _open_contexts(hits, found)
     dealt = usual.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx")
     ranges = dealt.mapInArrow(_repeats(size), "key long, ctx long, left int, right int")
     if many is not None:
-        ranges = ranges.unionByName(_counted_repeats(many, size))
+        ranges = ranges.unionByName(_counted_repeats(many.dropDuplicates(["key", "ctx"]), size))
     # All ranges of a context hold its pivot, so together they are one range.
     ranges = ranges.groupBy("key", "ctx").agg(F.max("left").alias("left"), F.max("right").alias("right"))
     ranges = ranges.join(counts.where("n > 1"), ["key", "ctx"], "left_anti")
@@ -337,22 +333,43 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
                     (pos + F.coalesce("right", after)).alias("end")))
 
 
-def _open_contexts(hits: DataFrame, open_: DataFrame) -> DataFrame:
-    """key, ctx, context, before of the open keys. A filter of these keys
-    drops most rows before the shuffle (some others may pass: their keys have
-    equal contexts only, or one, which find nothing new); a task sends a
-    context once."""
-    n = open_.count()
+def _open_contexts(hits: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """key, ctx, context, before of the open keys that are not crowded, and of
+    those that are (None if no key is).
+
+    Filters of both kinds of keys deal the rows out before the shuffle, so a
+    context shuffles one way only. A key that only seems open has equal
+    contexts, or one, and finds nothing new; a key that only seems crowded is
+    counted instead of gathered, with the same result. A task sends a context
+    once."""
+    open_, crowded = found.where("open"), found.where("crowded")
+    n, n_crowded = open_.count(), crowded.count()
     rows = hits.where(F.col("context").isNotNull()).select("key", "ctx", "context", "before")
-    if n > CAPACITY:
-        return rows.join(open_.select("g_key"), F.col("key") == F.col("g_key"), "left_semi")
+    if n > CAPACITY or n_crowded > CAPACITY:
+        usual, many = (rows.join(open_.where(F.col("crowded") == x).select("g_key"), F.col("key") == F.col("g_key"),
+                                 "left_semi") for x in (False, True))
+        return usual, many if n_crowded else None
     f = key_filter(open_.select(F.col("g_key").alias("key")), n)
+    if not n_crowded:
+        return rows.mapInArrow(_sent(f, None, False), _CONTEXT), None
+    c = key_filter(crowded.select(F.col("g_key").alias("key")), n_crowded)
+    return rows.mapInArrow(_sent(f, c, False), _CONTEXT), rows.mapInArrow(_sent(f, c, True), _CONTEXT)
+
+
+_CONTEXT = "key long, ctx long, context binary, before int"
+
+
+def _sent(f: BitFilter, crowded: BitFilter | None, want: bool):
+    """Task: rows whose key is in ``f``, and in ``crowded`` as wanted."""
 
     def run(batches):
         sent: set[int] = set()
         for batch in batches:
             key = batch.column(0).to_numpy(zero_copy_only=False)
-            keep = np.flatnonzero(f.contains(key))
+            hit = f.contains(key)
+            if crowded is not None:
+                hit &= crowded.contains(key) == want
+            keep = np.flatnonzero(hit)
             if not len(keep):
                 continue
             ctx = batch.column(1).to_numpy(zero_copy_only=False)
@@ -365,7 +382,7 @@ def _open_contexts(hits: DataFrame, open_: DataFrame) -> DataFrame:
             if new:
                 yield batch.take(pa.array(new, pa.int64()))
 
-    return rows.mapInArrow(run, "key long, ctx long, context binary, before int")
+    return run
 
 
 def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
@@ -377,7 +394,7 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     classes = own.groupBy(F.col("sha").alias("c_sha")).agg(F.count(F.lit(1)).alias("rows"),
                                                            F.min("doc_id").alias("first_id"))
     copies = materialize(classes.where("rows > 1"), "op7-copies")
-    known = own.join(copies, F.col("sha") == F.col("c_sha"), "left")
+    known = materialize(own.join(copies, F.col("sha") == F.col("c_sha"), "left").drop("c_sha"), "op7-known")
     later = materialize(known.where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "op7-later")
     one = d.where(F.col("doc_id").isNotNull())
     # A span is one number too: no span is longer than a context.
@@ -385,7 +402,7 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     spans = materialize(repeats(one, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
         F.collect_list(span).alias("spans")), "op7-spans")
     gone = F.col("rows").isNotNull() & (F.col("n_bytes") >= size)
-    base = known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left")
+    base = materialize(known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left"), "op7-base")
     whole = base.where(F.col("s_doc").isNull() | gone).select(
         "doc_id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.lit(0)).alias("n_removed"),
         F.when(gone, 1).otherwise(0).cast("long").alias("n_spans"),
