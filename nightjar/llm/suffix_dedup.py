@@ -312,7 +312,9 @@ def repeats(docs: DataFrame, gone: DataFrame | None = None, size: int = MIN_BYTE
     found = materialize(per_key.select("g_key", is_open.alias("open"), is_crowded.alias("crowded"))
                         .where("open OR crowded"), "op7-open")
     usual, many = _open_contexts(hits, found)
-    dealt = usual.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx")
+    # By a hash of the key: after a join by the key itself Spark would leave out
+    # this exchange, and split large partitions of the join between tasks.
+    dealt = usual.repartition(partitions(spark), F.xxhash64("key")).sortWithinPartitions("key", "ctx")
     ranges = dealt.mapInArrow(_repeats(size), "key long, ctx long, left int, right int")
     if many is not None:
         ranges = ranges.unionByName(_counted_repeats(many.dropDuplicates(["key", "ctx"]), size))

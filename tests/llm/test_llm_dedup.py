@@ -174,5 +174,35 @@ def test_suffix_repeats_of_crowded_keys(spark, group):
     assert {d: len(got.get(d, ())) for d, _ in docs} == {d: want[d][1] for d, _ in docs}
 
 
+@pytest.mark.parametrize("capacity", [suf.CAPACITY, 0])
+def test_suffix_keeps_groups_whole_beside_crowded_keys(spark, monkeypatch, capacity):
+    """Keys with few contexts are not split over tasks when others are
+    crowded, whatever the optimiser does about skew."""
+    monkeypatch.setattr(suf, "CAPACITY", capacity)
+    r = random.Random(5)
+    make = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passages = [make(260) for _ in range(9)]
+    docs = [(i, make(r.randint(0, 200)) + p[r.randint(0, 40):260 - r.randint(0, 40)] + make(90))
+            for i, p in enumerate(passages[:1] * 60 + passages[1:] * 12)]
+    r.shuffle(docs)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+        spans = suf.repeats(frame, group=20).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = {}
+    for s in spans:
+        got.setdefault(s.doc_id, set()).update(range(s.start, s.end))
+    want = brute.suffix(docs)
+    assert {d: len(got.get(d, ())) for d, _ in docs} == {d: want[d][1] for d, _ in docs}
+
+
 def test_intervals_of_a_small_array():
     assert sorted(suf.intervals(np.array([1, 3, 3, 0, 2]))) == [(0, 3, 1), (1, 3, 3), (4, 5, 2)]
