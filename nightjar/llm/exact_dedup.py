@@ -77,7 +77,7 @@ def repeat_filter(keys: DataFrame, n: int) -> BitFilter:
         fill, "chunk long, once binary, again binary")
     merged = parts.groupBy("chunk").applyInPandas(merge, "chunk long, bits binary")
     out = bytearray(bits // 8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():          # 16 MB at most, in one job whatever the partitions
         out[row.chunk * len(row.bits):(row.chunk + 1) * len(row.bits)] = row.bits
     return BitFilter(keys.sparkSession.sparkContext.broadcast(bytes(out)), bits)
 

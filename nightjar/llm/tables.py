@@ -117,7 +117,7 @@ def key_filter(keys: DataFrame, n: int) -> BitFilter:
     merged = parts.groupBy("chunk").applyInPandas(merge, "chunk long, bits binary")
     out = bytearray(bits // 8)
     width = min(_CHUNK, bits // 8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():          # 16 MB at most, in one job whatever the partitions
         out[row.chunk * width:(row.chunk + 1) * width] = row.bits
     return BitFilter(spark.sparkContext.broadcast(bytes(out)), bits)
 
