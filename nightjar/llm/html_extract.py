@@ -9,9 +9,9 @@ neighbour on one side and no bad one nearer.
 
 What markup says outright is used first: blocks inside navigation, headers,
 footers, sidebars, forms, scripts, styles, comments, adverts and notices
-(elements, roles, and class or id words) are bad, and a page with exactly one
-main part (article or main) is read inside that part, where undecided pages
-keep their short blocks.
+(elements, roles, and class or id words) are bad, and a page with a main part
+(article or main) is read inside that part, where no other block is bad: link
+density and stop words drop nothing there.
 
 Defined cases: null or empty html gives the empty text; broken nesting is
 closed at the next block that cannot be inside; text outside any element
@@ -242,9 +242,9 @@ def main_text(page: str | None) -> str:
             b.barred = b.barred or not b.main
     kinds = [first_pass(b) for b in found]
     if has_main:
-        # In a marked main part only links and marks make a block bad.
-        kinds = [NEAR if k == BAD and not b.barred and b.linked <= MAX_LINK_DENSITY * len(b.text) else k
-                 for k, b in zip(kinds, found)]
+        # In a marked main part only marks make a block bad: neither links nor
+        # words of a language unknown here drop a block or speak against others.
+        kinds = [NEAR if k == BAD and not b.barred else k for k, b in zip(kinds, found)]
     keep = second_pass(kinds, found, has_main)
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 

@@ -28,6 +28,18 @@ def test_two_passes_without_a_marked_part():
     assert he.main_text(page).split("\n") == ["Heading", PARA.strip(), "Yes.", PARA.strip()]
 
 
+SOURCE = '<p>Source: <a href="/r">Reuters news agency</a></p>'
+ITALIAN = "Il vecchio ponte attraversa ancora oggi quel fiume dove ogni mattina passano centinaia di lavoratori. " * 5
+
+
+@pytest.mark.parametrize("paragraphs", [[LONG.strip()] * 2, [ITALIAN.strip()] * 2, ["Короткий рассказ о городе. " * 12 + "x"]])
+def test_links_in_a_marked_article_drop_nothing(paragraphs):
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    page = f"<nav><p>{PARA}</p></nav><article><h1>T</h1>{body}{SOURCE}<ul><li><a href='/x'>More</a></li></ul>" \
+           "<p class='share'><a href='/s'>Share</a></p></article><p>Imprint</p>"
+    assert he.main_text(page).split("\n") == ["T", *paragraphs, "Source: Reuters news agency", "More"]
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("plain " * 40, ("plain " * 40).strip()), ("<p", ""),
                                        ("<script>never closed", ""), ("<p>a &nbsp; b</p>", "a b")])
 def test_odd_pages(page, text):
