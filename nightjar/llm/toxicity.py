@@ -7,7 +7,9 @@ model meets the errors that it will meet in use.
 
 Features of a text are its different words (ASCII letters lowered, outer
 punctuation dropped) and the 4-, 5- and 6-byte beginnings of longer words,
-by 64-bit hash. Models are fitted on at most ``sample`` labelled documents
+by 64-bit hash. The vocabulary doesn't depend on the size of the sample: a
+feature is scaled by its chi-square, so the penalty weighs on those that may
+be chance, which are most on small samples. Models are fitted on at most ``sample`` labelled documents
 (a documented bound; which ones depends on a hash of doc_id), all counts over
 that sample are made by Spark, and every document is scored, whole.
 
@@ -37,13 +39,13 @@ from nightjar.llm.textbytes import _BYTE_BASE, Block, blocks, mix, powers, signe
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 SAMPLE = 12_000
 FOLDS = 3
-FEATURES = 4_000                     # per category at most, and
-DOCS_PER_FEATURE = 10                # one for so many documents of the sample (64 at least)
+FEATURES = 4_000                     # per category at most
 MIN_DOCS = 2                         # documents of the sample that hold a feature
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.5
 ROUNDS = 120
-L2 = 0.3
+L2 = 0.001
+SIGNIFICANT = 30.0                   # chi-square (one degree) of a feature at half the scale of a sure one
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -112,9 +114,16 @@ class Chain:
         return {k: v for k, v in self.__dict__.items() if k != "_table"}
 
 
-def _logistic(rows, index, dense, y, n_features, train) -> tuple[np.ndarray, float, np.ndarray]:
+def feature_scale(chi: np.ndarray) -> np.ndarray:
+    """Scale of features by their chi-square, from 0 (chance) to 1 (sure)."""
+    return (chi / (chi + SIGNIFICANT)) ** 2
+
+
+def _logistic(rows, index, dense, y, scale, train) -> tuple[np.ndarray, float, np.ndarray]:
     """Weights, constant and dense weights of a logistic model fitted on the
-    rows ``train`` (mask) by full-batch Adam with an L2 penalty."""
+    rows ``train`` (mask) by full-batch Adam with an L2 penalty. Features
+    have the values ``scale``; the weights are for features of value 1."""
+    n_features = len(scale)
     n = len(y)
     use = train[rows]
     r, f = rows[use], index[use]
@@ -124,21 +133,23 @@ def _logistic(rows, index, dense, y, n_features, train) -> tuple[np.ndarray, flo
     theta[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, ROUNDS + 1):
-        z = np.bincount(r, theta[:n_features][f], minlength=n) + dense @ theta[n_features:-1] + theta[-1]
+        z = np.bincount(r, (theta[:n_features] * scale)[f], minlength=n) + dense @ theta[n_features:-1] + theta[-1]
         g = np.where(train, 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y, 0.0)
-        grad = np.concatenate([np.bincount(f, g[r], minlength=n_features), dense.T @ g, [g.sum()]])
+        grad = np.concatenate([np.bincount(f, g[r], minlength=n_features) * scale, dense.T @ g, [g.sum()]])
         grad[:-1] += L2 * theta[:-1]
         grad /= m
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         theta -= 0.15 * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
-    return theta[:n_features], float(theta[-1]), theta[n_features:-1]
+    return theta[:n_features] * scale, float(theta[-1]), theta[n_features:-1]
 
 
-def fit_chain(rows, index, y, hashes, names, folds: int = FOLDS) -> Chain:
-    """Chain over the (row, feature) pairs and ``y`` [row, category]."""
+def fit_chain(rows, index, y, hashes, names, folds: int = FOLDS, scale: np.ndarray | None = None) -> Chain:
+    """Chain over the (row, feature) pairs and ``y`` [row, category];
+    ``scale`` [category, feature] is 1 if not given."""
     n, k = y.shape
     width = max(1, len(hashes))
+    scale = np.ones((k, width)) if scale is None or not len(hashes) else scale
     weights, constant, earlier = np.zeros((k, width)), np.zeros(k), np.zeros((k, k))
     fold = np.arange(n) % folds
     odds = np.zeros((n, k))              # out-of-fold log-odds of each category
@@ -150,10 +161,10 @@ def fit_chain(rows, index, y, hashes, names, folds: int = FOLDS) -> Chain:
             continue
         for f in range(folds):
             train = fold != f
-            w, b, d = _logistic(rows, index, odds[:, :c], y[:, c], width, train)
+            w, b, d = _logistic(rows, index, odds[:, :c], y[:, c], scale[c], train)
             z = np.bincount(rows, w[index], minlength=n) + odds[:, :c] @ d + b
             odds[~train, c] = np.clip(z, -30, 30)[~train]
-        w, b, d = _logistic(rows, index, odds[:, :c], y[:, c], width, np.ones(n, dtype=bool))
+        w, b, d = _logistic(rows, index, odds[:, :c], y[:, c], scale[c], np.ones(n, dtype=bool))
         weights[c], constant[c], earlier[c, :c] = w, b, d
     return Chain(list(names), hashes, weights[:, :len(hashes)], constant, earlier)
 
@@ -192,17 +203,20 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
     counts = texts.select("text", *ys).mapInArrow(count, schema).groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ["n", *ys]]).where(F.col("n") >= MIN_DOCS)
     counts = materialize(counts, "op3-counts")
-    n_features = min(n_features, max(64, (total.n or 0) // DOCS_PER_FEATURE))
-    keys: set[int] = set()
+    chis = []
     for c in ys:
         all_n, all_y = float(total.n or 0), float(total[c] or 0)
         # Chi-square of the 2 x 2 table (feature, category).
         n, y = F.col("n").cast("double"), F.col(c).cast("double")
         gap = y * F.lit(all_n) - n * F.lit(all_y)
-        chi = gap * gap / (n * (F.lit(all_n) - n + 1) * F.lit(max(1.0, all_y)) * F.lit(max(1.0, all_n - all_y)))
-        keys |= {r.key for r in counts.select("key", chi.alias("chi")).orderBy(F.col("chi").desc(), "key")
-                 .limit(n_features).collect()}
+        chis.append((gap * gap * F.lit(all_n) / (n * (F.lit(all_n) - n + 1) * F.lit(max(1.0, all_y))
+                                                * F.lit(max(1.0, all_n - all_y)))).alias(f"chi_{c}"))
+    keys: dict[int, list[float]] = {}
+    for c in ys:
+        best = counts.select("key", *chis).orderBy(F.col(f"chi_{c}").desc(), "key").limit(n_features)
+        keys |= {r.key: [r[f"chi_{x}"] for x in ys] for r in best.collect()}
     hashes = np.array(sorted(keys), dtype=np.int64).view(np.uint64)
+    scale = feature_scale(np.array([keys[h] for h in sorted(keys)]).reshape(len(keys), len(ys)).T)
     numbers = np.arange(len(hashes), dtype=np.int32)
 
     def select(batches):
@@ -224,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, sample: int
     rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     index = np.concatenate(lists) if lists else np.zeros(0, np.int32)
     y = np.array([[r[c] for c in ys] for r in data], dtype=np.float64).reshape(len(data), len(ys))
-    return fit_chain(rows, index.astype(np.int64), y, hashes, names, folds)
+    return fit_chain(rows, index.astype(np.int64), y, hashes, names, folds, scale)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
