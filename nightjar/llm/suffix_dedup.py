@@ -28,8 +28,9 @@ Keys with more than ``GROUP`` different contexts are not gathered: their
 combines before the shuffle. Both ways give the same bytes.
 
 Defined cases: a null text is empty; a repeated row counts as another place,
-so it loses a text of 200 bytes and more; rows without a doc_id count as
-places and lose only what equal texts lose; an empty table gives an empty result.
+so it loses a text of 200 bytes and more; rows without a doc_id are each a
+document of their own, with a private number inside; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -387,10 +388,35 @@ def _sent(f: BitFilter, crowded: BitFilter | None, want: bool):
     return run
 
 
+def _numbered(d: DataFrame) -> tuple[DataFrame, int, int]:
+    """``d`` with numbers that no row has in place of the null doc_ids, and the
+    range (first, end) of these numbers."""
+    spark = d.sparkSession
+    seen = d.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                 F.count_if(F.col("doc_id").isNull()).alias("n")).first()
+    if not seen.n:
+        return d, 0, 0
+    lo, hi = (0, 0) if seen.lo is None else (seen.lo, seen.hi)
+    first = hi + 1 if hi + seen.n < 1 << 63 else lo - seen.n
+    if first < -1 << 63:
+        raise ValueError("no numbers are left for the rows without a doc_id")
+    # Written once: the numbers must be the same in every pass.
+    rows = materialize(d.where(F.col("doc_id").isNull()).select(F.monotonically_increasing_id().alias("m"), "text"),
+                       "op7-nameless")
+    task, within = F.shiftright("m", 33), F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
+    starts, at = [], first
+    for r in sorted(rows.groupBy(task.alias("task")).agg(F.max(within).alias("last")).collect()):
+        starts.append((r.task, at))                            # a row a task
+        at += r.last + 1
+    start = F.broadcast(spark.createDataFrame(starts, "task long, start long"))
+    named = rows.join(start, task == F.col("task")).select((F.col("start") + within).alias("doc_id"), "text")
+    return d.where(F.col("doc_id").isNotNull()).unionByName(named), first, at
+
+
 def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes that stay; null where
     nothing was removed), kept_sha256."""
-    d = documents(docs)
+    d, first, end = _numbered(documents(docs))
     own = materialize(d.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
                                F.sha2("text", 256).alias("sha")), "op7-classes")
     classes = own.groupBy(F.col("sha").alias("c_sha")).agg(F.count(F.lit(1)).alias("rows"),
@@ -398,10 +424,9 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     copies = materialize(classes.where("rows > 1"), "op7-copies")
     known = materialize(own.join(copies, F.col("sha") == F.col("c_sha"), "left").drop("c_sha"), "op7-known")
     later = materialize(known.where(F.col("doc_id") > F.col("first_id")).select("doc_id").distinct(), "op7-later")
-    one = d.where(F.col("doc_id").isNotNull())
     # A span is one number too: no span is longer than a context.
     span = F.col("start") * (2 * size) + (F.col("end") - F.col("start"))
-    spans = materialize(repeats(one, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
+    spans = materialize(repeats(d, later, size).groupBy(F.col("doc_id").alias("s_doc")).agg(
         F.collect_list(span).alias("spans")), "op7-spans")
     gone = F.col("rows").isNotNull() & (F.col("n_bytes") >= size)
     base = materialize(known.join(spans.select("s_doc"), F.col("doc_id") == F.col("s_doc"), "left"), "op7-base")
@@ -416,8 +441,12 @@ def suffix_dedup(docs: DataFrame, size: int = MIN_BYTES) -> DataFrame:
     ids = touched.select(F.col("s_doc").alias("doc_id"))
     _, maybe = split_by_keys(d, "doc_id", ids, ids.count())
     cut = maybe.join(touched, F.col("doc_id") == F.col("s_doc")).select("doc_id", "text", "spans")
-    return whole.unionByName(cut.mapInArrow(
+    out = whole.unionByName(cut.mapInArrow(
         _cut(2 * size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"))
+    if first == end:
+        return out
+    private = (F.col("doc_id") >= first) & (F.col("doc_id") < end)
+    return out.withColumn("doc_id", F.when(~private, F.col("doc_id")))
 
 
 def _cut(wide: int):

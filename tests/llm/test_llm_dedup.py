@@ -160,6 +160,20 @@ def test_suffix_equals_brute_force(frame, docs, empty):
     assert suf.suffix_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("ids", [(1, 2), (-2**63, 2**63 - 8)])
+def test_suffix_rows_without_a_doc_id_are_documents(spark, ids):
+    r = random.Random(11)
+    make = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    p, q = make(230), make(240)
+    rows = [(ids[0], make(90) + p + make(50)), (None, make(40) + p + make(70)), (None, make(30) + q), (None, q + make(60)),
+            (ids[1], make(300)), (None, make(250)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.suffix(list(enumerate(t for _, t in rows)))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                 for r in suf.suffix_dedup(docs).collect())
+    assert got == sorted((d is None, d or 0, *want[i]) for i, (d, _) in enumerate(rows))
+
+
 @pytest.mark.parametrize("group", [suf.GROUP, 2])
 def test_suffix_repeats_of_crowded_keys(spark, group):
     r = random.Random(3)
