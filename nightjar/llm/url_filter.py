@@ -11,7 +11,9 @@ Seeds are the hosts of which the rules decide more than half of the pages,
 one way. Edges are the distinct links between different hosts, found in the
 pages. Both propagations share the iterations: forward and reversed edges are
 one table, ranks are combined before each shuffle, and every round's ranks
-are written to the shared folder.
+are written to the shared folder. Rounds go on until no host's rank changes by
+more than TOLERANCE of itself, so that far hosts, whose ranks are small, are
+reached and their scores settle too.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path
 and is allowed unless a rule fits; null html has no links; repeated rows are
@@ -31,7 +33,8 @@ from nightjar.llm.tables import materialize
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DAMPING = 0.85
 TOLERANCE = 1e-6
-MAX_ROUNDS = 60
+SMALLEST = 1e-290                    # ranks under it have too few digits to settle
+MAX_ROUNDS = 10_000                  # only against endless loops: more is an error
 THRESHOLD = 0.5
 
 
@@ -109,7 +112,8 @@ def propagate(edges: DataFrame, seed: DataFrame, damping: float = DAMPING, toler
               max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """kind, host, rank: personalised PageRank along links from the seeds of
     kind 0, along reversed links from those of kind 1. What hosts without
-    outgoing edges hold goes back to the seeds."""
+    outgoing edges hold goes back to the seeds. Ends when every rank changes
+    by less than ``tolerance`` of itself; over ``max_rounds`` is an error."""
     both = edges.select(F.lit(0).alias("kind"), "src", "dst").unionByName(
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
     degree = both.groupBy(F.col("kind").alias("d_kind"), F.col("src").alias("d_src")).agg(
@@ -129,13 +133,15 @@ def propagate(edges: DataFrame, seed: DataFrame, damping: float = DAMPING, toler
         back = seed.withColumn("got", F.col("seed") * ((1 - damping) / damping + lost)).select("kind", "host", "got")
         new = moved.unionByName(back).groupBy("kind", "host").agg((F.sum("got") * damping).alias("rank"))
         new = materialize(new, "op8-rank")
-        old = rank.withColumn("rank", -F.col("rank"))
-        change = (new.unionByName(old).groupBy("kind", "host").agg(F.abs(F.sum("rank")).alias("d"))
-                  .agg(F.sum("d")).first()[0] or 0.0)
+        old = rank.select("kind", "host", (-F.col("rank")).alias("change"), F.lit(0.0).alias("rank"))
+        both = new.select("kind", "host", F.col("rank").alias("change"), "rank").unionByName(old)
+        change = (both.groupBy("kind", "host").agg(F.abs(F.sum("change")).alias("d"), F.sum("rank").alias("rank"))
+                  .agg(F.max(F.when(F.col("d") > 0, F.col("d") / F.greatest("rank", F.lit(SMALLEST)))
+                             .otherwise(0.0))).first()[0] or 0.0)
         rank = new
         if change < tolerance:
-            break
-    return rank
+            return rank
+    raise RuntimeError(f"ranks have not settled after {max_rounds} rounds")
 
 
 def host_verdicts(rank: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -105,6 +105,37 @@ def test_propagation_equals_dense_pagerank(spark):
         assert np.allclose([got.get((kind, f"h{i}"), 0.0) for i in range(n)], rank, atol=1e-6)
 
 
+def test_propagation_reaches_far_hosts_with_the_production_values(spark):
+    n = 26                                                     # a line of hosts, each with a way back
+    line = [(f"h{i + 1}", f"h{i}") for i in range(n - 1)] + [("h0", f"h{i}") for i in range(1, n)]
+    e = spark.createDataFrame(line, "src string, dst string").coalesce(1)
+    s = spark.createDataFrame([(1, "h0", 1.0)], "kind int, host string, seed double").coalesce(1)
+    conf = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {x.host: x.rank for x in uf.propagate(e, s).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    m = np.diag(np.full(n - 1, 0.5), 1)
+    m[:, 0] = 0.5
+    m[0, :2] = 0, 1
+    m[n - 1, 0] = 1
+    rank = np.eye(n)[0]
+    for _ in range(1000):
+        rank = (1 - uf.DAMPING) * np.eye(n)[0] + uf.DAMPING * rank @ m
+    assert np.allclose([got.get(f"h{i}", 0.0) for i in range(n)], rank, rtol=1e-5, atol=0)
+
+
+def test_propagation_says_when_it_has_not_settled(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    s = spark.createDataFrame([(0, "a", 1.0)], "kind int, host string, seed double")
+    with pytest.raises(RuntimeError):
+        uf.propagate(e, s, max_rounds=3)
+
+
 @pytest.mark.parametrize("m", [None, 4])
 def test_search_equals_brute_force(spark, m):
     r = np.random.default_rng(9)
