@@ -5,10 +5,10 @@ transducer (``lexicon``); texts are cut into words, lexicon words get their
 ids by walking it, all others are merged exactly (``bpe``). The ids equal
 those of the tokenizers library; the lexicon only saves merges.
 
-Words are counted over the whole corpus. A task proposes the words that
-repeat in one of its blocks, which keeps the shuffle small; the sums rank
-them and the first MAX_WORDS enter the lexicon (a fixed bound, so the driver
-and the broadcast are bounded too).
+Words are counted over the whole corpus, every occurrence; a task's counts
+are combined before the shuffle. The sums rank the words and the first
+MAX_WORDS enter the lexicon (a fixed bound, so the driver and the broadcast
+are bounded too).
 
 Defined cases: a null text is empty and has no ids; a special token's string
 inside a text is that token; repeated rows are encoded like any other; an
@@ -48,7 +48,6 @@ def frequent_words(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> list[b
                 if not len(s):
                     continue
                 _, first, n = np.unique(word_hashes(data, s, e), return_index=True, return_counts=True)
-                first, n = first[n > 1], n[n > 1]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(strings(data, s[first], e[first]), pa.binary()), pa.array(n, pa.int64())],
                     names=["word", "n"])

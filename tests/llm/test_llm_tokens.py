@@ -103,3 +103,12 @@ def test_sweep_serves_longer_runs_first():
     placed, left, gaps = packing.sweep([(5, 0, 3), (3, 0, 4)], [(6, 0, 1), (10, 1, 1)], 20)
     assert left == [(3, 0, 4)] and gaps == [(1, 0, 1)]
     assert sorted(placed) == [(5, 0, 1, 0, 1, 14), (5, 1, 2, 1, 2, 10)]
+
+
+def test_frequent_words_count_every_occurrence(spark):
+    """A word that each document has once is the most frequent one, however
+    the documents are dealt out."""
+    rows = [(i, "often" + (" twice twice" if i == 0 else " only" + "abcdef"[i])) for i in range(6)]
+    for parts in (1, 6):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
+        assert frequent_words(docs, BYTE, 2) == [b"often", " twice".encode()]
