@@ -109,6 +109,12 @@ def test_frequent_words_count_every_occurrence(spark):
     """A word that each document has once is the most frequent one, however
     the documents are dealt out."""
     rows = [(i, "often" + (" twice twice" if i == 0 else " only" + "abcdef"[i])) for i in range(6)]
-    for parts in (1, 6):
-        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
-        assert frequent_words(docs, BYTE, 2) == [b"often", " twice".encode()]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    try:
+        for size in ("1", "512"):
+            spark.conf.set(key, size)
+            assert frequent_words(docs, BYTE, 2) == [b"often", b" twice"]
+    finally:
+        spark.conf.set(key, before)
