@@ -77,6 +77,45 @@ def op9_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's texts: with h = crc32 of the decimal doc_id, documents
+    of h % 10 = 0 repeat p words from word a on."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    # Lambda arguments are computed once, where a repeated expression would be
+    # computed again for every word.
+    def repeated(v):
+        n = F.size(v.w)
+        a = (v.g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + v.g % 8))).cast("int")
+        return F.transform(F.array(F.struct(v.w.alias("w"), n.alias("n"), a.alias("a"), p.alias("p"))), lambda x: F.array_join(
+            F.transform(F.sequence(F.lit(0), x.n - 1), lambda i: F.get(
+                x.w, F.when(i < x.a, i).otherwise(x.a + (i - x.a) % x.p))), " "))[0]
+
+    text = F.transform(F.array(F.struct(words.alias("w"), g.alias("g"))),
+                       lambda v: F.when(F.size(v.w) > 0, repeated(v)).otherwise(F.lit("")))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.periodic_runs import periodic_runs
+
+    found = periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"),
+                                                                 (-r.period).alias("short"))))
+    return (found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("best"),
+                         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"),
+                                256).alias("runs_sha256"),
+                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+                    (-F.col("best.short")).alias("period"),
+                    F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+                    "runs_sha256", "collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +124,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
-    op7_suffix_dedup, op8_url_filter, op9_hamming_top_k, op10_best_fit_packing, pipeline)}
+    op7_suffix_dedup, op8_url_filter, op9_hamming_top_k, op10_best_fit_packing, op11_periodic_runs,
+    pipeline)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": r"""

@@ -109,6 +109,41 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((acc[end] - acc[start]) * inv[start])
 
 
+def word_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each byte range, first range of each number): equal numbers
+    for equal bytes and no others, counted from 0 in order of appearance."""
+    size = end - start
+    bound = np.concatenate(([0], np.cumsum(size)))
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    inside[start] += 1
+    inside[end] -= 1
+    flat = data[np.cumsum(inside[:-1], dtype=np.int8) > 0] if len(data) else data
+    arr = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start),
+                                           [None, pa.py_buffer(bound), pa.py_buffer(np.ascontiguousarray(flat))])
+    which = arr.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.zeros(int(which.max()) + 1 if len(which) else 0, dtype=np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    return which, first
+
+
+def join_words(b: Block, w: Words, keep: np.ndarray) -> pa.Array:
+    """The kept words of each row, joined by one space."""
+    kept = np.flatnonzero(keep)
+    size = w.end[kept] - w.start[kept] + 1
+    bound = np.concatenate(([0], np.cumsum(size)))
+    at = np.repeat(w.start[kept] - bound[:-1], size) + np.arange(bound[-1])
+    flat = np.append(b.data, np.uint8(32))[at]
+    flat[bound[1:] - 1] = 32
+    row = np.searchsorted(kept, w.bounds)
+    some = np.diff(row) > 0
+    drop = np.ones(len(flat), dtype=bool)
+    drop[bound[row[1:][some]] - 1] = False
+    offsets = bound[row] - np.concatenate(([0], np.cumsum(some)))
+    text = pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(offsets.astype(np.int64)),
+                                            pa.py_buffer(flat[drop]))
+    return text.cast(pa.string())
+
+
 def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """Hash of values[i : i + k] for every i <= len(values) - k."""
     n = len(values)

@@ -98,3 +98,25 @@ def best_fit(lengths, size):
         if gap > x:
             bisect.insort(gaps, gap - x)
     return n
+
+
+def runs(tokens, least=12):
+    """(start, length, period) of every maximal repetition."""
+    out = {}
+    for q in range(1, len(tokens) // 2 + 1):
+        same = [x == y for x, y in zip(tokens, tokens[q:])] + [False]
+        start = 0
+        for i, x in enumerate(same):
+            if not x:
+                if i - start >= q:
+                    out.setdefault((start, i + q), q)
+                start = i + 1
+    return sorted((s, e - s, q) for (s, e), q in out.items() if e - s >= least)
+
+
+def periodic(tokens):
+    """(number of words, runs, collapsed text)."""
+    numbers = {x: i for i, x in enumerate(dict.fromkeys(tokens))}
+    found = runs([numbers[x] for x in tokens])
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return len(tokens), found, " ".join(x for i, x in enumerate(tokens) if i not in gone)
