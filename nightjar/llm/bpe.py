@@ -16,7 +16,7 @@ import unicodedata
 
 import numpy as np
 
-from nightjar.llm.textbytes import word_hashes
+from nightjar.llm.textbytes import strings, word_ids
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 _NO = np.int32(2**31 - 1)
@@ -137,9 +137,8 @@ class Bpe:
             text[i] = token.encode()
         self.token_bytes = Ragged(np.frombuffer(b"".join(text), dtype=np.uint8),
                                   np.concatenate(([0], np.cumsum([len(t) for t in text]))))
-        self.cache_keys = np.zeros(0, dtype=np.uint64)
+        self.cache_rows: dict[bytes, int] = {}
         self.cache = Ragged(np.zeros(0, np.int32), np.zeros(1, np.int64))
-        self.cache_row = np.zeros(0, dtype=np.int64)
 
     # --- words -----------------------------------------------------------
 
@@ -315,34 +314,32 @@ class Bpe:
         """Ids of the different words, and which of them each word is."""
         if not len(start):
             return Ragged(np.zeros(0, np.int32), np.zeros(1, np.int64)), np.zeros(0, np.int64)
-        key, first, which = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+        which, first = word_ids(data, start, end)
         s, e = start[first], end[first]
         parts, order = [], []
-        open_ = np.arange(len(key))
+        open_ = np.arange(len(first))
         if lexicon is not None:
             index = lexicon.find(data, s, e)
             known = index >= 0
             parts.append(lexicon.ids.take(index[known]))
             order.append(open_[known])
             open_ = open_[~known]
-        at = np.searchsorted(self.cache_keys, key[open_])
-        known = at < len(self.cache_keys)
-        known[known] = self.cache_keys[at[known]] == key[open_[known]]
-        parts.append(self.cache.take(self.cache_row[at[known]]))
+        names = strings(data, s[open_], e[open_])
+        row = np.fromiter((self.cache_rows.get(x, -1) for x in names), np.int64, len(names))
+        known = row >= 0
+        parts.append(self.cache.take(row[known]))
         order.append(open_[known])
         new = open_[~known]
         if len(new):
             fresh = self.merge(data, s[new], e[new])
             parts.append(fresh)
             order.append(new)
-            if len(self.cache_keys) + len(new) <= _CACHE_WORDS:
-                where = np.searchsorted(self.cache_keys, key[new])
-                rows = len(self.cache_keys) + np.arange(len(new))
-                self.cache_keys = np.insert(self.cache_keys, where, key[new])
-                self.cache_row = np.insert(self.cache_row, where, rows)
+            if len(self.cache_rows) + len(new) <= _CACHE_WORDS:
+                rows = range(len(self.cache_rows), len(self.cache_rows) + len(new))
+                self.cache_rows.update(zip((names[i] for i in np.flatnonzero(~known).tolist()), rows))
                 self.cache = Ragged.join([self.cache, fresh])
-        back = np.empty(len(key), dtype=np.int64)
-        back[np.concatenate(order)] = np.arange(len(key))
+        back = np.empty(len(first), dtype=np.int64)
+        back[np.concatenate(order)] = np.arange(len(first))
         return Ragged.join(parts).take(back), which
 
     def encode(self, texts: list[str], lexicon=None) -> Ragged:

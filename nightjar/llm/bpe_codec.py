@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from nightjar.llm.bpe import model
 from nightjar.llm.lexicon import MAX_WORDS, compile_lexicon, opened
 from nightjar.llm.tables import documents
-from nightjar.llm.textbytes import blocks, strings, word_hashes
+from nightjar.llm.textbytes import blocks, strings, word_ids
 
 _BLOCK = 1 << 20
 
@@ -47,7 +47,8 @@ def frequent_words(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> list[b
                 data, s, e, _ = bpe.split(pieces)
                 if not len(s):
                     continue
-                _, first, n = np.unique(word_hashes(data, s, e), return_index=True, return_counts=True)
+                which, first = word_ids(data, s, e)
+                n = np.bincount(which)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(strings(data, s[first], e[first]), pa.binary()), pa.array(n, pa.int64())],
                     names=["word", "n"])

@@ -1,8 +1,9 @@
 """Vectorised work on Arrow batches of texts: words, hashes, n-grams.
 
 Texts are handled as UTF-8 bytes straight from the Arrow buffers. A word is a
-run of bytes outside ``[\\x20\\x09-\\x0D]``. Hashes are 64-bit polynomials
-modulo 2**64 with a final mix, equal in every process.
+run of bytes outside ``[\\x20\\x09-\\x0D]``. A word's hash is its XXH64, an
+n-gram's a 64-bit polynomial of its words' hashes with a final mix; both are
+equal in every process.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BLOCK_BYTES = 1 << 19
 _SPACE = np.zeros(256, dtype=bool)
@@ -102,11 +104,10 @@ def words(b: Block) -> Words:
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range."""
-    p, inv = powers(_BYTE_BASE, len(data) + 1)
-    acc = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[:-1], out=acc[1:])
-    return mix((acc[end] - acc[start]) * inv[start])
+    """XXH64 of each byte range; each different one is hashed once."""
+    which, first = word_ids(data, start, end)
+    own = (xxhash.xxh64_intdigest(x) for x in strings(data, start[first], end[first]))
+    return np.fromiter(own, np.uint64, len(first))[which]
 
 
 def word_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

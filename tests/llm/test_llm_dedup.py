@@ -220,3 +220,16 @@ def test_suffix_keeps_groups_whole_beside_crowded_keys(spark, monkeypatch, capac
 
 def test_intervals_of_a_small_array():
     assert sorted(suf.intervals(np.array([1, 3, 3, 0, 2]))) == [(0, 3, 1), (1, 3, 3), (4, 5, 2)]
+
+
+def test_substring_words_with_equal_polynomial_hashes_are_different(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    head = " ".join(f"v{i}" for i in range(12))
+    docs = [(1, f"{head} {a}"), (2, f"{head} {b}"), (3, f"{head} {b}")]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in
+           sub.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: (n, n - len(kept)) for d, (n, kept) in brute.substring(docs).items()}
+    assert got[3] == (13, 13)

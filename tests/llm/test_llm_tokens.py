@@ -118,3 +118,24 @@ def test_frequent_words_count_every_occurrence(spark):
             assert frequent_words(docs, BYTE, 2) == [b"often", b" twice"]
     finally:
         spark.conf.set(key, before)
+
+
+def colliding(k=10):
+    """Two words whose polynomial hashes modulo 2**64 are equal."""
+    s = "a"
+    for _ in range(k):
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_words_with_equal_polynomial_hashes_keep_their_own_ids(path, spark):
+    a, b = colliding()
+    library, own = Tokenizer.from_file(path), model(path)
+    want = [library.encode(t, add_special_tokens=False).ids for t in (a, b)]
+    for batch in ([a, b], [b], [a]):                       # together, and from the cache
+        r = own.encode(batch)
+        assert [r.flat[s:e].tolist() for s, e in zip(r.bounds, r.bounds[1:])] == [want[t == b] for t in batch]
+    if path == BYTE:
+        got = digests(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string").coalesce(1), path).collect()
+        assert {r.doc_id: r.decoded_sha256 for r in got} == {1: brute.sha(a), 2: brute.sha(b)}
