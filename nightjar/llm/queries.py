@@ -116,6 +116,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "runs_sha256", "collapsed_sha256"))
 
 
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from nightjar.llm.mixture_packing import mixture_pack
+
+    return mixture_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,7 +133,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
     op7_suffix_dedup, op8_url_filter, op9_hamming_top_k, op10_best_fit_packing, op11_periodic_runs,
-    pipeline)}
+    op13_mixture_packing, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": r"""
