@@ -116,6 +116,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "runs_sha256", "collapsed_sha256"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nightjar.llm.embedding_whitening import whiten
+
+    return (whiten(table(spark, sf_dir, "embeddings"))
+            .select("vec_id", "n", "deviation", "explained", "identity_error",
+                    F.posexplode("z").alias("place", "whitened"))
+            .select("vec_id", (F.col("place") + 1).alias("component"), "n", F.expr("try_cast(deviation AS long)").alias("deviation"),
+                    "whitened", F.get("explained", F.col("place")).alias("explained"), "identity_error"))
+
+
 def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -133,7 +143,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_substring_dedup, op5_simhash_dedup, op6_bpe_codec,
     op7_suffix_dedup, op8_url_filter, op9_hamming_top_k, op10_best_fit_packing, op11_periodic_runs,
-    op13_mixture_packing, pipeline)}
+    op12_embedding_whitening, op13_mixture_packing, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": r"""
