@@ -86,6 +86,17 @@ def exact_mean(c) -> Column:
     return F.avg(col_(c).cast(CENTROID_TYPE))
 
 
+def weighted_mean(c, weight) -> Column:
+    """Mean over DECIMAL(22,10) values that stand for ``weight`` rows each,
+    from exact sums, rounded half-even to ten decimals, as a double."""
+    units = F.sum((col_(c).cast(CENTROID_TYPE) * F.lit(10_000_000_000)).cast("decimal(23,0)") * weight.cast("decimal(12,0)"))
+    n = F.sum(weight).cast("decimal(20,0)")
+    rest = F.pmod(units, n)
+    quotient, twice = ((units - rest) / n).cast("long"), rest * 2
+    up = F.when(twice > n, 1).when((twice == n) & (F.pmod(quotient, F.lit(2)) == 1), 1).otherwise(0)
+    return (quotient + up).cast("double") / F.lit(1e10)
+
+
 def decimal_text(x, decimals: int = 5) -> Column:
     """Half-even rounding of a DECIMAL, printed as the double it denotes."""
     return F.bround(col_(x), decimals).cast("double").cast("string")

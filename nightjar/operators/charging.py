@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightjar.functions.exprs import in_bbox
+from nightjar.functions.exprs import in_bbox, weighted_mean
 from nightjar.operators.positions import STATIONARY_ODOMETER_STEP
-from nightjar.operators.sequence import bucketed_island_ids, bucketed_lag, with_bucket
+from nightjar.operators.sequence import Ordered, every_row, island_ids, lagged, ordered, weight
 from nightjar.sources.vendors import (VendorSpec, partition_days, partition_filter,
                                       spec_column)
 
@@ -55,16 +56,15 @@ def charging_candidates(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> Da
                     "soc", "dte", "charge_flag"))
 
 
-def charging_signal(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
+def signal_rows(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> Ordered:
     """Per row: previous soc/range (default 0), previous odometer (default
     itself) and ``is_charging_signal`` = (flag OR soc rose OR range rose)
     AND stationary, with the vendor's clauses."""
-    cand = with_bucket(charging_candidates(telemetry, specs), "eventat")
-    lagged = bucketed_lag(cand, KEYS, "eventat", {
+    o = lagged(ordered(charging_candidates(telemetry, specs), KEYS, "eventat", TIES), {
         "prev_soc": ("soc", F.lit(0.0)),
         "prev_dte": ("dte", F.lit(0.0)),
         "prev_odometer": ("odometer", F.col("odometer")),
-    }, ties=TIES)
+    })
     use_flag = spec_column(specs, "use_flag", False)
     use_soc = spec_column(specs, "use_soc", False)
     use_dte = spec_column(specs, "use_dte", False)
@@ -74,24 +74,30 @@ def charging_signal(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> DataFr
             | (use_soc & f(F.col("soc") > F.col("prev_soc")))
             | (use_dte & f(F.col("dte") > F.col("prev_dte"))))
     still = ~has_odo | f(F.abs(F.col("odometer") - F.col("prev_odometer")) <= STATIONARY_ODOMETER_STEP)
-    return lagged.withColumn("is_charging_signal", F.when(clue & still, 1).otherwise(0))
+    return replace(o, rows=o.rows.withColumn("is_charging_signal", F.when(clue & still, 1).otherwise(0)))
+
+
+def charging_signal(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
+    """``signal_rows`` as a plain frame."""
+    return every_row(signal_rows(telemetry, specs))
 
 
 def charging_sessions(telemetry: DataFrame, specs: Sequence[VendorSpec],
                       with_metrics: bool = False) -> DataFrame:
     """Islands of consecutive charging rows per vehicle. A session starts on
     a charging row whose previous row (any row) was not charging; its id is
-    the running count of starts. Sessions shorter than the vendor's minimum
-    minutes or points are dropped."""
-    sig = bucketed_island_ids(charging_signal(telemetry, specs), KEYS, "eventat", "is_charging_signal",
-                              "session_id", ties=TIES)
-    sess = (sig.where(F.col("is_charging_signal") == 1)
+    the running count of starts. Its place is the exact mean of its points at
+    ten decimals, so it is the same whatever order they are summed in. Sessions
+    shorter than the vendor's minimum minutes or points are dropped."""
+    o = island_ids(signal_rows(telemetry, specs), "is_charging_signal", "session_id")
+    n = weight(o)
+    sess = (o.rows.where(F.col("is_charging_signal") == 1)
                .groupBy("vendor", "vin", "session_id")
                .agg(F.min("eventat").alias("session_start_time"),
                     F.max("eventat").alias("_end"),
-                    F.avg("latitude").alias("latitude"),
-                    F.avg("longitude").alias("longitude"),
-                    F.count(F.lit(1)).alias("point_count")))
+                    weighted_mean("latitude", n).alias("latitude"),
+                    weighted_mean("longitude", n).alias("longitude"),
+                    F.sum(n).alias("point_count")))
     # Whole minutes between the second-truncated start and end instants.
     sess = sess.withColumn(
         "duration_minutes",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nightjar.functions.exprs import (coord_text, exact_mean, in_bbox, number, round_half_even,
                                       utc_date, utc_hour)
-from nightjar.operators.sequence import bucketed_lag, with_bucket
+from nightjar.operators.sequence import every_row, lagged, ordered
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter, spec_column
 
 NIGHT_LAST_HOUR = 6           # night is 00:00:00-06:59:59 UTC
@@ -66,13 +66,11 @@ def stationary_points(telemetry: DataFrame, specs: Sequence[VendorSpec],
     cand = night_candidates(telemetry, specs)
     if not stationary:
         return cand.withColumn("prev_odometer", F.lit(None).cast("double"))
-    keys = ["vendor", "vin"]
-    lagged = bucketed_lag(with_bucket(cand, "eventat"), keys, "eventat",
-                          {"prev_odometer": ("odometer", F.col("odometer"))},
-                          ties=["latitude", "longitude", "odometer"]).drop("_bucket")
+    o = ordered(cand, ["vendor", "vin"], "eventat", ["latitude", "longitude", "odometer"])
+    o = lagged(o, {"prev_odometer": ("odometer", F.col("odometer"))})
     has_odo = spec_column(specs, "has_odometer", False)
     keep = ~has_odo | (F.abs(F.col("odometer") - F.col("prev_odometer")) <= STATIONARY_ODOMETER_STEP)
-    return lagged.where(keep)
+    return every_row(o, o.rows.where(keep))
 
 
 def night_points(telemetry: DataFrame, specs: Sequence[VendorSpec],

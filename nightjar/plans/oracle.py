@@ -131,7 +131,8 @@ def sessions_sql(name: str, as_of: dt.date, lookback: int) -> str:
           AND odometer IS NOT NULL AND (motion_ok OR vendor <> 'v0')) t
   WINDOW before AS (PARTITION BY vendor, vin ORDER BY place ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING)),
 {name} AS (
-  SELECT vendor, vin, min(eventat) AS session_start_time, avg(latitude) AS latitude, avg(longitude) AS longitude,
+  SELECT vendor, vin, min(eventat) AS session_start_time,
+         {dround(isum('latitude'), 'count(*)', 10)} AS latitude, {dround(isum('longitude'), 'count(*)', 10)} AS longitude,
          count(*) AS point_count,
          (max(eventat) // 1000 - min(eventat) // 1000) // 60 AS duration_minutes
   FROM (SELECT *, place - row_number() OVER (PARTITION BY vendor, vin ORDER BY place) AS island
