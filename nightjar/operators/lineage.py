@@ -18,6 +18,13 @@ from nightjar.session import ensure_checkpoint_dir
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new folder name under the shared folder, deleted by ``release_written``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/nightjar-{tag}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, tag: str, after: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back. With ``after`` (a
     ``written_mark()``) the scratch tables since then, from which ``df`` was

@@ -31,6 +31,20 @@ def merge_state(previous: DataFrame | None, new: DataFrame, keys: Sequence[str],
     return best.select(*keys, *[F.col(f"_w.{v}").alias(v) for v in values]).select(*columns)
 
 
+def added_rows(known: DataFrame, new: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``new``, one per (vendor, vin, ``order``), whose key ``known``
+    has not. As previous rows win, they are all that a run adds to the state.
+
+    ``known`` is grouped by vehicle, so one that is bucketed by vehicle is
+    read as it lies: only the day's new rows are dealt out. A vehicle's keys
+    are those of the rescanned days."""
+    one = merge_state(None, new, ["vendor", "vin", order], columns)
+    keys = known.groupBy("vendor", "vin").agg(F.collect_set(order).alias("_known"))
+    return (one.join(keys, ["vendor", "vin"], "left")
+            .where(F.col("_known").isNull() | ~F.array_contains("_known", F.col(order)))
+            .select(*columns))
+
+
 def night_retention(state: DataFrame, as_of: dt.date, days: int) -> DataFrame:
     cutoff = as_of - dt.timedelta(days=days)
     return state.where(utc_date("eventat") >= F.lit(cutoff))

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightjar.functions.exprs import round_half_even
+from nightjar.operators import cells as ce
 from nightjar.operators import charging as ch
 from nightjar.operators import positions as pos
 from nightjar.operators import spatial as sp
 from nightjar.operators import state as st
-from nightjar.operators.lineage import materialize
+from nightjar.operators.lineage import materialize, scratch_path
 from nightjar.operators.reshape import pivot_top3
 from nightjar.plans import fixture as fx
 from nightjar.sources import proxy
@@ -102,6 +103,27 @@ def q_night_state_merge(spark, sf_dir):
     return st.merge_night_state(prev, new, fx.AS_OF, fx.RETENTION_TRIAL_DAYS)
 
 
+def nights_by_log(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(night state, night cells) of a first run at ``PREV_AS_OF`` and the
+    next day's incremental run, kept in bucketed logs."""
+    from nightjar.plans.daily import JobConfig, add_nights
+
+    root = scratch_path(spark, "log")
+    cfg = JobConfig(telemetry=telemetry(spark, sf_dir), specs=SPECS, state_root=root, master_root=root,
+                    report_root=root, state_buckets=fx.STATE_BUCKETS)
+    add_nights(spark, fx.PREV_AS_OF, cfg)
+    return add_nights(spark, fx.AS_OF, cfg)
+
+
+def q_night_state_log(spark, sf_dir):
+    return nights_by_log(spark, sf_dir)[0]
+
+
+def q_night_cells_incremental(spark, sf_dir):
+    c = ce.cell_counts(nights_by_log(spark, sf_dir)[1])
+    return c.select("vendor", "vin", "grid_cell", "night_count", _rd("latitude"), _rd("longitude"), "rank")
+
+
 def q_pivot_top3(spark, sf_dir):
     return pivot_top3(pos.night_cells(night_state(spark, sf_dir)), "night_location")
 
@@ -151,6 +173,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_night": q_last_night,
     "night_cells": q_night_cells,
     "night_state_merge": q_night_state_merge,
+    "night_state_log": q_night_state_log,
+    "night_cells_incremental": q_night_cells_incremental,
     "pivot_top3": q_pivot_top3,
     "charging_signal": q_charging_signal,
     "charging_sessions": q_charging_sessions,

@@ -16,7 +16,9 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightjar.functions.exprs import MS_PER_DAY
 from nightjar.operators import address as ad
+from nightjar.operators import cells as ce
 from nightjar.operators import charging as ch
 from nightjar.operators import positions as pos
 from nightjar.operators import report as rp
@@ -25,6 +27,7 @@ from nightjar.operators import state as st
 from nightjar.operators.reshape import pivot_top3
 from nightjar.operators.lineage import materialize, release_written, written_mark
 from nightjar.sources import io
+from nightjar.sources.bucketed import BucketedLog
 from nightjar.sources.vendors import VendorSpec, partition_days, partition_filter
 
 HISTORY_DAYS = 60
@@ -44,6 +47,7 @@ class JobConfig:
     geocode_enrich: Callable | None = None
     geocode_root: str | None = None          # answers are kept here from run to run
     history_days: int = HISTORY_DAYS
+    state_buckets: int | None = None         # keep states as bucketed logs of this many files a run
     previous_report_csv: str | None = None   # compare against this CSV instead of the last version
 
 
@@ -103,29 +107,98 @@ def run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | No
         release_written(written)
 
 
+def state_logs(spark: SparkSession, cfg: JobConfig) -> tuple[BucketedLog, BucketedLog, BucketedLog]:
+    """The bucketed logs of night points, night cells and charging sessions."""
+    make = lambda name, columns: BucketedLog(spark, f"{cfg.state_root}/{name}", columns, cfg.state_buckets)
+    return (make("night_log", "vendor STRING, vin STRING, eventat BIGINT, latitude DOUBLE, longitude DOUBLE"),
+            make("cell_log", ce.CELL_COLUMNS),
+            make("charging_log", "vendor STRING, vin STRING, session_start_time BIGINT, latitude DOUBLE, longitude DOUBLE"))
+
+
+def live(log: BucketedLog, before: dt.date, as_of: dt.date, history: int) -> DataFrame:
+    """Rows of the finished runs before a date that ``as_of``'s history may
+    hold: runs before its first day have none."""
+    return log.read([d for d in log.finished(before) if (as_of - d).days <= history])
+
+
+def _known(log: BucketedLog, found: DataFrame, order: str, as_of: dt.date) -> DataFrame:
+    """Rows of the log that can have the key of a row of ``found``: those of
+    runs since its oldest row, as no row is dated after its run."""
+    oldest = found.agg(F.min(order)).first()[0]
+    if oldest is None:
+        return log.read([])
+    day = dt.date(1970, 1, 1) + dt.timedelta(days=oldest // MS_PER_DAY)
+    return log.read([d for d in log.finished(as_of) if d >= day]).where(F.col(order) >= oldest)
+
+
+def add_nights(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+    """(night state, night cells) after adding the run's new night points to
+    their log and its new nights to the cells."""
+    points, cells, _ = state_logs(spark, cfg)
+    history, done = cfg.history_days, points.finished(as_of)
+    back = _lookback(as_of, done[-1] if done else None, since, history)
+    have = _vendors_in(live(points, as_of, as_of, history))
+    scan = _telemetry(spark, cfg).where(_scan(cfg.specs, as_of, have, back, history, False))
+    found = materialize(st.night_retention(pos.night_points(scan, cfg.specs), as_of, history), "night-found")
+    added = materialize(st.added_rows(_known(points, found, "eventat", as_of), found, "eventat", st.NIGHT_COLUMNS),
+                        "night-added")
+    points.write(as_of, points.dealt(added))
+    fresh = ce.new_cells(added, as_of, history)
+    # The cells of the last run whose points are finished too.
+    if done and (as_of - done[-1]).days <= history:
+        kept, fresh = ce.merged_cells(ce.aged(cells.read(done[-1:]), done[-1], as_of, history), fresh)
+        cells.write(as_of, kept, cells.dealt(fresh))
+    else:
+        cells.write(as_of, cells.dealt(fresh))
+    cells.finish(as_of)
+    points.finish(as_of)
+    rows = live(points, as_of + dt.timedelta(days=1), as_of, history)
+    return st.night_retention(rows.select(*st.NIGHT_COLUMNS), as_of, history), cells.read([as_of])
+
+
+def add_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None = None) -> DataFrame:
+    """Charging state after adding the run's new sessions to their log."""
+    log = state_logs(spark, cfg)[2]
+    history, done = cfg.history_days, log.finished(as_of)
+    back = _lookback(as_of, done[-1] if done else None, since, history)
+    have = _vendors_in(live(log, as_of, as_of, history))
+    scan = _telemetry(spark, cfg).where(_scan(cfg.specs, as_of, have, back, history, True))
+    found = materialize(st.charging_retention(ch.charging_sessions(scan, cfg.specs), as_of, history), "charging-found")
+    order = "session_start_time"
+    log.write(as_of, log.dealt(st.added_rows(_known(log, found, order, as_of), found, order, st.CHARGING_COLUMNS)))
+    log.finish(as_of)
+    rows = live(log, as_of + dt.timedelta(days=1), as_of, history)
+    return st.charging_retention(rows.select(*st.CHARGING_COLUMNS), as_of, history)
+
+
 def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None) -> dict[str, DataFrame]:
     specs = cfg.specs
     tel = _telemetry(spark, cfg)
     night_root, charge_root = f"{cfg.state_root}/night", f"{cfg.state_root}/charging"
 
-    prev_night = io.read_version(spark, night_root, as_of, io.NIGHT_STATE_SCHEMA)
-    back = _lookback(as_of, io.latest_version(spark, night_root, as_of), since, cfg.history_days)
-    night_new = pos.night_points(
-        tel.where(_scan(specs, as_of, _vendors_in(prev_night), back, cfg.history_days, False)), specs)
-    night_state = materialize(
-        st.merge_night_state(prev_night, night_new, as_of, cfg.history_days).select(*io.NIGHT_STATE_SCHEMA.names),
-        "night")
-
-    prev_charge = io.read_version(spark, charge_root, as_of, io.CHARGING_STATE_SCHEMA)
-    back = _lookback(as_of, io.latest_version(spark, charge_root, as_of), since, cfg.history_days)
-    sessions = ch.charging_sessions(
-        tel.where(_scan(specs, as_of, _vendors_in(prev_charge), back, cfg.history_days, True)), specs)
-    charge_state = materialize(
-        st.merge_charging_state(prev_charge, sessions, as_of, cfg.history_days)
-          .select(*io.CHARGING_STATE_SCHEMA.names), "charging")
+    if cfg.state_buckets:
+        night_state, cells = add_nights(spark, as_of, cfg, since)
+        charge_state = add_sessions(spark, as_of, cfg, since)
+        nights = pivot_top3(ce.cell_counts(cells), "night_location")
+    else:
+        prev_night = io.read_version(spark, night_root, as_of, io.NIGHT_STATE_SCHEMA)
+        back = _lookback(as_of, io.latest_version(spark, night_root, as_of), since, cfg.history_days)
+        night_new = pos.night_points(
+            tel.where(_scan(specs, as_of, _vendors_in(prev_night), back, cfg.history_days, False)), specs)
+        night_state = materialize(
+            st.merge_night_state(prev_night, night_new, as_of, cfg.history_days).select(*io.NIGHT_STATE_SCHEMA.names),
+            "night")
+
+        prev_charge = io.read_version(spark, charge_root, as_of, io.CHARGING_STATE_SCHEMA)
+        back = _lookback(as_of, io.latest_version(spark, charge_root, as_of), since, cfg.history_days)
+        sessions = ch.charging_sessions(
+            tel.where(_scan(specs, as_of, _vendors_in(prev_charge), back, cfg.history_days, True)), specs)
+        charge_state = materialize(
+            st.merge_charging_state(prev_charge, sessions, as_of, cfg.history_days)
+              .select(*io.CHARGING_STATE_SCHEMA.names), "charging")
+        nights = pivot_top3(pos.night_cells(night_state), "night_location")
 
     last = pos.last_night(night_state, as_of)
-    nights = pivot_top3(pos.night_cells(night_state), "night_location")
     places = sp.charging_places(sp.charging_clusters(charge_state))
     charging = pivot_top3(places, "charging_location", include_visits=True)
     vehicles = rp.vendor_vehicle(last, nights, charging, specs)
@@ -143,8 +216,11 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
         previous = io.read_version(spark, f"{cfg.report_root}/table", as_of, report.schema)
     if previous is not None:
         out["delta"] = io.write_version(rp.report_delta(report, previous), f"{cfg.report_root}/delta", as_of)
-    out["night_state"] = io.write_version(night_state, night_root, as_of, ("vendor",))
-    out["charging_state"] = io.write_version(charge_state, charge_root, as_of, ("vendor",))
+    if cfg.state_buckets:
+        out["night_state"], out["charging_state"] = night_state, charge_state
+    else:
+        out["night_state"] = io.write_version(night_state, night_root, as_of, ("vendor",))
+        out["charging_state"] = io.write_version(charge_state, charge_root, as_of, ("vendor",))
     out["counts"] = io.write_version(_counts(spark, out), f"{cfg.report_root}/counts", as_of)
     return out
 

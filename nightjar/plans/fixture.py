@@ -13,3 +13,4 @@ WINDOW_TRIAL_AS_OF = dt.date(2024, 2, 2)   # partition window across a month end
 WINDOW_TRIAL_LOOKBACK = 6
 BATCH_SEQ = (AS_OF - dt.date(1970, 1, 1)).days * 4_294_967_296   # ingest sequence of this run's rows
 DUPLICATE_SEQ_OFFSET = 1_000_000      # second master copy, ingested later
+STATE_BUCKETS = 8                     # files a run in the bucketed state logs

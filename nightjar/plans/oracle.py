@@ -233,19 +233,34 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin ORDER BY eventat DES
       FROM nstate WHERE {EDATE} = DATE '{y}') WHERE rn = 1"""
 
 
+TOP_CELLS = (f"SELECT vendor, vin, grid_cell, night_count, {dround('lat_i', 'n_pts', 8)} AS latitude, "
+             f"{dround('lon_i', 'n_pts', 8)} AS longitude, CAST(rank AS INTEGER) AS rank FROM ncell_top")
+
+
 def q_night_cells() -> str:
-    return with_(TEL, night_state_sql(), CELLS) + \
-        f"SELECT vendor, vin, grid_cell, night_count, {dround('lat_i', 'n_pts', 8)} AS latitude, " \
-        f"{dround('lon_i', 'n_pts', 8)} AS longitude, CAST(rank AS INTEGER) AS rank FROM ncell_top"
+    return with_(TEL, night_state_sql(), CELLS) + TOP_CELLS
 
 
-def q_night_state_merge() -> str:
-    cutoff = fx.AS_OF - dt.timedelta(days=fx.RETENTION_TRIAL_DAYS)
-    return with_(TEL, night_sql("prev", fx.PREV_AS_OF, fx.LOOKBACK),
-                 night_sql("new", fx.AS_OF, fx.INCREMENTAL_LOOKBACK)) + f"""SELECT vendor, vin, eventat, latitude, longitude FROM (
+def merged_nights_sql(name: str, days: int) -> str:
+    """Night points of a first run at PREV_AS_OF and the next run, the previous rows winning."""
+    return f"""{night_sql("prev", fx.PREV_AS_OF, fx.LOOKBACK)},
+{night_sql("new", fx.AS_OF, fx.INCREMENTAL_LOOKBACK)},
+{name} AS (SELECT vendor, vin, eventat, latitude, longitude FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin, eventat ORDER BY prio, latitude, longitude) AS rn
   FROM (SELECT *, 0 AS prio FROM prev UNION ALL SELECT *, 1 AS prio FROM new))
-WHERE rn = 1 AND {EDATE} >= DATE '{cutoff}'"""
+WHERE rn = 1 AND {EDATE} >= DATE '{fx.AS_OF - dt.timedelta(days=days)}')"""
+
+
+def q_night_state_merge() -> str:
+    return with_(TEL, merged_nights_sql("merged", fx.RETENTION_TRIAL_DAYS)) + "SELECT * FROM merged"
+
+
+def q_night_state_log() -> str:
+    return with_(TEL, merged_nights_sql("nstate", fx.LOOKBACK)) + "SELECT * FROM nstate"
+
+
+def q_night_cells_incremental() -> str:
+    return with_(TEL, merged_nights_sql("nstate", fx.LOOKBACK), CELLS) + TOP_CELLS
 
 
 def pivot(src: str, prefix: str, visits: bool) -> str:
@@ -317,6 +332,8 @@ ORACLE: dict[str, str] = {
     "last_night": q_last_night(),
     "night_cells": q_night_cells(),
     "night_state_merge": q_night_state_merge(),
+    "night_state_log": q_night_state_log(),
+    "night_cells_incremental": q_night_cells_incremental(),
     "pivot_top3": q_pivot_top3(),
     "charging_signal": q_charging_signal(),
     "charging_sessions": q_charging_sessions(),

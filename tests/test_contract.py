@@ -10,7 +10,7 @@ CHEAP = ["valid_positions", "night_points", "pivot_top3", "charging_sessions", "
 
 def test_queries_and_oracles_cover_the_same_keys():
     assert set(E.oracle_sql()) <= set(E.queries()) and set(FLEET) <= set(E.oracle_sql())
-    assert {k for k in E.queries() if not k.startswith("op") and k != "pipeline"} == set(FLEET) and len(FLEET) == 27
+    assert {k for k in E.queries() if not k.startswith("op") and k != "pipeline"} == set(FLEET) and len(FLEET) >= 27
 
 
 def test_entry_runs_on_smoke_data(spark):
