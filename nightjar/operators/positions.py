@@ -20,6 +20,8 @@ GRID_DECIMALS = 3             # grid cell precision for both axes
 TEXT_DECIMALS = 5             # location text precision
 TOP_K = 3
 HISTORY_DAYS = 60
+KEPT = "kept"
+REASONS = ("no_position", "not_two_parts", "not_numeric", "outside_box")   # why a raw position is rejected
 
 
 def valid_positions(raw: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
@@ -37,6 +39,26 @@ def valid_positions(raw: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
     return typed.where(in_bbox("latitude", "longitude"))
 
 
+def judged_positions(raw: DataFrame, specs: Sequence[VendorSpec]) -> DataFrame:
+    """Every raw position with its typed coordinates (NULL where they do not
+    parse) and a ``reason``: ``KEPT`` for the rows of ``valid_positions``, else
+    the first of ``REASONS`` that holds. The texts are kept for the rejected."""
+    packed = spec_column(specs, "packed_position", False)
+    parts = F.split(F.col("location"), ",")
+    lat = F.when(~packed, F.col("lat_text")).when(F.size(parts) == 2, F.try_element_at(parts, F.lit(1)))
+    lon = F.when(~packed, F.col("lon_text")).when(F.size(parts) == 2, F.try_element_at(parts, F.lit(2)))
+    absent = F.when(packed, F.col("location").isNull()).otherwise(F.col("lat_text").isNull() | F.col("lon_text").isNull())
+    typed = raw.select("vendor", "vin", "eventat", "location", "lat_text", "lon_text", absent.alias("_absent"),
+                       (packed & (F.size(parts) != 2)).alias("_parts"),
+                       F.inline(F.array(F.struct(number(lat).alias("latitude"), number(lon).alias("longitude")))))
+    found = dict(zip(REASONS, (F.col("_absent"), F.col("_parts"), F.col("latitude").isNull() | F.col("longitude").isNull(),
+                               ~F.coalesce(in_bbox("latitude", "longitude"), F.lit(False)))))
+    reason = F.lit(KEPT)
+    for name in reversed(REASONS):
+        reason = F.when(found[name], name).otherwise(reason)
+    return typed.withColumn("reason", reason).drop("_absent", "_parts")
+
+
 def scan_window(telemetry: DataFrame, as_of: dt.date, lookback: int) -> DataFrame:
     """Rows of ``as_of`` and the ``lookback`` days before, by partition."""
     return telemetry.where(partition_filter(partition_days(as_of, lookback)))

@@ -22,7 +22,7 @@ from nightjar.operators import state as st
 from nightjar.operators.lineage import materialize, scratch_path
 from nightjar.operators.reshape import pivot_top3
 from nightjar.plans import fixture as fx
-from nightjar.sources import proxy
+from nightjar.sources import io, proxy
 from nightjar.sources.vendors import PROXY_VENDORS, partition_days, partition_filter
 
 SPECS = PROXY_VENDORS
@@ -68,6 +68,24 @@ def q_valid_positions(spark, sf_dir):
     return pos.valid_positions(raw, SPECS)
 
 
+def _channels(spark, sf_dir):
+    raw = proxy.raw_positions_proxy(proxy.read_table(spark, sf_dir, "events"))
+    return io.write_positions(pos.judged_positions(raw, SPECS), scratch_path(spark, "positions"), fx.AS_OF)
+
+
+def q_rejected_positions(spark, sf_dir):
+    return _channels(spark, sf_dir)[1].select("vendor", "vin", "eventat", "location", "lat_text", "lon_text", "reason")
+
+
+def q_position_counts(spark, sf_dir):
+    """Rows by reason as observed while both channels are written, beside
+    those that each channel holds."""
+    kept, rejected, counts = _channels(spark, sf_dir)
+    held = (kept.select(F.lit(pos.KEPT).alias("reason")).unionByName(rejected.select("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("held")))
+    return counts.join(held, "reason", "left").select("reason", "rows", F.coalesce("held", F.lit(0)).alias("held"))
+
+
 def q_partition_window(spark, sf_dir):
     days = partition_days(fx.WINDOW_TRIAL_AS_OF, fx.WINDOW_TRIAL_LOOKBACK)
     return (telemetry(spark, sf_dir).where(partition_filter(days))
@@ -166,6 +184,8 @@ def q_charging_places(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_positions": q_valid_positions,
+    "rejected_positions": q_rejected_positions,
+    "position_counts": q_position_counts,
     "partition_window": q_partition_window,
     "stationary_points": q_stationary_points,
     "night_points": q_night_points,

@@ -203,9 +203,10 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
     charging = pivot_top3(places, "charging_location", include_visits=True)
     vehicles = rp.vendor_vehicle(last, nights, charging, specs)
 
-    master = update_master(spark, as_of, cfg)
+    counts: dict[str, int] = {}              # observed while the outputs are written
+    master = update_master(spark, as_of, cfg, counts)
     report = io.write_version(rp.vehicle_report(ad.master_dedup(master), vehicles),
-                              f"{cfg.report_root}/table", as_of)
+                              f"{cfg.report_root}/table", as_of, (), counts, "report")
     io.write_report_csv(report, io.version_path(f"{cfg.report_root}/csv", as_of))
     io.write_report_json(report, io.version_path(f"{cfg.report_root}/json", as_of))
 
@@ -217,21 +218,18 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
     if previous is not None:
         out["delta"] = io.write_version(rp.report_delta(report, previous), f"{cfg.report_root}/delta", as_of)
     if cfg.state_buckets:
-        out["night_state"], out["charging_state"] = night_state, charge_state
+        # The log has no single write of the whole state to observe.
+        for name, rows in (("night_state", night_state), ("charging_state", charge_state)):
+            out[name], counts[name] = rows, rows.count()
     else:
-        out["night_state"] = io.write_version(night_state, night_root, as_of, ("vendor",))
-        out["charging_state"] = io.write_version(charge_state, charge_root, as_of, ("vendor",))
-    out["counts"] = io.write_version(_counts(spark, out), f"{cfg.report_root}/counts", as_of)
+        for name, rows, root in (("night_state", night_state, night_root), ("charging_state", charge_state, charge_root)):
+            out[name] = io.write_version(rows, root, as_of, ("vendor",), counts, name)
+    out["counts"] = io.write_version(spark.createDataFrame(sorted(counts.items()), "name string, rows long"),
+                                     f"{cfg.report_root}/counts", as_of)
     return out
 
 
-def _counts(spark: SparkSession, out: dict[str, DataFrame]) -> DataFrame:
-    """(name, rows) of the run's outputs."""
-    rows = [(k, df.count()) for k, df in sorted(out.items()) if k != "delta"]
-    return spark.createDataFrame(rows, "name string, rows long")
-
-
-def update_master(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> DataFrame:
+def update_master(spark: SparkSession, as_of: dt.date, cfg: JobConfig, counts: dict | None = None) -> DataFrame:
     """Geocode the work list (incomplete rows and new loan/vehicle pairs)
     and write the next master version; without loan sources the previous
     master is carried over unchanged."""
@@ -241,7 +239,7 @@ def update_master(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> DataFr
     else:
         master = io.read_master(spark, io.version_path(cfg.master_root, version))
     if cfg.loan_tables is None or cfg.loan_pairs is None:
-        return io.write_version(master, cfg.master_root, as_of)
+        return io.write_version(master, cfg.master_root, as_of, (), counts, "master")
     work = materialize(ad.address_worklist(master, ad.loan_vehicle_pairs(cfg.loan_pairs(spark))), "worklist")
     profile = ad.loan_profile(cfg.loan_tables(spark), loans=work)
     composed = materialize(ad.address_compose(work, profile), "composed")
@@ -258,4 +256,5 @@ def update_master(spark: SparkSession, as_of: dt.date, cfg: JobConfig) -> DataFr
         io.write_version(found, cfg.geocode_root, as_of)
     geocoded = ad.attach_coordinates(composed, answers)
     seq = (as_of - dt.date(1970, 1, 1)).days * 4_294_967_296
-    return io.write_version(ad.address_master_merge(master, geocoded, seq), cfg.master_root, as_of)
+    merged = ad.address_master_merge(master, geocoded, seq)
+    return io.write_version(merged, cfg.master_root, as_of, (), counts, "master")

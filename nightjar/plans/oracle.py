@@ -186,7 +186,7 @@ def with_(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
-def q_valid_positions() -> str:
+def typed_positions_sql() -> str:
     lat_txt = (f"CASE WHEN event_id % 23 = 0 THEN 'n/a' WHEN event_id % 19 = 0 THEN CAST(50.0::DOUBLE AS VARCHAR)"
                f" ELSE CAST({LAT} AS VARCHAR) END")
     lon_txt = f"CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST({LON} AS VARCHAR) END"
@@ -199,15 +199,38 @@ parsed AS (
          CASE WHEN packed THEN (CASE WHEN lon_text IS NULL THEN lat_text ELSE lat_text || ',' || lon_text END) END AS location,
          lat_text, lon_text, packed FROM raw),
 typed AS (
-  SELECT vendor, vin, eventat, packed, location,
+  SELECT vendor, vin, eventat, packed, location, lat_text, lon_text,
          CASE WHEN packed THEN TRY_CAST(split_part(location, ',', 1) AS DOUBLE) ELSE TRY_CAST(lat_text AS DOUBLE) END AS latitude,
          CASE WHEN packed THEN TRY_CAST(split_part(location, ',', 2) AS DOUBLE) ELSE TRY_CAST(lon_text AS DOUBLE) END AS longitude
   FROM parsed)
-SELECT vendor, vin, eventat, latitude, longitude FROM typed
+"""
+
+
+def q_valid_positions() -> str:
+    return typed_positions_sql() + f"""SELECT vendor, vin, eventat, latitude, longitude FROM typed
 WHERE (NOT packed OR (location IS NOT NULL AND len(string_split(location, ',')) = 2))
   AND latitude IS NOT NULL AND longitude IS NOT NULL AND {BBOX}"""
 
 
+#: Reasons by elimination, from the rows and not from the valid ones.
+REASON = f"""CASE WHEN packed AND location IS NULL OR NOT packed AND (lat_text IS NULL OR lon_text IS NULL) THEN 'no_position'
+     WHEN packed AND len(string_split(location, ',')) <> 2 THEN 'not_two_parts'
+     WHEN latitude IS NULL OR longitude IS NULL THEN 'not_numeric'
+     WHEN {BBOX} THEN 'kept' ELSE 'outside_box' END"""
+
+
+def q_rejected_positions() -> str:
+    return typed_positions_sql() + f"""SELECT vendor, vin, eventat, location, CASE WHEN NOT packed THEN lat_text END AS lat_text,
+       CASE WHEN NOT packed THEN lon_text END AS lon_text, {REASON} AS reason
+FROM typed WHERE {REASON} <> 'kept'"""
+
+
+def q_position_counts() -> str:
+    return typed_positions_sql() + f"""SELECT reason, count(r) AS rows, count(r) AS held
+FROM (VALUES ('kept'), ('no_position'), ('not_two_parts'), ('not_numeric'), ('outside_box')) k(reason)
+LEFT JOIN (SELECT {REASON} AS r FROM typed) t ON r = reason GROUP BY reason"""
+
+
 def q_partition_window() -> str:
     days = partition_days(fx.WINDOW_TRIAL_AS_OF, fx.WINDOW_TRIAL_LOOKBACK)
     return with_(TEL) + f"SELECT vendor, vin, eventat, year, month, day FROM tel WHERE {pfilter(days)}"
@@ -325,6 +348,8 @@ def q_charging_places() -> str:
 
 ORACLE: dict[str, str] = {
     "valid_positions": q_valid_positions(),
+    "rejected_positions": q_rejected_positions(),
+    "position_counts": q_position_counts(),
     "partition_window": q_partition_window(),
     "stationary_points": q_stationary_points(),
     "night_points": q_night_points(),

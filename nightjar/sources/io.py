@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,18 +64,48 @@ def read_version(spark: SparkSession, root: str, as_of: dt.date, schema: T.Struc
     return spark.read.schema(schema).parquet(version_path(root, v)).select(*schema.names)
 
 
-def write_version(df: DataFrame, root: str, as_of: dt.date, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_version(df: DataFrame, root: str, as_of: dt.date, partition_by: tuple[str, ...] = (),
+                  counts: dict[str, int] | None = None, name: str = "") -> DataFrame:
     """Write ``df`` as the version of ``as_of`` and return it read back, so
     later steps start from the written files (short lineage). It is read
-    with its own schema, so a version without rows reads as empty."""
+    with its own schema, so a version without rows reads as empty. With
+    ``counts`` the number of rows is noted there under ``name``, observed
+    while they are written."""
     path = version_path(root, as_of)
-    w = df.write.mode("overwrite")
+    seen = Observation()
+    rows = df if counts is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    w = rows.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if counts is not None:
+        counts[name] = seen.get["rows"]
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def write_positions(judged: DataFrame, root: str, as_of: dt.date) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, rejected, counts) of ``positions.judged_positions``: both
+    channels are written by one pass over the input, and what it read is
+    counted by vendor-independent reason while it is written. ``counts`` has
+    (reason, rows), reason ``kept`` for the rows without one."""
+    from nightjar.operators.positions import KEPT, REASONS
+
+    path = version_path(root, as_of)
+    seen = Observation()
+    counted = judged.observe(seen, F.count(F.lit(1)).alias("read"),
+                             *[F.count_if(F.col("reason") == r).alias(r) for r in (KEPT, *REASONS)])
+    (counted.withColumn("channel", F.when(F.col("reason") == KEPT, "kept").otherwise("rejected"))
+            .write.mode("overwrite").partitionBy("channel").parquet(path))
+    got = seen.get
+    if got["read"] != sum(got[r] for r in (KEPT, *REASONS)):
+        raise RuntimeError(f"positions at {path}: {got} do not add up")
+    spark = judged.sparkSession
+    counts = spark.createDataFrame([(r, got[r]) for r in (KEPT, *REASONS)], "reason string, rows long")
+    both = spark.read.schema(T.StructType([*judged.schema.fields, T.StructField("channel", T.StringType())])).parquet(path)
+    kept = both.where("channel = 'kept'").select("vendor", "vin", "eventat", "latitude", "longitude")
+    return kept, both.where("channel = 'rejected'").drop("channel"), counts
+
+
 def read_master(spark: SparkSession, path: str) -> DataFrame:
     return checked_master(spark.read.parquet(path), path)
 

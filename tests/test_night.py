@@ -5,6 +5,7 @@ from helpers import DAY, ms, row, telemetry
 from nightjar.operators import positions as pos
 from nightjar.operators.reshape import pivot_top3
 from nightjar.sources.vendors import PROXY_VENDORS as SPECS
+from nightjar.sources.vendors import VendorSpec
 
 
 def test_night_window_is_inclusive_of_6_59_59_and_first_row_is_stationary(spark):
@@ -74,3 +75,26 @@ def test_last_night_is_yesterday_utc_latest_point(spark):
         "vendor string, vin string, eventat long, latitude double, longitude double")
     got = {(r.vin, r.last_night_location) for r in pos.last_night(state, as_of).collect()}
     assert got == {("a", "12.2, 77.0")}
+
+
+def test_rejected_rows_have_the_first_reason_and_both_channels_add_up(spark, tmp_path):
+    from nightjar.operators.positions import judged_positions, valid_positions
+    from nightjar.sources.io import write_positions
+    specs = (VendorSpec("a"), VendorSpec("p", packed_position=True))
+    rows = [("a", "1", None, "12.5", "77.5", "kept"), ("a", "2", None, None, "77.5", "no_position"),
+            ("a", "3", None, "x", None, "no_position"), ("a", "4", None, "12.5d", "77", "not_numeric"),
+            ("a", "5", None, "50", "77", "outside_box"), ("p", "6", "12.5,77.5", None, None, "kept"),
+            ("p", "7", None, "12", "77", "no_position"), ("p", "8", "12.5", None, None, "not_two_parts"),
+            ("p", "9", "1,2,3", None, None, "not_two_parts"), ("p", "10", "a,b", None, None, "not_numeric"),
+            ("p", "11", "12.5,10", None, None, "outside_box"), ("p", "12", "", None, None, "not_two_parts")]
+    raw = spark.createDataFrame([r[:2] + (5,) + r[2:5] for r in rows],
+                                "vendor string, vin string, eventat long, location string, lat_text string, lon_text string")
+    judged = judged_positions(raw, specs)
+    assert {r.vin: r.reason for r in judged.collect()} == {r[1]: r[5] for r in rows}
+    kept, rejected, counts = write_positions(judged, str(tmp_path), DAY)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, valid_positions(raw, specs).collect()))
+    by_reason = {r.reason: r.rows for r in counts.collect()}
+    assert sum(by_reason.values()) == len(rows) and by_reason["kept"] == kept.count() == 2
+    assert by_reason["no_position"] == 3 and rejected.count() == 10
+    _, rejected, counts = write_positions(judged.limit(0), str(tmp_path / "none"), DAY)
+    assert rejected.count() == 0 and sum(r.rows for r in counts.collect()) == 0
