@@ -19,8 +19,6 @@ k rows give fewer answers; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,10 +47,35 @@ def _segment(code: Column, j: int, width: int) -> Column:
     return F.shiftrightunsigned(code, j * width).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _values(df: DataFrame, m: int, code: str) -> DataFrame:
+def _index(entries: DataFrame, m: int) -> DataFrame:
+    """Each entry once a segment."""
+    width = BITS // m
+    parts = [F.struct(F.lit(j).alias("seg"), _segment(F.col("code"), j, width).alias("val")) for j in range(m)]
+    return entries.select("code", "ids", F.inline(F.array(*parts)))
+
+
+def _probes(open_: DataFrame, m: int, r: int) -> DataFrame:
+    """Segment values at exactly ``r`` bits from those of every open query,
+    made on the executors: each step flips one bit above the last one."""
+    width = BITS // m
+    parts = [F.struct(F.lit(j).alias("p_seg"), _segment(F.col("q"), j, width).alias("p_val")) for j in range(m)]
+    out = open_.select("q", "far", F.inline(F.array(*parts))).withColumn("top", F.lit(-1))
+    for _ in range(r):
+        rest = F.when(F.col("top") < width - 1, F.sequence(F.col("top") + 1, F.lit(width - 1)))
+        out = out.withColumn("top", F.explode(rest)).withColumn(
+            "p_val", F.col("p_val").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("top"))))
+    return out.drop("top")
+
+
+def _first_met(m: int, r: int) -> Column:
+    """Whether (code, q) are met for the first time in round ``r`` and segment
+    ``seg``: no segment differs by fewer bits, no earlier one by as few."""
     width = BITS // m
-    parts = [F.struct(F.lit(j).alias("seg"), _segment(F.col(code), j, width).alias("val")) for j in range(m)]
-    return df.withColumn("s", F.explode(F.array(*parts))).select("*", "s.seg", "s.val").drop("s")
+    own = F.lit(True)
+    for j in range(m):
+        bits = F.bit_count(_segment(F.col("code").bitwiseXOR(F.col("q")), j, width))
+        own = own & (bits >= F.when(F.col("seg") > j, r + 1).otherwise(r))
+    return own
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -62,43 +85,49 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(codes: DataFrame, queries: DataFrame, k: int = K, m: int | None = None) -> DataFrame:
-    """q (query code), rank, id, dist for ``codes`` (id, code) and ``queries``
-    (code, distinct)."""
+    """q (query code), rank, id, dist for ``codes`` (id, code; each id once)
+    and ``queries`` (code, distinct).
+
+    The index and the probes meet in a sort-merge join, as both grow with the
+    data; a hit farther than the query's k-th so far is dropped before its ids
+    are unfolded. Each round writes the answers of the queries that it closes
+    and the best so far of the others."""
     w = W.partitionBy("code").orderBy("id")
     few = codes.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k)
     entries = materialize(few.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "op9-entries")
     n = entries.count()
     m = m or segments_for(n)
     width = BITS // m
-    index = materialize(_values(entries, m, "code"), "op9-index")
-    open_ = materialize(queries.select(F.col("code").alias("q")).distinct(), "op9-queries")
+    index = materialize(_index(entries, m), "op9-index")
+    whole = min(k, entries.select(F.size("ids").alias("n")).agg(F.sum("n")).first()[0] or 0)
+    state = materialize(queries.select(F.col("code").alias("q"), F.lit(BITS).alias("far")).distinct(), "op9-queries")
     best, done = None, []
     for r in range(width + 1):
-        masks = [sum(1 << b for b in bits) for bits in combinations(range(width), r)]
-        mask = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<long>")
-        probes = _values(open_, m, "q").withColumn("mask", F.explode(mask))
-        probes = probes.select("q", F.col("seg").alias("p_seg"), F.col("val").bitwiseXOR(F.col("mask")).alias("p_val"))
-        hits = (index.join(probes, (F.col("seg") == F.col("p_seg")) & (F.col("val") == F.col("p_val")))
-                .select("q", "ids", F.bit_count(F.col("code").bitwiseXOR(F.col("q"))).alias("dist"))
-                .select("q", "dist", F.explode("ids").alias("id")))
+        probes = _probes(state, m, r)
+        hits = (index.join(probes.hint("merge"), (F.col("seg") == F.col("p_seg")) & (F.col("val") == F.col("p_val")))
+                .where(_first_met(m, r))
+                .select("q", "ids", "far", F.bit_count(F.col("code").bitwiseXOR(F.col("q"))).alias("dist"))
+                .where("dist <= far").select("q", "dist", F.explode("ids").alias("id")))
         found = hits if best is None else hits.unionByName(best.select("q", "dist", "id"))
-        best = materialize(_best(found.distinct(), k), "op9-best")
         radius = m * (r + 1) - 1
-        state = best.groupBy(F.col("q").alias("s_q")).agg(F.max("rank").alias("n"), F.max("dist").alias("far"))
-        closed = state.where((F.col("n") >= k) & (F.col("far") <= radius)).select("s_q")
-        if r < width:
-            closed = materialize(closed, "op9-closed")
-        else:
-            closed = state.select("s_q")
-        done.append(best.join(closed, F.col("q") == F.col("s_q"), "left_semi"))
-        open_ = materialize(open_.join(closed, F.col("q") == F.col("s_q"), "left_anti"), "op9-open")
-        if open_.isEmpty():
+        mine = W.partitionBy("q")
+        judged = _best(found, k).withColumns({"n": F.count("id").over(mine), "far": F.max("dist").over(mine)})
+        # With fewer than k rows in all, seeing them all is enough.
+        closed = (F.col("n") >= whole) & ((F.col("far") <= radius) | F.lit(whole < k)) if r < width else F.lit(True)
+        judged = materialize(judged.withColumn("closed", closed), "op9-round")
+        done.append(judged.where("closed").select("q", "rank", "id", "dist"))
+        best = judged.where("NOT closed")
+        seen = judged.where("rank = 1").select(F.col("q").alias("s_q"), "closed", F.when(
+            F.col("n") >= k, F.col("far")).otherwise(BITS).alias("s_far"))
+        state = materialize(state.join(seen.hint("merge"), F.col("q") == F.col("s_q"), "left")
+                            .where("closed IS NULL OR NOT closed")
+                            .select("q", F.coalesce("s_far", "far").alias("far")), "op9-open")
+        if state.isEmpty():
             break
-        best = best.join(closed, F.col("q") == F.col("s_q"), "left_anti")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select("q", "rank", "id", "dist")
+    return out
 
 
 def search(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, id_col: str = "vec_id",
@@ -111,5 +140,5 @@ def search(embeddings: DataFrame, k: int = K, step: int = QUERY_STEP, id_col: st
     asked = codes.where(F.col("id") % step == 0)
     found = top_k(codes, asked.select("code"), k)
     return (asked.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
-            .join(found, F.col("q_code") == F.col("q"))
+            .join(found.hint("merge"), F.col("q_code") == F.col("q"))
             .select("query_id", "rank", F.col("id").alias("vec_id"), F.col("dist").cast("long").alias("distance")))

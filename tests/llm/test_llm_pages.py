@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +160,31 @@ def test_search_equals_brute_force(spark, m):
     assert hs.search(df.limit(0)).count() == 0
     few = hs.search(df.where("vec_id IN (0, 1)")).collect()
     assert len(few) == 2 and few[0].query_id == 0
+
+
+@pytest.mark.parametrize("m", [2, 4, 8])
+def test_rounds_of_every_segment_count_equal_brute_force(spark, m):
+    r = random.Random(m)
+    centres = [r.getrandbits(64) for _ in range(4)]
+    codes = {}
+    for i in range(300):                                   # crowded segments, equal codes and ties
+        c = centres[i % 4]
+        for _ in range(r.randint(0, 3)):
+            c ^= 1 << r.randrange(20)                      # the upper segments stay those of the centre
+        codes[i] = c
+    signed = {i: c - (1 << 64) if c >> 63 else c for i, c in codes.items()}
+    df = spark.createDataFrame(list(signed.items()), "id long, code long").repartition(3)
+    got = {}
+    for x in hs.top_k(df, df.where("id % 50 = 0").select("code"), 5, m).collect():
+        got.setdefault(x.q, {})[x["rank"]] = (x.dist, x.id)
+    for q in range(0, 300, 50):
+        want = sorted(((codes[i] ^ codes[q]).bit_count(), i) for i in codes)[:5]
+        assert [got[signed[q]][k] for k in range(1, 6)] == want
+
+
+def test_hamming_rows_without_ids_or_vectors_and_null_elements(spark):
+    v = [1.0, -1.0] * 32
+    rows = [(None, v), (50, None), (0, v), (0, v), (1, [None] + v[1:]), (2, [-x for x in v]), (3, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS code", "'x' AS seg")
+    got = [(x.query_id, x["rank"], x.vec_id, x.distance) for x in hs.search(df).collect()]
+    assert sorted(got) == [(0, 1, 0, 0), (0, 2, 1, 1), (0, 3, 3, 32), (0, 4, 2, 64)]
