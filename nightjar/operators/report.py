@@ -70,15 +70,13 @@ def _moved(today: str, prev: str):
     return F.coalesce(both & ok & (haversine_m(lat1, lon1, lat2, lon2) > MOVE_THRESHOLD_M), F.lit(False))
 
 
-def report_delta(today: DataFrame, previous: DataFrame) -> DataFrame:
-    """One row of change counts between two reports joined on vin:
-    new vehicles; moved last-night points; vehicles with any moved night
-    slot; vehicles charging for the first time; vehicles with any moved
-    charging slot. "Moved" is strictly more than 100 m."""
-    cols = ["last_night_location", *LOCATION_SLOTS, *CHARGING_SLOTS]
-    t = today.select("vin", *[F.col(c).alias(f"{c}_today") for c in cols]).withColumn("_t", F.lit(True))
-    p = previous.select("vin", *[F.col(c).alias(f"{c}_prev") for c in cols]).withColumn("_p", F.lit(True))
-    m = t.join(p, "vin", "full")
+DELTA_COLUMNS = ["last_night_location", *LOCATION_SLOTS, *CHARGING_SLOTS]
+
+
+def _delta_counts(m: DataFrame) -> DataFrame:
+    """The five counts over vehicles with ``{column}_today`` and
+    ``{column}_prev``; ``_t`` and ``_p`` are set where the vehicle is in
+    today's and in the previous report."""
     night_any = _moved("night_location_1_today", "night_location_1_prev")
     for c in LOCATION_SLOTS[1:]:
         night_any = night_any | _moved(f"{c}_today", f"{c}_prev")
@@ -97,6 +95,68 @@ def report_delta(today: DataFrame, previous: DataFrame) -> DataFrame:
     )
 
 
+def report_delta(today: DataFrame, previous: DataFrame) -> DataFrame:
+    """One row of change counts between two reports joined on vin:
+    new vehicles; moved last-night points; vehicles with any moved night
+    slot; vehicles charging for the first time; vehicles with any moved
+    charging slot. "Moved" is strictly more than 100 m."""
+    t = today.select("vin", *[F.col(c).alias(f"{c}_today") for c in DELTA_COLUMNS]).withColumn("_t", F.lit(True))
+    p = previous.select("vin", *[F.col(c).alias(f"{c}_prev") for c in DELTA_COLUMNS]).withColumn("_p", F.lit(True))
+    return _delta_counts(t.join(p, "vin", "full"))
+
+
+# --- changes from report to report -----------------------------------------------
+
+PRINT = "row_print"
+
+
+def with_prints(report: DataFrame) -> DataFrame:
+    """The report columns, missing text as '' and missing visits as 0, and the
+    row's fingerprint (SHA-256 of its columns by name)."""
+    cols = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(c) if c in VISIT_SLOTS
+            else F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in REPORT_COLUMNS]
+    return report.select(*cols).withColumn(PRINT, F.unhex(F.sha2(F.to_json(F.struct(*REPORT_COLUMNS)), 256)))
+
+
+def report_changes(today: DataFrame, previous: DataFrame) -> DataFrame:
+    """vin, change (insert, update or delete), columns (the names that
+    differ), old and new (structs of the report columns).
+
+    Both are reports ``with_prints`` (one row per vin), as a stored version
+    is: vin and fingerprint alone are joined to find what changed, and only
+    those rows are then read whole."""
+    key = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    t = today.select(F.col("vin").alias("t_vin"), F.col(PRINT).alias("t_print"))
+    p = previous.select(F.col("vin").alias("p_vin"), F.col(PRINT).alias("p_print"))
+    found = (t.join(p, key("t_vin", "p_vin"), "full").where(~F.col("t_print").eqNullSafe(F.col("p_print")))
+             .select(F.when(F.col("p_print").isNull(), "insert").when(F.col("t_print").isNull(), "delete")
+                     .otherwise("update").alias("change"),
+                     F.when(F.col("t_print").isNull(), F.col("p_vin")).otherwise(F.col("t_vin")).alias("vin")))
+    new = today.select(F.col("vin").alias("n_vin"), F.struct(*REPORT_COLUMNS).alias("new"))
+    old = previous.select(F.col("vin").alias("o_vin"), F.struct(*REPORT_COLUMNS).alias("old"))
+    both = found.join(new, key("vin", "n_vin"), "left").join(old, key("vin", "o_vin"), "left")
+    differ = F.filter(F.array(*[F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), c) for c in REPORT_COLUMNS]),
+                      lambda c: c.isNotNull())
+    return both.select("vin", "change", F.when(F.col("change") == "update", differ).otherwise(
+        F.array(*map(F.lit, REPORT_COLUMNS))).alias("columns"), "old", "new")
+
+
+def changes_delta(changes: DataFrame) -> DataFrame:
+    """``report_delta`` of the two reports whose changes these are: vehicles
+    that are alike in both count nowhere."""
+    return _delta_counts(changes.select(
+        "vin", F.when(F.col("new").isNotNull(), True).alias("_t"), F.when(F.col("old").isNotNull(), True).alias("_p"),
+        *[F.col(f"new.{c}").alias(f"{c}_today") for c in DELTA_COLUMNS],
+        *[F.col(f"old.{c}").alias(f"{c}_prev") for c in DELTA_COLUMNS]))
+
+
+def apply_changes(previous: DataFrame, changes: DataFrame) -> DataFrame:
+    """Today's report from the previous one and the changes since."""
+    gone = changes.where("change <> 'insert'").select(F.col("vin").alias("_vin"))
+    kept = previous.select(*REPORT_COLUMNS).join(gone, F.col("vin").eqNullSafe(F.col("_vin")), "left_anti")
+    return kept.unionByName(changes.where("change <> 'delete'").select("new.*"))
+
+
 def report_json(report: DataFrame) -> DataFrame:
     """The JSON record fields: location columns become map links ('' when
     not a valid 'lat, lng'); the current address loses its parentheses and

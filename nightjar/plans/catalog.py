@@ -345,12 +345,23 @@ def q_vehicle_report(spark, sf_dir):
     return report_at(spark, sf_dir, fx.AS_OF)
 
 
-def q_report_delta(spark, sf_dir):
+def _two_reports(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     master = report_master(spark, sf_dir)
     # The report compared with is older and has a smaller master.
     before = master.where(F.col("vin").cast("long") % fx.DELTA_MASTER_STEP != 0)
-    return rp.report_delta(report_at(spark, sf_dir, fx.AS_OF, master),
-                           report_at(spark, sf_dir, fx.DELTA_AS_OF, before))
+    return report_at(spark, sf_dir, fx.AS_OF, master), report_at(spark, sf_dir, fx.DELTA_AS_OF, before)
+
+
+def q_report_delta(spark, sf_dir):
+    return rp.report_delta(*_two_reports(spark, sf_dir))
+
+
+def q_report_changes(spark, sf_dir):
+    today, previous = (materialize(rp.with_prints(r), "prints") for r in _two_reports(spark, sf_dir))
+    changes = rp.report_changes(today, previous)
+    side = lambda s: [F.col(f"{s}.{c}").cast("double" if c in NULLABLE_INTS else "string").alias(f"{s}_{c}")
+                      for c in rp.REPORT_COLUMNS if c != "vin"]
+    return changes.select("vin", "change", F.array_join("columns", ",").alias("columns"), *side("old"), *side("new"))
 
 
 def q_report_json(spark, sf_dir):
@@ -361,5 +372,6 @@ QUERIES.update({
     "vendor_vehicle": q_vendor_vehicle,
     "vehicle_report": q_vehicle_report,
     "report_delta": q_report_delta,
+    "report_changes": q_report_changes,
     "report_json": q_report_json,
 })

@@ -216,7 +216,9 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
     else:
         previous = io.read_version(spark, f"{cfg.report_root}/table", as_of, report.schema)
     if previous is not None:
-        out["delta"] = io.write_version(rp.report_delta(report, previous), f"{cfg.report_root}/delta", as_of)
+        changes = rp.report_changes(rp.with_prints(report), rp.with_prints(previous))
+        out["changes"] = io.write_version(changes, f"{cfg.report_root}/changes", as_of, (), counts, "changes")
+        out["delta"] = io.write_version(rp.changes_delta(out["changes"]), f"{cfg.report_root}/delta", as_of)
     if cfg.state_buckets:
         # The log has no single write of the whole state to observe.
         for name, rows in (("night_state", night_state), ("charging_state", charge_state)):

@@ -730,6 +730,21 @@ def q_report_delta() -> str:
 FROM rep_a t FULL OUTER JOIN {older} p ON t.vin = p.vin"""
 
 
+def q_report_changes() -> str:
+    from nightjar.operators.report import REPORT_COLUMNS, VISIT_SLOTS
+
+    older = f"(SELECT * FROM rep_b WHERE CAST(vin AS BIGINT) % {fx.DELTA_MASTER_STEP} <> 0)"
+    differ = [f"CASE WHEN t.{c} IS DISTINCT FROM p.{c} THEN '{c}' END" for c in REPORT_COLUMNS]
+    sides = [f"CAST({a}.{c} AS {'DOUBLE' if c in VISIT_SLOTS else 'VARCHAR'}) AS {n}_{c}"
+             for a, n in (("p", "old"), ("t", "new")) for c in REPORT_COLUMNS if c != "vin"]
+    return report_with(("a", fx.AS_OF), ("b", fx.DELTA_AS_OF)) + f"""SELECT coalesce(t.vin, p.vin) AS vin,
+  CASE WHEN p.vin IS NULL THEN 'insert' WHEN t.vin IS NULL THEN 'delete' ELSE 'update' END AS change,
+  CASE WHEN p.vin IS NULL OR t.vin IS NULL THEN '{",".join(REPORT_COLUMNS)}' ELSE concat_ws(',', {", ".join(differ)}) END AS columns,
+  {", ".join(sides)}
+FROM rep_a t FULL OUTER JOIN {older} p ON t.vin = p.vin
+WHERE concat_ws(',', {", ".join(differ)}) <> ''"""
+
+
 def q_report_json() -> str:
     cols = ["loan_no", "vin", f"{link('last_night_location')} AS last_night_location"]
     cols += [f"{link(f'night_location_{i}')} AS night_location_{i}" for i in (1, 2, 3)]
@@ -746,5 +761,6 @@ ORACLE.update({
   CAST(charging_location_visits_3 AS DOUBLE) AS charging_location_visits_3) FROM veh_a""",
     "vehicle_report": report_with(("a", fx.AS_OF)) + "SELECT * FROM rep_a",
     "report_delta": q_report_delta(),
+    "report_changes": q_report_changes(),
     "report_json": q_report_json(),
 })

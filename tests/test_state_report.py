@@ -95,3 +95,36 @@ def test_report_json_lines_sink_is_valid_json(spark):
     io.write_report_json(rep, out)
     back = spark.read.json(out)
     assert back.count() == 2 and "charging_location_visits_3" in back.columns
+
+
+def test_changes_give_the_five_counts_and_todays_report(spark):
+    import random
+    r = random.Random(6)
+
+    def report(vins, seed):
+        q = random.Random(seed)
+        rows = []
+        for v in vins:
+            loc = lambda: q.choice(["", "12.0, 77.0", "12.0, 77.0005", "12.0, 77.5", None])
+            rows.append((f"L{v}", v, loc(), loc(), loc(), loc(), loc(), loc(), q.choice([None, 0, 3]), loc(), 0, loc(), 1))
+        return spark.createDataFrame(rows, ", ".join(
+            f"{c} {'int' if c in rp.VISIT_SLOTS else 'string'}" for c in rp.REPORT_COLUMNS))
+
+    vins = [str(i) for i in range(60)]
+    previous = report(vins[:50], 1)
+    same = [v for v in vins[:50] if r.random() < 0.5]
+    today = previous.where(previous.vin.isin(same)).unionByName(
+        report([v for v in vins[5:] if v not in same], 2)).unionByName(report([None], 3))
+    t, p = rp.with_prints(today), rp.with_prints(previous)
+    changes = rp.report_changes(t, p).cache()
+    assert rp.changes_delta(changes).collect() == rp.report_delta(t, p).collect()
+    bag = lambda df: sorted(map(str, df.select(*rp.REPORT_COLUMNS).collect()))
+    assert bag(rp.apply_changes(p, changes)) == bag(t)
+    kinds = {x.vin: x for x in changes.collect()}
+    assert not set(same) & set(kinds)
+    assert kinds["55"].change == "insert" and kinds["55"].old is None and kinds[""].change == "insert"
+    for x in kinds.values():
+        if x.change == "update":
+            assert x.columns and all(x.old[c] != x.new[c] for c in x.columns)
+            assert all(x.old[c] == x.new[c] for c in rp.REPORT_COLUMNS if c not in x.columns)
+    assert rp.report_changes(t, t).count() == 0
