@@ -15,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightjar.llm.tables import materialize, split_by_keys, table
-from nightjar.operators.lineage import written_mark
+from nightjar.operators.lineage import materialize, written_mark
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain finds toxic go."""
+    from nightjar.llm.tables import table
     from nightjar.llm.toxicity import drop_toxic, train
 
     return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -33,33 +33,44 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_copies(docs)
 
 
+def _boxed(docs: DataFrame) -> DataFrame:
+    """doc_id and the whole row, so that no column's name can clash."""
+    return docs.select("doc_id", F.struct("*").alias("row"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, the smallest doc_id."""
     from nightjar.llm.simhash import near_duplicates
+    from nightjar.llm.tables import split_by_keys
 
     found = near_duplicates(docs)
     gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-gone")
-    alone, maybe = split_by_keys(docs, "doc_id", gone, gone.count())
-    kept = maybe.join(gone.withColumnRenamed("doc_id", "__gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept if alone is None else alone.unionByName(kept)
+    alone, maybe = split_by_keys(_boxed(docs), "doc_id", gone, gone.count())
+    kept = maybe.join(gone.withColumnRenamed("doc_id", "gone"), F.col("doc_id") == F.col("gone"), "left_anti")
+    return (kept if alone is None else alone.unionByName(kept)).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a document of which
     nothing is left goes. Other documents keep their text as it is."""
     from nightjar.llm import substring_dedup as op
+    from nightjar.llm.tables import split_by_keys
 
-    cut = op.substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("__doc"), F.col("kept").alias("__kept"))
+    cut = op.substring_dedup(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), "kept")
     cut = materialize(cut, "substring-cut")
-    ids = cut.select(F.col("__doc").alias("doc_id"))
-    alone, maybe = split_by_keys(docs, "doc_id", ids, ids.count())
-    text = F.coalesce(F.col("__kept"), F.col("text"))
-    changed = maybe.join(cut, F.col("doc_id") == F.col("__doc"), "left").where("__kept IS NULL OR __kept <> ''")
-    if "n_chars" in docs.columns:
-        size = F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.char_length("__kept"))
-        changed = changed.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    changed = changed.withColumn("text", text).select(*docs.columns)
-    return changed if alone is None else alone.unionByName(changed)
+    ids = cut.select(F.col("cut_id").alias("doc_id"))
+    alone, maybe = split_by_keys(_boxed(docs), "doc_id", ids, ids.count())
+    changed = maybe.join(cut, F.col("doc_id") == F.col("cut_id"), "left").where("kept IS NULL OR kept <> ''")
+    row, kept, cols = F.col("row"), F.col("kept"), []
+    for f in docs.schema:
+        own = row.getField(f.name)
+        if f.name == "text":
+            own = F.coalesce(kept, own)
+        elif f.name == "n_chars":
+            own = F.when(kept.isNull(), own).otherwise(F.char_length(kept)).cast(f.dataType)
+        cols.append(own.alias(f.name))
+    changed = changed.select(*cols)
+    return changed if alone is None else alone.select("row.*").unionByName(changed)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,6 +93,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``. The scratch tables of a stage are
     deleted once its result is written."""
+    from nightjar.llm.tables import table
+
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         mark = written_mark()
