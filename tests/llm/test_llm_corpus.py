@@ -99,3 +99,19 @@ def test_stages_take_empty_tables_nulls_and_extra_columns(spark):
         for _, stage in cp.STAGES:
             out = stage(spark, out, SF)
         assert out.count() == n
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"{passage} one ends here", 7, "a"), (2, f"two begins {passage} and other words follow it", 8, "b"),
+            (3, passage, 9, "c"), (3, passage, 9, "c")]
+    odd = ["__kept", "__doc", "__gone", "__maybe_key", "row", "kept", "cut_id", "gone", "component_id", "a.b", "n_chars"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long, s string").selectExpr(
+        "*", *[f"n + {i} AS `{c}`" for i, c in enumerate(odd)])
+    for stage in (cp.near_dedup, cp.substring_dedup):
+        out = stage(spark, docs, SF)
+        assert out.schema.names == docs.schema.names
+        got = {r.doc_id: r for r in out.collect()}
+        assert got[1].asDict() == docs.where("doc_id = 1").first().asDict()
+    assert got[2].text == "two begins and other words follow it" and got[2]["a.b"] == 8 + odd.index("a.b")
+    assert got[2].n_chars == len(got[2].text) and 3 not in got
