@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from nightjar.llm.bpe import model
 from nightjar.llm.lexicon import MAX_WORDS, compile_lexicon, opened
-from nightjar.llm.tables import documents
+from nightjar.llm.tables import documents, materialize, partitions
 from nightjar.llm.textbytes import blocks, strings, word_ids
 
 _BLOCK = 1 << 20
@@ -55,8 +55,22 @@ def frequent_words(docs: DataFrame, path: str, limit: int = MAX_WORDS) -> list[b
 
     counted = (documents(docs).select(F.lit(0), "text").mapInArrow(run, "word binary, n long")
                .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counted.orderBy(F.col("n").desc(), "word").limit(limit)
-    return [bytes(r.word) for r in top.collect()]
+    return [bytes(r.word) for r in _first_rows(materialize(counted, "op6-counts"), limit).collect()]
+
+
+def _first_rows(counted: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` most frequent words, ties in byte order: range-sorted on
+    the executors, so no more than these reach the driver."""
+    order = [F.col("n").desc(), F.col("word")]
+    ranked = (counted.repartitionByRange(partitions(counted.sparkSession), *order).sortWithinPartitions(*order)
+              .withColumn("at", F.monotonically_increasing_id()))
+    ranked = materialize(ranked, "op6-ranked")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    left, keep = limit, F.lit(False)
+    for r in ranked.groupBy(part.alias("p")).count().orderBy("p").collect():     # a row a partition
+        keep = keep | ((part == r.p) & (place < left)) if left > 0 else keep
+        left -= r["count"]
+    return ranked.where(keep).orderBy("at")
 
 
 def encode(docs: DataFrame, path: str, limit: int = MAX_WORDS, decoded: bool = False) -> DataFrame:

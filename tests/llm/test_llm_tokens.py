@@ -139,3 +139,13 @@ def test_words_with_equal_polynomial_hashes_keep_their_own_ids(path, spark):
     if path == BYTE:
         got = digests(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string").coalesce(1), path).collect()
         assert {r.doc_id: r.decoded_sha256 for r in got} == {1: brute.sha(a), 2: brute.sha(b)}
+
+
+def test_the_most_frequent_words_are_ranked_on_the_executors(spark):
+    from nightjar.llm.bpe_codec import _first_rows
+    rows = [(f"w{i:03}".encode(), i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "word binary, n long").repartition(5)
+    want = [w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    for limit in (1, 30, 57, 200, 1000):
+        assert [bytes(r.word) for r in _first_rows(df, limit).collect()] == want[:limit]
+    assert _first_rows(df.limit(0), 5).collect() == []
