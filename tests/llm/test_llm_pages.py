@@ -1,6 +1,8 @@
 import random
+from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,153 @@ def test_links_in_a_marked_article_drop_nothing(paragraphs):
     assert he.main_text(page).split("\n") == ["T", *paragraphs, "Source: Reuters news agency", "More"]
 
 
+MENU = "<ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li><li><a href='/3'>Three</a></li></ul>"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article><p data-widget-id='share'>{PARA}</p><div data-id=\"side-1\">b</div><p title='x class=ad'>c</p></article>",
+     [PARA.strip(), "b", "c"]),
+    (f"<article><section class='search-for-meaning'><p>{PARA}</p></section><p id='noticeBar'>n</p></article>", [PARA.strip()]),
+    (f"<div class='no-sidebar'><p>{PARA}</p></div><div class='main side-by-side'><p>{PARA}</p></div>", [PARA.strip()] * 2),
+    (f"<div class='site-footer x'><p>{PARA}</p></div><div class='ad-728x90'>{PARA}</div><p>{PARA}</p>", [PARA.strip()]),
+    (f"<article><p class=\"x>{PARA}</p><p class=\"y\">More</p></article>", [PARA.strip(), "More"]),
+    ("<article><p>a <math><mi>x</mi></math> b <object>alt</object></p></article>", ["a x b alt"]),
+    (f"<div><p>{ITALIAN}</p><p>{ITALIAN}</p></div>", [ITALIAN.strip()] * 2),
+    ("<p>One.</p><p>Two.</p><nav>Menu</nav>", ["One.", "Two."]),
+    (f"<article><h1>T</h1>{MENU}<p>Go on</p>{MENU}<p>{PARA}</p><p>End.</p></article>", ["T", PARA.strip(), "End."]),
+    (f"<article>{MENU}</article>", ["One", "Two", "Three"]),
+    (f"<article><p>{PARA}</p><div class='comments'><article><p>{PARA}</p></article></div></article>", [PARA.strip()]),
+    (f"<article><p>{PARA}</p></article><article class='comment'><p>{PARA}</p></article>", [PARA.strip()])])
+def test_marks_veto_and_the_passes_decide_the_rest(page, want):
+    assert he.main_text(page).split("\n") == want
+
+
+def test_depth_and_length_of_a_page_cost_in_proportion():
+    assert he.main_text("<div>" * 30000 + "x" + "</div>" * 30000) == "x"
+    assert he.main_text("<p class=\"x>" * 20000 + "end") == "end"
+    text = (LONG * 20000).strip()                              # 2 MB in one block
+    assert he.main_text(f"<article><p>{text}</p></article>") == text
+
+
+class Plain(HTMLParser):
+    """Blocks of well-formed pages as (text, linked characters, marked, in main, heading)."""
+
+    def __init__(self):
+        super().__init__()
+        self.path, self.parts, self.out = [], [], []
+
+    def flush(self):
+        text = " ".join("".join(t for t, _ in self.parts).split())
+        tags = [t for t, _ in self.path]
+        if text and not {"script", "style", "title"} & set(tags):
+            linked = sum(len(" ".join(t.split())) for t, a in self.parts if a)
+            barred = any(t in ("nav", "footer", "aside") or c == "ad" for t, c in self.path)
+            self.out.append((text, linked, barred, "article" in tags, "h1" in tags or "h2" in tags))
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("a", "b"):
+            self.flush()
+            if tag == "p" and "p" in [t for t, _ in self.path]:
+                self.handle_endtag("p")
+        if tag not in ("br", "meta", "link"):
+            self.path.append((tag, dict(attrs).get("class")))
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b"):
+            self.flush()
+        if tag in [t for t, _ in self.path]:
+            last = max(i for i, (t, _) in enumerate(self.path) if t == tag)
+            self.path = self.path[:last] if tag not in ("a", "b") else self.path[:last] + self.path[last + 1:]
+
+    def handle_data(self, data):
+        self.parts.append((data, any(t == "a" for t, _ in self.path)))
+
+
+def plain_text(page):
+    """The rules written out block by block, neighbours by walking outward."""
+    p = Plain()
+    p.feed(page)
+    p.close()
+    p.flush()
+    blocks = p.out
+    has_main = any(m and not x for _, _, x, m, _ in blocks)
+    blocks = [(t, k, x or has_main and not m, m, h) for t, k, x, m, h in blocks]
+    is_link = [m and not x and len(t) < 70 and k >= .9 * len(t) for t, k, x, m, _ in blocks]
+
+    def kind(i):
+        text, linked, barred, main, _ = blocks[i]
+        lo, hi = i, i
+        while lo and is_link[lo - 1]:
+            lo -= 1
+        while hi + 1 < len(blocks) and is_link[hi + 1]:
+            hi += 1
+        if barred or is_link[i] and hi - lo >= 2:
+            return "bad"
+        if linked > .2 * len(text) or len(text) < 70:
+            return "bad" if linked and not main else "short"
+        words = [w.strip(".,;:!?\"'()") for w in text.lower().split(" ")]
+        stop = sum(w in he.STOP_WORDS for w in words) / len(words)
+        if stop >= .32 and len(text) > 200:
+            return "good"
+        return "near" if stop >= .3 or main else "bad" if stop < .05 else "short"
+
+    kinds = [kind(i) for i in range(len(blocks))]
+    if "good" not in kinds:
+        free = [i for i, (t, k, x, _, _) in enumerate(blocks) if not x and k <= .2 * len(t)]
+        tall = [i for i in free if len(blocks[i][0]) >= 70]
+        for i in tall:
+            kinds[i] = "good" if len(blocks[i][0]) > 200 else "near"
+        for i in free:
+            if not tall and kinds[i] == "short":
+                kinds[i] = "good"
+
+    def nearest(i, step):
+        j = i + step
+        while 0 <= j < len(blocks):
+            if kinds[j] in ("good", "bad") and not (has_main and blocks[j][2]):
+                return kinds[j], abs(i - j)
+            j += step
+        return None, 0
+
+    kept = []
+    for i, (text, *_, heading) in enumerate(blocks):
+        (a, da), (b, db) = nearest(i, -1), nearest(i, 1)
+        sides = {a, b} - {None}
+        if kinds[i] in ("good", "bad"):
+            keep = kinds[i] == "good"
+        elif not sides:
+            keep = has_main or kinds[i] == "near"
+        elif has_main:
+            keep = kinds[i] == "near" or not a == b == "bad"
+        elif len(sides) == 1:
+            keep = sides == {"good"}
+        else:
+            keep = kinds[i] == "near" or heading and b == "good" or (a if da <= db else b) == "good"
+        if keep:
+            kept.append(text)
+    return "\n".join(kept or [t for t, _, x, _, _ in blocks if has_main and not x])
+
+
+def test_given_pages_equal_the_rules_written_out():
+    for page in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist():
+        assert he.main_text(page) == plain_text(page)
+
+
+@pytest.mark.parametrize("main", [True, False])
+def test_invented_pages_equal_the_rules_written_out(main):
+    r = random.Random(11)
+    kinds = [lambda: f"<p>{LONG * r.randint(1, 4)}</p>", lambda: f"<p>{ITALIAN}</p>", lambda: f"<p>{ITALIAN[:90]}</p>",
+             lambda: "<p>Short one.</p>", lambda: "<h2>Heading</h2>", lambda: "<p>See <a href='/x'>this other page</a></p>",
+             lambda: "<p><a href='/x'>Link</a></p>", lambda: MENU, lambda: f"<div class='ad'>{LONG * 3}</div>",
+             lambda: "<nav>Menu</nav>", lambda: "<p>Il the ponte attraversa quel fiume ogni mattina passano sempre molti uomini.</p>"]
+    for _ in range(400):
+        some = r.sample(kinds, r.randint(1, len(kinds)))
+        page = "".join(r.choice(some)() for _ in range(r.randint(1, 12)))
+        page = f"<p>Before</p><article>{page}</article><p>After</p>" if main else page
+        assert he.main_text(page) == plain_text(page), page
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("plain " * 40, ("plain " * 40).strip()), ("<p", ""),
                                        ("<script>never closed", ""), ("<p>a &nbsp; b</p>", "a b")])
 def test_odd_pages(page, text):
