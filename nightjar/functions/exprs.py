@@ -89,8 +89,18 @@ def exact_mean(c) -> Column:
 def weighted_mean(c, weight) -> Column:
     """Mean over DECIMAL(22,10) values that stand for ``weight`` rows each,
     from exact sums, rounded half-even to ten decimals, as a double."""
-    units = F.sum((col_(c).cast(CENTROID_TYPE) * F.lit(10_000_000_000)).cast("decimal(23,0)") * weight.cast("decimal(12,0)"))
-    n = F.sum(weight).cast("decimal(20,0)")
+    return units_mean(F.sum(coordinate_units(c) * weight.cast("decimal(12,0)")), F.sum(weight))
+
+
+def coordinate_units(c) -> Column:
+    """A coordinate as a whole number of its tenth decimals."""
+    return (col_(c).cast(CENTROID_TYPE) * F.lit(10_000_000_000)).cast("decimal(23,0)")
+
+
+def units_mean(units, n) -> Column:
+    """Mean of ``n`` rows with the sum ``units`` of ``coordinate_units``,
+    rounded half-even to ten decimals, as a double."""
+    units, n = col_(units), col_(n).cast("decimal(20,0)")
     rest = F.pmod(units, n)
     quotient, twice = ((units - rest) / n).cast("long"), rest * 2
     up = F.when(twice > n, 1).when((twice == n) & (F.pmod(quotient, F.lit(2)) == 1), 1).otherwise(0)

@@ -60,7 +60,12 @@ def signal_rows(telemetry: DataFrame, specs: Sequence[VendorSpec]) -> Ordered:
     """Per row: previous soc/range (default 0), previous odometer (default
     itself) and ``is_charging_signal`` = (flag OR soc rose OR range rose)
     AND stationary, with the vendor's clauses."""
-    o = lagged(ordered(charging_candidates(telemetry, specs), KEYS, "eventat", TIES), {
+    return signalled(charging_candidates(telemetry, specs), specs)
+
+
+def signalled(rows: DataFrame, specs: Sequence[VendorSpec]) -> Ordered:
+    """``signal_rows`` of candidates, which may have further columns."""
+    o = lagged(ordered(rows, KEYS, "eventat", TIES), {
         "prev_soc": ("soc", F.lit(0.0)),
         "prev_dte": ("dte", F.lit(0.0)),
         "prev_odometer": ("odometer", F.col("odometer")),

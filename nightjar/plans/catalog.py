@@ -166,6 +166,19 @@ def q_charging_state_merge(spark, sf_dir):
     return m.select("vendor", "vin", "session_start_time", _r("latitude"), _r("longitude"))
 
 
+def q_charging_sessions_carried(spark, sf_dir):
+    """Charging state of runs on ``CARRY_RUNS``, each of which reads only the
+    days since the run before and goes on with its open sessions."""
+    from nightjar.plans.daily import JobConfig, carry_sessions
+
+    root = scratch_path(spark, "carried")
+    cfg = JobConfig(telemetry=telemetry(spark, sf_dir), specs=SPECS, state_root=root, master_root=root,
+                    report_root=root, state_buckets=fx.STATE_BUCKETS)
+    for day in fx.CARRY_RUNS:
+        state = carry_sessions(spark, day, cfg)
+    return state.select("vendor", "vin", "session_start_time", _r("latitude"), _r("longitude"))
+
+
 def q_proximity_pairs(spark, sf_dir):
     return sp.proximity_edges(charging_state(spark, sf_dir))
 
@@ -199,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charging_signal": q_charging_signal,
     "charging_sessions": q_charging_sessions,
     "charging_state_merge": q_charging_state_merge,
+    "charging_sessions_carried": q_charging_sessions_carried,
     "proximity_pairs": q_proximity_pairs,
     "charging_clusters": q_charging_clusters,
     "charging_places": q_charging_places,

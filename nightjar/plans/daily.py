@@ -20,6 +20,7 @@ from nightjar.functions.exprs import MS_PER_DAY
 from nightjar.operators import address as ad
 from nightjar.operators import cells as ce
 from nightjar.operators import charging as ch
+from nightjar.operators import open_sessions as op
 from nightjar.operators import positions as pos
 from nightjar.operators import report as rp
 from nightjar.operators import spatial as sp
@@ -48,6 +49,7 @@ class JobConfig:
     geocode_root: str | None = None          # answers are kept here from run to run
     history_days: int = HISTORY_DAYS
     state_buckets: int | None = None         # keep states as bucketed logs of this many files a run
+    carry_sessions: bool = False             # sessions go on over midnight (needs state_buckets)
     previous_report_csv: str | None = None   # compare against this CSV instead of the last version
 
 
@@ -171,6 +173,37 @@ def add_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.
     return st.charging_retention(rows.select(*st.CHARGING_COLUMNS), as_of, history)
 
 
+def carry_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None = None) -> DataFrame:
+    """Charging state after a run that takes up the open sessions of the run
+    before: the sessions that ended go to the log, those still open are in the
+    returned state only. With ``since`` the runs that read that day are
+    forgotten and their days read again."""
+    log = BucketedLog(spark, f"{cfg.state_root}/carried_log", "vendor STRING, vin STRING, session_start_time BIGINT, "
+                      "latitude DOUBLE, longitude DOUBLE", cfg.state_buckets)
+    root, history = f"{cfg.state_root}/charging_carry", cfg.history_days
+    done = [d for d in log.finished(as_of) if (since is None or d < since) and (as_of - d).days <= history]
+    base = done[-1] if done else None
+    carry = None if base is None else spark.read.schema(op.CARRY_SCHEMA).parquet(io.version_path(root, base))
+    have, first = _vendors_in(carry), as_of - dt.timedelta(days=history)
+    days = F.lit(False)
+    for s in cfg.specs:
+        if s.charging:
+            # A vendor with ``charging_days`` is read up to the day before the run.
+            late = dt.timedelta(days=0 if s.charging_days is None else 1)
+            lo = first if s.charging_days is None else as_of - dt.timedelta(days=s.charging_days)
+            lo = base + dt.timedelta(days=1) - late if s.name in have else lo
+            days = days | ((F.col("vendor") == s.name)
+                           & partition_filter(partition_days(as_of - late, (as_of - late - lo).days)))
+    sessions, after = op.advance(_telemetry(spark, cfg).where(days), carry, cfg.specs, first)
+    log.forget(as_of if base is None and since is None else (base or dt.date.min) + dt.timedelta(days=1))
+    ended = st.charging_retention(sessions.where("NOT is_open"), as_of, history)
+    log.write(as_of, log.dealt(ended.select(*st.CHARGING_COLUMNS)))
+    io.write_version(after, root, as_of)
+    log.finish(as_of)
+    rows = live(log, as_of + dt.timedelta(days=1), as_of, history).select(*st.CHARGING_COLUMNS)
+    return st.charging_retention(rows.unionByName(sessions.where("is_open").select(*st.CHARGING_COLUMNS)), as_of, history)
+
+
 def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None) -> dict[str, DataFrame]:
     specs = cfg.specs
     tel = _telemetry(spark, cfg)
@@ -178,7 +211,7 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
 
     if cfg.state_buckets:
         night_state, cells = add_nights(spark, as_of, cfg, since)
-        charge_state = add_sessions(spark, as_of, cfg, since)
+        charge_state = (carry_sessions if cfg.carry_sessions else add_sessions)(spark, as_of, cfg, since)
         nights = pivot_top3(ce.cell_counts(cells), "night_location")
     else:
         prev_night = io.read_version(spark, night_root, as_of, io.NIGHT_STATE_SCHEMA)

@@ -319,6 +319,11 @@ def q_charging_state_merge() -> str:
 WHERE rn = 1 AND session_start_time >= {cutoff}"""
 
 
+def q_charging_sessions_carried() -> str:
+    return with_(TEL, cstate_sql()) + \
+        f"SELECT vendor, vin, session_start_time, {r8('latitude')}, {r8('longitude')} FROM cstate"
+
+
 def q_proximity_pairs() -> str:
     return with_(TEL, cstate_sql(), CLUSTER) + """SELECT DISTINCT vendor, least(acell, bcell) AS a_cell, greatest(acell, bcell) AS b_cell
 FROM ppairs WHERE acell <> bcell"""
@@ -363,6 +368,7 @@ ORACLE: dict[str, str] = {
     "charging_signal": q_charging_signal(),
     "charging_sessions": q_charging_sessions(),
     "charging_state_merge": q_charging_state_merge(),
+    "charging_sessions_carried": q_charging_sessions_carried(),
     "proximity_pairs": q_proximity_pairs(),
     "charging_clusters": q_charging_clusters(),
     "charging_places": q_charging_places(),

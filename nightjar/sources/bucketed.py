@@ -78,20 +78,24 @@ class BucketedLog:
         rows = self.spark.table(self._open())
         return rows.where(F.col("run_date").isin(days) if days else F.lit(False))
 
-    def write(self, as_of: dt.date, *parts: DataFrame) -> None:
-        """The run's rows, in place of those of an earlier run of the date.
-        Parts that lie in this table's buckets already are written as they
-        lie; the caller deals out others with ``dealt``."""
+    def forget(self, since: dt.date) -> None:
+        """Delete the runs of ``since`` and after."""
         fs, marks = _folder(self.spark, f"{self.path}/finished")
         for mark in fs.listStatus(marks) if fs.exists(marks) else ():
-            if _date(mark) >= as_of:
+            if _date(mark) >= since:
                 fs.delete(mark.getPath(), False)
         fs, rows = _folder(self.spark, f"{self.path}/rows")
         for folder in fs.listStatus(rows) if fs.exists(rows) else ():
-            if folder.getPath().getName() >= f"run_date={as_of}":
+            if folder.getPath().getName() >= f"run_date={since}":
                 self.spark.sql(f"ALTER TABLE {self._open()} DROP IF EXISTS PARTITION "
                                f"(run_date = DATE'{folder.getPath().getName().removeprefix('run_date=')}')")
                 fs.delete(folder.getPath(), True)
+
+    def write(self, as_of: dt.date, *parts: DataFrame) -> None:
+        """The run's rows, in place of those of an earlier run of the date.
+        Parts that lie in this table's buckets already are written as they
+        lie; the caller deals out others with ``dealt``."""
+        self.forget(as_of)
         table = self.spark.table(self._open())
         out = None
         for p in parts:
