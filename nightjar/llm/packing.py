@@ -208,7 +208,9 @@ def plan(spark: SparkSession, counts: dict[int, int], size: int = SIZE, ranges:
 def pack(docs: DataFrame, path: str, size: int = SIZE, closing: int = CLOSING, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     spark = docs.sparkSession
-    items = materialize(ranked(pieces(docs, path, size, closing, with_ids)), "op10-pieces")
+    # Written first: the range sort reads its input twice, once for the borders.
+    cut = materialize(pieces(docs, path, size, closing, with_ids), "op10-cut")
+    items = materialize(ranked(cut), "op10-pieces")
     counts = {r.length: r["count"] for r in items.groupBy("length").count().collect()}   # at most ``size`` rows
     runs = sorted(plan(spark, counts, size))
     table = np.array(runs, dtype=np.int64).reshape(-1, 6)
