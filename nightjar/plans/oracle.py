@@ -394,7 +394,7 @@ vb AS (
   SELECT 'VB' || l_orderkey AS uuid, 'R' || l_orderkey AS ref_id, 'VD' || l_orderkey AS vehicle_details_uuid,
          'P' || min(l_partkey) AS vehicle_uuid, 'S' || min(l_suppkey) AS dealership_uuid,
          CASE WHEN l_orderkey % 2 = 0 THEN 'DEALER' ELSE 'DIRECT' END AS source, 'KA' || l_orderkey AS vehicle_number
-  FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey),
+  FROM lineitem GROUP BY l_orderkey),
 vd AS (SELECT 'VD' || o_orderkey AS uuid, CAST(o_custkey AS VARCHAR) AS vin FROM orders),
 oc AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
 cp AS (

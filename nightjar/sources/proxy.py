@@ -115,7 +115,7 @@ def loan_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     out["orders"] = o.select(_s("R", "o_orderkey").alias("ref_id"))
     out["vehicle_bookings"] = (
-        li.where(F.col("l_linenumber") == 1).groupBy("l_orderkey")
+        li.groupBy("l_orderkey")
           .agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"))
           .select(_s("VB", "l_orderkey").alias("uuid"), _s("R", "l_orderkey").alias("ref_id"),
                   _s("VD", "l_orderkey").alias("vehicle_details_uuid"),
