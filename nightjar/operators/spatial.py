@@ -115,10 +115,11 @@ PAIR_KEYS = ["vendor", "a_cell", "b_cell"]
 
 
 def proximity_edges(points: DataFrame | None, pair_budget: int = PAIR_BUDGET,
-                    snapped: DataFrame | None = None) -> DataFrame:
+                    snapped: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
     """Distinct cell pairs (vendor, a_cell, b_cell), a_cell < b_cell in
     (cx, cy) order, that hold two points within 100 m of each other.
-    The distinct snapped points are written once; every round reads them."""
+    The distinct snapped points are written once; every round reads them.
+    With ``only`` (distinct vendor, cell) just the pairs with such a cell."""
     p = snapped if snapped is not None else materialize(snap_points(points), "points")
     cells = _level_stats(p, 0)
 
@@ -133,6 +134,12 @@ def proximity_edges(points: DataFrame | None, pair_budget: int = PAIR_BUDGET,
     pairs = (a.join(b, (F.col("a_vendor") == F.col("b_vendor")) & (F.col("a_tx") == F.col("b_sx"))
                     & (F.col("a_ty") == F.col("b_sy")))
               .withColumnRenamed("a_vendor", "vendor").drop("b_vendor", "a_tx", "a_ty"))
+    if only is not None:
+        for end in ("a_cell", "b_cell"):
+            pairs = pairs.join(only.select("vendor", F.col("cell").alias(end), F.lit(True).alias(f"{end}_meant")),
+                               ["vendor", end], "left")
+        pairs = (pairs.where("a_cell_meant IS NOT NULL OR b_cell_meant IS NOT NULL")
+                 .drop("a_cell_meant", "b_cell_meant"))
 
     found: list[DataFrame] = []
     level = 0
@@ -266,7 +273,11 @@ def charging_clusters(sessions: DataFrame, pair_budget: int = PAIR_BUDGET) -> Da
     sessions = materialize(sessions.select("vendor", "vin", "session_start_time", "latitude", "longitude"),
                            "sessions")
     labels = cluster_labels(sessions, pair_budget)
-    s = sessions.join(labels, ["vendor", "latitude", "longitude"], "left")
+    return with_anchors(sessions.join(labels, ["vendor", "latitude", "longitude"], "left"))
+
+
+def with_anchors(s: DataFrame) -> DataFrame:
+    """Labelled sessions with the anchor and size of their cluster."""
     anchor = (s.groupBy("vendor", "cluster")
                .agg(F.min(F.struct("session_start_time", "vin")).alias("_anc"),
                     F.count(F.lit(1)).alias("cluster_sessions")))

@@ -189,6 +189,21 @@ def q_charging_clusters(spark, sf_dir):
                     "cluster", "cluster_anchor_start", "cluster_anchor_vin", "cluster_sessions")
 
 
+def q_charging_clusters_incremental(spark, sf_dir):
+    """Clusters of runs on ``CLUSTER_RUNS`` with a short history, each made
+    from the run before, its new sessions and those that left the history."""
+    from nightjar.plans.daily import JobConfig, add_sessions, kept_clusters
+
+    root = scratch_path(spark, "clusters")
+    cfg = JobConfig(telemetry=telemetry(spark, sf_dir), specs=SPECS, state_root=root, master_root=root, report_root=root,
+                    history_days=fx.RETENTION_TRIAL_DAYS, state_buckets=fx.STATE_BUCKETS, cluster_state=True)
+    for day in fx.CLUSTER_RUNS:
+        state = add_sessions(spark, day, cfg)
+    c = kept_clusters(spark, fx.AS_OF, cfg, state)
+    return c.select("vendor", "vin", "session_start_time", _r("latitude"), _r("longitude"),
+                    "cluster", "cluster_anchor_start", "cluster_anchor_vin", "cluster_sessions")
+
+
 def q_charging_places(spark, sf_dir):
     p = sp.charging_places(sp.charging_clusters(charging_state(spark, sf_dir)))
     return p.select("vendor", "vin", "cluster", _rd("latitude"), _rd("longitude"), "visits",
@@ -215,6 +230,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charging_sessions_carried": q_charging_sessions_carried,
     "proximity_pairs": q_proximity_pairs,
     "charging_clusters": q_charging_clusters,
+    "charging_clusters_incremental": q_charging_clusters_incremental,
     "charging_places": q_charging_places,
 }
 

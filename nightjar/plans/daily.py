@@ -20,6 +20,7 @@ from nightjar.functions.exprs import MS_PER_DAY
 from nightjar.operators import address as ad
 from nightjar.operators import cells as ce
 from nightjar.operators import charging as ch
+from nightjar.operators import cluster_state as cs
 from nightjar.operators import open_sessions as op
 from nightjar.operators import positions as pos
 from nightjar.operators import report as rp
@@ -50,6 +51,7 @@ class JobConfig:
     history_days: int = HISTORY_DAYS
     state_buckets: int | None = None         # keep states as bucketed logs of this many files a run
     carry_sessions: bool = False             # sessions go on over midnight (needs state_buckets)
+    cluster_state: bool = False              # clusters go on from run to run (needs state_buckets, no carry_sessions)
     previous_report_csv: str | None = None   # compare against this CSV instead of the last version
 
 
@@ -168,11 +170,45 @@ def add_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.
     found = materialize(st.charging_retention(ch.charging_sessions(scan, cfg.specs), as_of, history), "charging-found")
     order = "session_start_time"
     log.write(as_of, log.dealt(st.added_rows(_known(log, found, order, as_of), found, order, st.CHARGING_COLUMNS)))
+    io.drop_versions(spark, f"{cfg.state_root}/clusters", as_of)
+    if cfg.cluster_state:
+        update_clusters(spark, as_of, cfg, log)
     log.finish(as_of)
     rows = live(log, as_of + dt.timedelta(days=1), as_of, history)
     return st.charging_retention(rows.select(*st.CHARGING_COLUMNS), as_of, history)
 
 
+def _clusters_at(spark: SparkSession, cfg: JobConfig, as_of: dt.date) -> cs.Clusters:
+    path = io.version_path(f"{cfg.state_root}/clusters", as_of)
+    return cs.Clusters(**{name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in cs.SCHEMAS.items()})
+
+
+def update_clusters(spark: SparkSession, as_of: dt.date, cfg: JobConfig, log: BucketedLog) -> cs.Clusters:
+    """The run's version of the cluster state, from the newest one of a
+    finished run and the sessions that the log got since. It is written before
+    the log's run is finished, so a finished run's version was made from its
+    rows; a run that is done again drops its version and later ones."""
+    root, history = f"{cfg.state_root}/clusters", cfg.history_days
+    since = ((as_of - dt.date(1970, 1, 1)).days - history) * MS_PER_DAY
+    path = io.version_path(root, as_of)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.schema(cs.SCHEMAS[name]).parquet(f"{path}/{name}")
+
+    done = [d for d in log.finished(as_of) if (as_of - d).days <= history]
+    based = [d for d in done if io.is_written(spark, f"{io.version_path(root, d)}/labels")]
+    if not based:
+        return cs.first_clusters(log.read([*done, as_of]).select(*st.CHARGING_COLUMNS), since, keep)
+    added = log.read([d for d in done if d > based[-1]] + [as_of]).select(*st.CHARGING_COLUMNS)
+    return cs.next_clusters(_clusters_at(spark, cfg, based[-1]), added, since, keep)
+
+
+def kept_clusters(spark: SparkSession, as_of: dt.date, cfg: JobConfig, sessions: DataFrame) -> DataFrame:
+    """``charging_clusters`` of the run's charging state, by its cluster state."""
+    return cs.clustered_sessions(sessions, _clusters_at(spark, cfg, as_of).labels)
+
+
 def carry_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None = None) -> DataFrame:
     """Charging state after a run that takes up the open sessions of the run
     before: the sessions that ended go to the log, those still open are in the
@@ -206,6 +242,8 @@ def carry_sessions(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: d
 
 def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | None) -> dict[str, DataFrame]:
     specs = cfg.specs
+    if cfg.cluster_state and (cfg.carry_sessions or not cfg.state_buckets):
+        raise ValueError("cluster_state needs state_buckets, and open sessions, which still move, cannot be kept in it")
     tel = _telemetry(spark, cfg)
     night_root, charge_root = f"{cfg.state_root}/night", f"{cfg.state_root}/charging"
 
@@ -232,7 +270,8 @@ def _run(spark: SparkSession, as_of: dt.date, cfg: JobConfig, since: dt.date | N
         nights = pivot_top3(pos.night_cells(night_state), "night_location")
 
     last = pos.last_night(night_state, as_of)
-    places = sp.charging_places(sp.charging_clusters(charge_state))
+    clusters = kept_clusters(spark, as_of, cfg, charge_state) if cfg.cluster_state else sp.charging_clusters(charge_state)
+    places = sp.charging_places(clusters)
     charging = pivot_top3(places, "charging_location", include_visits=True)
     vehicles = rp.vendor_vehicle(last, nights, charging, specs)
 

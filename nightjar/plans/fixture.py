@@ -15,3 +15,4 @@ CARRY_RUNS = (dt.date(2024, 1, 15), dt.date(2024, 1, 16), AS_OF)   # sessions go
 BATCH_SEQ = (AS_OF - dt.date(1970, 1, 1)).days * 4_294_967_296   # ingest sequence of this run's rows
 DUPLICATE_SEQ_OFFSET = 1_000_000      # second master copy, ingested later
 STATE_BUCKETS = 8                     # files a run in the bucketed state logs
+CLUSTER_RUNS = (dt.date(2024, 1, 27), dt.date(2024, 1, 29), AS_OF)   # places come and go twice, over gaps of two days

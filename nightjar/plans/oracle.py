@@ -329,13 +329,30 @@ def q_proximity_pairs() -> str:
 FROM ppairs WHERE acell <> bcell"""
 
 
-def q_charging_clusters() -> str:
-    return with_(TEL, cstate_sql(), CLUSTER) + f"""SELECT c.vendor, c.vin, c.session_start_time, {r8('c.latitude').replace(' AS c.latitude', ' AS latitude')},
+CLUSTERED = f"""SELECT c.vendor, c.vin, c.session_start_time, {r8('c.latitude').replace(' AS c.latitude', ' AS latitude')},
        {r8('c.longitude').replace(' AS c.longitude', ' AS longitude')}, c.cluster,
        a.anc.s AS cluster_anchor_start, a.anc.v AS cluster_anchor_vin, a.cluster_sessions
 FROM clustered c JOIN anchors a USING (vendor, cluster)"""
 
 
+def q_charging_clusters() -> str:
+    return with_(TEL, cstate_sql(), CLUSTER) + CLUSTERED
+
+
+def q_charging_clusters_incremental() -> str:
+    """All clusters at once, of the sessions that the runs saw, the first run's row winning."""
+    days = fx.RETENTION_TRIAL_DAYS
+    back = [days] + [(b - a).days for a, b in zip(fx.CLUSTER_RUNS, fx.CLUSTER_RUNS[1:])]
+    runs = [sessions_sql(f"run{i}", day, n) for i, (day, n) in enumerate(zip(fx.CLUSTER_RUNS, back))]
+    seen = " UNION ALL ".join(f"SELECT vendor, vin, session_start_time, latitude, longitude, {i} AS prio FROM run{i}"
+                              for i in range(len(runs)))
+    cutoff = ((fx.AS_OF - dt.date(1970, 1, 1)).days - days) * 86400000
+    state = f"""cstate AS (SELECT vendor, vin, session_start_time, latitude, longitude FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY vendor, vin, session_start_time ORDER BY prio, latitude, longitude) AS rn
+  FROM ({seen})) WHERE rn = 1 AND session_start_time >= {cutoff})"""
+    return with_(TEL, *runs, state, CLUSTER) + CLUSTERED
+
+
 PLACES = f"""places AS (
   SELECT vendor, vin, cluster, {isum('latitude')} AS lat_i, {isum('longitude')} AS lon_i, count(*) AS n_pts,
          count(*) AS visits, min(session_start_time) AS first_visit
@@ -371,6 +388,7 @@ ORACLE: dict[str, str] = {
     "charging_sessions_carried": q_charging_sessions_carried(),
     "proximity_pairs": q_proximity_pairs(),
     "charging_clusters": q_charging_clusters(),
+    "charging_clusters_incremental": q_charging_clusters_incremental(),
     "charging_places": q_charging_places(),
 }
 

@@ -57,6 +57,21 @@ def latest_version(spark: SparkSession, root: str, as_of: dt.date) -> dt.date |
     return None
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the end under ``path``."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def drop_versions(spark: SparkSession, root: str, since: dt.date) -> None:
+    """Delete the versions of ``since`` and after."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        if status.getPath().getName() >= f"run_date={since.isoformat()}":
+            fs.delete(status.getPath(), True)
+
+
 def read_version(spark: SparkSession, root: str, as_of: dt.date, schema: T.StructType) -> DataFrame | None:
     v = latest_version(spark, root, as_of)
     if v is None:
