@@ -42,16 +42,16 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_thirty_days_equal_the_clusters_of_all_sessions(spark):
-    r, history = random.Random(11), 5
+def test_days_equal_the_clusters_of_all_sessions(spark):
+    r, history = random.Random(11), 3
     # Sites of some hundred metres, so chains form, join and fall apart.
     sites = [(12.0, 77.0), (12.02, 77.0), (60.0, 25.0), (-33.9, 18.4)]
     state, seen, split, joined = None, [], 0, 0
     before = {}
-    for day in range(30):
+    for day in range(8):
         mark = written_mark()
         new = []
-        for i in range(0 if day in (7, 8) else r.randrange(3, 9)):
+        for i in range(0 if day == 5 else r.randrange(6, 12)):
             la, lo = r.choice(sites)
             place = (round(la + r.uniform(-0.0025, 0.0025), 5), round(lo + r.uniform(-0.0025, 0.0025), 5))
             if seen and r.random() < 0.3:
@@ -69,7 +69,7 @@ def test_thirty_days_equal_the_clusters_of_all_sessions(spark):
         before = want
         state = cs.Clusters(*(spark.createDataFrame(t.collect(), t.schema) for t in (state.points, state.edges, state.labels)))
         release_written(mark)
-    assert joined > 5 and split != 0
+    assert joined > 2 and split != 0
 
 
 def test_a_lost_bridge_splits_and_a_new_one_joins(spark):
@@ -132,11 +132,11 @@ def test_job_with_reruns_and_gaps_equals_clusters_of_its_state(spark):
     tel = charges(spark, 9).cache()
     cfg = config(tempfile.mkdtemp(prefix="nightjar-clusters-"), tel, cluster_state=True, history_days=3)
     day = lambda d: dt.date(2024, 1, d)
-    for d in (4, 5, 7, 5, 9):   # a gap, a day that is run again, and a gap over the forgotten run
+    for d in (4, 6, 5, 8):   # a gap, an earlier day again, and a gap over the run that this made void
         state = add_sessions(spark, day(d), cfg)
-        got = {str(r) for r in kept_clusters(spark, day(d), cfg, state).collect()}
-        assert got and got == {str(r) for r in sp.charging_clusters(state).select(
-            *kept_clusters(spark, day(d), cfg, state).columns).collect()}, d
+        kept = kept_clusters(spark, day(d), cfg, state)
+        got = {str(r) for r in kept.collect()}
+        assert got and got == {str(r) for r in sp.charging_clusters(state).select(*kept.columns).collect()}, d
 
 
 def test_cluster_state_without_a_log_is_refused(spark):
