@@ -7,7 +7,7 @@ same code runs on a JDBC source, a lake or the test proxy.
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from typing import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,13 +27,54 @@ def json_text(doc: Column, key: str) -> Column:
     return F.get_json_object(F.coalesce(doc, F.lit("{}")), f"$.{key}")
 
 
-def _active_profiles(tables: dict, profile_type: str) -> DataFrame:
+def _active_profiles(tables: dict, profile_types: Sequence[str]) -> DataFrame:
     # ON-clause literals of a LEFT JOIN filter the right side before the join.
-    return tables["credit_profile"].where((F.col("is_active") == 1) & (F.col("profile_type") == profile_type))
-
-
-def _mapping(tables: dict, address_type: str) -> DataFrame:
-    return tables["address_mapping"].where(F.col("address_type") == address_type)
+    return tables["credit_profile"].where((F.col("is_active") == 1) & F.col("profile_type").isin(*profile_types))
+
+
+ADDRESS_FIELDS = ["address_line_1", "address_line_2", "city", "state", "pincode", "house_ownership", "residing_since",
+                  "marked_at"]
+
+
+def _located(tables: dict, address_types: Sequence[str]) -> DataFrame:
+    """Mapped addresses dealt out by loan uuid (``m_ld``): user, address type
+    and address. The mapping meets the addresses with its keys alone, and each
+    address then travels to its loan once."""
+    mp = tables["address_mapping"].where(F.col("address_type").isin(*address_types)
+                                         & F.col("loan_details_uuid").isNotNull()).select(
+        F.col("loan_details_uuid").cast("string").alias("m_ld"), F.col("user_profile_uuid").alias("m_user"),
+        F.col("address_type").alias("m_type"), F.col("address_uuid").alias("m_addr"))
+    a = tables["address"].select(F.col("uuid").alias("a_uuid"), *ADDRESS_FIELDS)
+    return mp.join(a, F.col("a_uuid") == F.col("m_addr"), "left").drop("m_addr", "a_uuid").repartition("m_ld")
+
+
+def _same(a: str, b: str) -> Column:
+    """``a = b`` as a condition beside the join key: the rows stay where the
+    key alone has dealt them."""
+    return (F.col(a) <= F.col(b)) & (F.col(a) >= F.col(b))
+
+
+def role_lists(tables: dict, roles: Mapping[str, tuple[str, str]], located: DataFrame) -> DataFrame:
+    """Per loan uuid (``cp_ld``) that has an active profile: for each name of
+    ``roles`` (profile type and address type) the list of that role's rows:
+    each active profile of the role with each of its ``located`` addresses, or
+    with none. One pass serves all roles, and no join has the NULL of loans
+    without a profile as a hot key."""
+    cp = (_active_profiles(tables, sorted({p for p, _ in roles.values()})).where(F.col("loan_details_id").isNotNull())
+          .select(F.col("loan_details_id").cast("string").alias("cp_ld"), F.col("user_profile_uuid").alias("cp_user"),
+                  F.col("profile_type").alias("cp_type"), F.col("business_stability").alias("cp_stability"))
+          .repartition("cp_ld"))
+    wanted = F.lit(None)
+    for ptype in {p for p, _ in roles.values()}:
+        wanted = F.when(F.col("cp_type") == ptype, F.array(*[
+            F.struct(F.lit(a).alias("address"), F.lit(name).alias("role"))
+            for name, (p, a) in roles.items() if p == ptype])).otherwise(wanted)
+    rows = (cp.select("cp_ld", "cp_user", "cp_stability", F.inline(wanted))
+            .join(located, (F.col("cp_ld") == F.col("m_ld")) & _same("cp_user", "m_user") & _same("address", "m_type"), "left"))
+    row = F.struct(F.col("address_line_1").alias("line_1"), F.col("address_line_2").alias("line_2"), "city", "state",
+                   "pincode", F.coalesce(month_boundaries("residing_since", "marked_at"),
+                                         F.col("cp_stability")).alias("business_stability"), "house_ownership")
+    return rows.groupBy("cp_ld").agg(*[F.collect_list(F.when(F.col("role") == r, row)).alias(r) for r in roles])
 
 
 def role_address(tables: dict, profile_type: str, address_type: str, with_stability: bool = False,
@@ -41,36 +82,48 @@ def role_address(tables: dict, profile_type: str, address_type: str, with_stabil
     """Per loan (lms_id) the address of the active profile of one role and
     one address type. Left joins throughout: every loan appears; a role
     with several mapped addresses gives several rows. ``lms`` (column
-    ``lms_id``) limits the loans.
-
-    Profile, mapping and address are joined first, on keys that are there;
-    the loans come last, on their own id. So no join has the NULL of the
-    loans without a profile as a hot key."""
-    ld = tables["loan_details"].select(F.col("uuid").alias("ld_uuid"), "lms_id")
+    ``lms_id``) limits the loans."""
+    ld = tables["loan_details"].select(F.col("uuid").cast("string").alias("ld_uuid"), "lms_id")
     if lms is not None:
         ld = ld.join(lms, "lms_id", "left_semi")
-    cp = _active_profiles(tables, profile_type).select(
-        F.col("loan_details_id").alias("cp_ld"), F.col("user_profile_uuid").alias("cp_user"),
-        F.col("business_stability").alias("cp_business_stability"))
-    mp = _mapping(tables, address_type).select(
-        F.col("loan_details_uuid").alias("m_ld"), F.col("user_profile_uuid").alias("m_user"),
-        F.col("address_uuid").alias("m_addr"))
-    a = tables["address"].select(F.col("uuid").alias("a_uuid"), "address_line_1", "address_line_2", "city",
-                                 "state", "pincode", "residing_since", "marked_at")
-    mapped = mp.join(a, F.col("a_uuid") == F.col("m_addr"), "left")
-    known = cp.join(mapped, (F.col("m_ld") == F.col("cp_ld")) & (F.col("m_user") == F.col("cp_user")), "left")
-    j = ld.join(known, F.col("ld_uuid") == F.col("cp_ld"), "left")
-    cols = [F.col("lms_id"), F.col("address_line_1").alias("line_1"), F.col("address_line_2").alias("line_2"),
-            F.col("city"), F.col("state"), F.col("pincode")]
-    if with_stability:
-        cols.append(F.coalesce(month_boundaries("residing_since", "marked_at"),
-                               F.col("cp_business_stability")).alias("business_stability"))
-    return j.select(*cols)
-
-
-def _prefixed(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.select(F.col("lms_id").alias(names.pop("lms_id", "lms_id_r")),
-                     *[F.col(k).alias(v) for k, v in names.items()])
+    lists = role_lists(tables, {"rows": (profile_type, address_type)}, _located(tables, [address_type]))
+    r = (ld.join(lists, F.col("ld_uuid") == F.col("cp_ld"), "left")
+         .select("lms_id", F.explode_outer("rows").alias("r")))
+    cols = ["line_1", "line_2", "city", "state", "pincode"] + (["business_stability"] if with_stability else [])
+    return r.select("lms_id", *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
+#: Roles whose addresses stand in the profile, and their columns.
+ROLES = {
+    "b": ("APPLICANT", "OFFICE"), "p": ("APPLICANT", "PERMANENT_RESIDENCE"),
+    "g": ("GURANTOR", "CURRENT_RESIDENCE"), "c": ("CO_APPLICANT", "CURRENT_RESIDENCE"),
+}
+ROLE_COLUMNS = [
+    ("p", "line_1", "permanent_address_1"), ("p", "line_2", "permanent_address_2"), ("p", "city", "peramanent_address_city"),
+    ("p", "state", "peramanent_address_state"), ("p", "pincode", "permanant_pincode"),
+    ("b", "line_1", "bussiness_address_1"), ("b", "line_2", "bussiness_address_2"), ("b", "city", "bussiness_address_city"),
+    ("b", "state", "business_address_state"),
+    ("c", "line_1", "co_app_address_1"), ("c", "line_2", "co_app_address_2"), ("c", "pincode", "co_app_pincode"),
+    ("g", "line_1", "gurantor_address_1"), ("g", "line_2", "gurantor_address_2"), ("g", "pincode", "gurantor_pincode"),
+]
+
+
+def _keys(ld: DataFrame, own: str) -> DataFrame:
+    """Distinct loan keys with ``own``, a column of the loans by which a
+    branch is found, dealt out by it."""
+    return (ld.where(F.col(own).isNotNull()).select(F.col("_loan").alias(f"_{own}_loan"), F.col(own).alias(f"_{own}"))
+            .repartition(f"_{own}").distinct())
+
+
+def _only_loans(tables: dict, ld: DataFrame) -> dict:
+    """The tables with the rows by loan of ``ld`` and of loans that share an
+    lms_id with one of these, so that the others are not carried along."""
+    own = tables["loan_details"].join(ld.select("lms_id"), "lms_id", "left_semi")
+    ids = own.select(F.col("uuid").alias("_id")).unionByName(ld.select(F.col("uuid").alias("_id")))
+    of = lambda name, c: tables[name].join(ids, F.col(c) == F.col("_id"), "left_semi")
+    return {**tables, "loan_details": own, "credit_profile": of("credit_profile", "loan_details_id"),
+            "address_mapping": of("address_mapping", "loan_details_uuid"),
+            "disbursal_details": of("disbursal_details", "loan_details_uuid")}
 
 
 def loan_profile(tables: dict, loans: DataFrame | None = None) -> DataFrame:
@@ -79,17 +132,21 @@ def loan_profile(tables: dict, loans: DataFrame | None = None) -> DataFrame:
     limits the loans before any other join.
 
     The branches (booking with vehicle and dealer; applicant profile with
-    report, user and address; each role) are joined from their far side, on
-    keys that are there, and meet the loans last, one left join each. Loans
-    without a branch so never share a NULL join key."""
+    report, user and address; the roles) are joined from their far side, on
+    keys that are there, and all meet the loans by the loan's key. A branch
+    that hangs on another column gets that key from the loans' keys alone, so
+    the wide rows are dealt out once. Texts are taken out of the JSON documents
+    before these travel."""
     ld = tables["loan_details"].where(F.col("loan_status").isin(*LOAN_STATUSES))
     if loans is not None:
         ld = ld.join(loans.select(F.col("loan_no").alias("w_loan_no")).distinct(),
                      F.col("loan_reference_id") == F.col("w_loan_no"), "left_semi")
-    lms = ld.select("lms_id").distinct() if loans is not None else None
-    t = lambda name, prefix: tables[name].select(
-        *[F.col(c).alias(f"{prefix}_{c}") for c in tables[name].columns])
-    ld = ld.select(*[F.col(c).alias(f"ld_{c}") for c in ld.columns])
+        tables = _only_loans(tables, ld)
+    # A loan without an id has a key of its own (no id starts with a NUL).
+    dates = ("decision_date", "loan_start_date", "dp_date")
+    ld = ld.select(*[(ist_date(c) if c in dates else F.col(c)).alias(f"ld_{c}") for c in ld.columns]).withColumn("_loan", F.coalesce(
+        F.col("ld_uuid").cast("string"),
+        F.concat(F.lit("\0"), F.xxhash64("ld_vehicle_booking_id", "ld_lms_id").cast("string"))))
 
     dealers = (tables["dealerships"].select(F.col("uuid").alias("ds_uuid"), F.col("full_name").alias("ds_full_name"),
                                             F.col("city_uuid").alias("ds_city_uuid"))
@@ -98,95 +155,104 @@ def loan_profile(tables: dict, loans: DataFrame | None = None) -> DataFrame:
                      F.col("ct_uuid") == F.col("ds_city_uuid"), "left")
                .join(tables["states"].select(F.col("uuid").alias("st_uuid"), F.col("name").alias("st_name")),
                      F.col("ct_state_uuid") == F.col("st_uuid"), "left"))
+    t = lambda name, prefix: tables[name].select(
+        *[F.col(c).alias(f"{prefix}_{c}") for c in tables[name].columns])
     vehicles = t("vehicles", "v").join(
         tables["oems"].select(F.col("uuid").alias("oe_uuid"), F.col("name").alias("oe_name")),
         F.col("oe_uuid") == F.col("v_oem_uuid"), "left")
-    # RIGHT JOIN keeping every loan == loans LEFT JOIN bookings.
-    booked = (tables["orders"].select(F.col("ref_id").alias("o_ref_id"))
-              .join(t("vehicle_bookings", "vb"), F.col("o_ref_id") == F.col("vb_ref_id"), "inner")
+    # RIGHT JOIN keeping every loan == loans LEFT JOIN bookings. Bookings of
+    # other loans go first; the widest table comes last.
+    booked = (_keys(ld, "ld_vehicle_booking_id")
+              .join(t("vehicle_bookings", "vb"), F.col("_ld_vehicle_booking_id") == F.col("vb_uuid"), "inner")
+              .join(tables["orders"].select(F.col("ref_id").alias("o_ref_id")),
+                    F.col("o_ref_id") == F.col("vb_ref_id"), "inner")
               .join(tables["vehicle_details"].select(F.col("uuid").alias("vd_uuid"), F.col("vin").alias("vd_vin")),
                     F.col("vd_uuid") == F.col("vb_vehicle_details_uuid"), "left")
-              .join(vehicles, F.col("v_uuid") == F.col("vb_vehicle_uuid"), "left")
-              .join(dealers, F.col("ds_uuid") == F.col("vb_dealership_uuid"), "left"))
-
-    cp = _active_profiles(tables, "APPLICANT")
-    cp = cp.select(*[F.col(c).alias(f"cp_{c}") for c in cp.columns])
-    mapped = (_mapping(tables, "CURRENT_RESIDENCE").select(
-        F.col("loan_details_uuid").alias("m_ld"), F.col("user_profile_uuid").alias("m_user"),
-        F.col("address_uuid").alias("m_addr"))
-        .join(t("address", "a"), F.col("a_uuid") == F.col("m_addr"), "left"))
-    applicant = (cp.join(tables["credit_report"].select(F.col("credit_profile_id").alias("cr_cp"),
-                                                        F.col("credit_report_extra").alias("cr_extra"),
-                                                        F.col("created_at").alias("cr_created_at")),
-                         F.col("cp_uuid") == F.col("cr_cp"), "left")
-                 .join(t("user_profiles", "eu"), F.col("eu_uuid") == F.col("cp_user_profile_uuid"), "left")
-                 .join(mapped, (F.col("m_ld") == F.col("cp_loan_details_id"))
-                       & (F.col("m_user") == F.col("cp_user_profile_uuid")), "left"))
+              .join(dealers, F.col("ds_uuid") == F.col("vb_dealership_uuid"), "left")
+              .join(vehicles, F.col("v_uuid") == F.col("vb_vehicle_uuid"), "left"))
+
+    details, score = F.col("credit_profile_additional_details"), json_text(F.col("credit_report_extra"), "score")
+    cp = _active_profiles(tables, ["APPLICANT"]).where(F.col("loan_details_id").isNotNull()).select(
+        F.col("loan_details_id").cast("string").alias("cp_ld"), F.col("user_profile_uuid").alias("cp_user"),
+        F.when(F.col("profile_type") == "APPLICANT", "CURRENT_RESIDENCE").alias("cp_home"),
+        F.col("uuid").alias("cp_uuid"), F.col("is_ntc").alias("cp_is_ntc"), F.col("monthly_income").alias("cp_monthly_income"),
+        F.col("residence_stability").alias("cp_residence_stability"),
+        *[json_text(details, key).alias(f"cp_{key}") for key in ("displayName", "abbValue", "abcValue", "scheme", "segment")])
+    report = tables["credit_report"].select(F.col("credit_profile_id").alias("cr_cp"), score.cast("string").alias("cr_score"),
+                                            ist_date("created_at").alias("cr_date"))
+    user = tables["user_profiles"].select(F.col("uuid").alias("eu_uuid"), F.col("name").alias("eu_name"),
+                                          F.col("gender").alias("eu_gender"), F.col("use_case").alias("eu_use_case"),
+                                          F.col("dob").alias("eu_dob"),
+                                          json_text(F.col("profile_info"), "occupation").alias("eu_occupation"))
+    located = _located(tables, sorted({"CURRENT_RESIDENCE"} | {a for _, a in ROLES.values()}))
+    applicant = (cp.join(report, F.col("cp_uuid") == F.col("cr_cp"), "left")
+                   .join(user, F.col("eu_uuid") == F.col("cp_user"), "left")
+                   .join(located, (F.col("cp_ld") == F.col("m_ld")) & _same("cp_user", "m_user")
+                         & _same("cp_home", "m_type"), "left"))
+
+    # Roles hang on lms_id. A loan that has its lms_id alone gets them by its own
+    # id; only those of loans that share one are brought together by it.
+    shared = tables["loan_details"].where(F.col("lms_id").isNotNull()).groupBy("lms_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lms_id")
+    lists = role_lists(tables, ROLES, located)
+    rows = lambda r: F.when(F.size(r) > 0, F.col(r)).otherwise(  # noqa: E731  a loan without rows counts as one
+        F.array(F.lit(None).cast(lists.schema[r].dataType.elementType)))
+    together = (tables["loan_details"].select(F.col("uuid").cast("string").alias("ld_uuid"), "lms_id")
+                .join(shared, "lms_id", "left_semi").join(lists, F.col("ld_uuid") == F.col("cp_ld"), "left")
+                .select("lms_id", *[rows(r).alias(r) for r in ROLES]).groupBy("lms_id")
+                .agg(*[F.flatten(F.collect_list(r)).alias(f"{r}_shared") for r in ROLES]))
+    together = _keys(ld, "ld_lms_id").join(together, F.col("_ld_lms_id") == F.col("lms_id"), "inner").drop("lms_id")
 
     lp = tables["loan_provider"].select(F.col("uuid").alias("lp_uuid"), F.col("name").alias("lp_name"))
-    j = (ld.join(booked, F.col("ld_vehicle_booking_id") == F.col("vb_uuid"), "left")
-           .join(applicant, F.col("ld_uuid") == F.col("cp_loan_details_id"), "left")
-           .join(lp, F.col("lp_uuid") == F.col("ld_loan_provider"), "left")
-           .join(t("disbursal_details", "dd"), F.col("ld_uuid") == F.col("dd_loan_details_uuid"), "left"))
-
-    roles = [
-        ("APPLICANT", "OFFICE", True, {"lms_id": "b_lms", "line_1": "bussiness_address_1", "line_2": "bussiness_address_2",
-                                        "city": "bussiness_address_city", "state": "business_address_state",
-                                        "pincode": "business_pincode", "business_stability": "business_stability"}),
-        ("APPLICANT", "PERMANENT_RESIDENCE", False, {"lms_id": "p_lms", "line_1": "permanent_address_1",
-                                                     "line_2": "permanent_address_2", "city": "peramanent_address_city",
-                                                     "state": "peramanent_address_state", "pincode": "permanant_pincode"}),
-        ("GURANTOR", "CURRENT_RESIDENCE", False, {"lms_id": "g_lms", "line_1": "gurantor_address_1",
-                                                  "line_2": "gurantor_address_2", "city": "gurantor_address_city",
-                                                  "state": "gurantor_address_state", "pincode": "gurantor_pincode"}),
-        ("CO_APPLICANT", "CURRENT_RESIDENCE", False, {"lms_id": "c_lms", "line_1": "co_app_address_1",
-                                                      "line_2": "co_app_address_2", "city": "co_app_address_city",
-                                                      "state": "co_app_address_state", "pincode": "co_app_pincode"}),
-    ]
-    for ptype, atype, stab, names in roles:
-        key = names["lms_id"]
-        r = _prefixed(role_address(tables, ptype, atype, stab, lms), dict(names))
-        j = j.join(r, F.col(key) == F.col("ld_lms_id"), "left")
-
-    details = F.col("cp_credit_profile_additional_details")
+    dd = tables["disbursal_details"].where(F.col("loan_details_uuid").isNotNull()).select(
+        F.col("loan_details_uuid").cast("string").alias("dd_ld"), "down_payment", "pre_emi_amount", "emi_amount",
+        "utr_reference", ist_date("pre_emi_date").alias("pre_emi_date"), ist_date("emi_start_date").alias("emi_start_date"))
+    j = (ld.join(lp, F.col("lp_uuid") == F.col("ld_loan_provider"), "left")
+           .join(lists, F.col("_loan") == F.col("cp_ld"), "left")
+           .join(together, (F.col("_loan") == F.col("_ld_lms_id_loan")) & _same("ld_lms_id", "_ld_lms_id"), "left"))
+    for r in ROLES:
+        own = F.when(F.col("ld_lms_id").isNotNull(), F.col(r))
+        j = j.withColumn(r, F.explode_outer(F.coalesce(F.col(f"{r}_shared"), own)))
+    j = j.select("_loan", "lp_name", *ld.drop("_loan").columns, F.col("b.business_stability").alias("business_stability"),
+                 *[F.col(f"{role}.{field}").alias(name) for role, field, name in ROLE_COLUMNS])
+    j = (j.join(dd, F.col("_loan") == F.col("dd_ld"), "left")
+          .join(booked, (F.col("_loan") == F.col("_ld_vehicle_booking_id_loan"))
+                & _same("ld_vehicle_booking_id", "_ld_vehicle_booking_id"), "left")
+          .join(applicant, F.col("_loan") == F.col("cp_ld"), "left"))
+
     return j.select(
         F.col("ld_lms_id").alias("lms_id"),
         F.col("o_ref_id").alias("order_id"),
-        F.coalesce(F.col("eu_name"), json_text(details, "displayName")).alias("customer_name"),
+        F.coalesce(F.col("eu_name"), F.col("cp_displayName")).alias("customer_name"),
         F.col("eu_gender").alias("gender"),
         F.col("ld_assigned_to").alias("assigned_to"),
         F.when(F.col("cp_is_ntc") == 1, F.lit("NTC"))
-         .otherwise(json_text(F.col("cr_extra"), "score").cast("string")).alias("bureau"),
-        json_text(details, "abbValue").alias("abb_value"),
-        json_text(details, "abcValue").alias("abc_value"),
+         .otherwise(F.col("cr_score")).alias("bureau"),
+        F.col("cp_abbValue").alias("abb_value"),
+        F.col("cp_abcValue").alias("abc_value"),
         F.col("ld_loan_applicant_type").alias("constitution"),
-        json_text(details, "scheme").alias("scheme"),
-        json_text(details, "segment").alias("customer_segment"),
-        json_text(F.col("eu_profile_info"), "occupation").alias("occupation"),
+        F.col("cp_scheme").alias("scheme"),
+        F.col("cp_segment").alias("customer_segment"),
+        F.col("eu_occupation").alias("occupation"),
         F.col("eu_use_case").alias("use_case_1"),
         F.col("cp_monthly_income").alias("monthly_income"),
         F.when(F.col("ld_co_applicant_added") == 1, F.lit("Available"))
          .when(F.coalesce(F.col("ld_co_applicant_added") != 0, F.lit(False)), F.lit("NA"))
          .otherwise(F.lit("Unknown")).alias("co_applicant_availability"),
         F.col("eu_dob").alias("dob"),
-        F.coalesce(month_boundaries("a_residing_since", "a_marked_at"),
+        F.coalesce(month_boundaries("residing_since", "marked_at"),
                    F.col("cp_residence_stability")).alias("residence_stability"),
-        F.col("business_stability"),
+        "business_stability",
         F.col("vb_source").alias("source"),
         F.col("ld_loan_reference_id").alias("loan_no"),
         F.col("ld_loan_status").alias("loan_status"),
         F.col("lp_name").alias("nbfc"),
-        F.col("a_house_ownership").alias("house_ownership"),
-        F.col("a_address_line_1").alias("current_address1"),
-        F.col("a_address_line_2").alias("current_address2"),
-        F.col("a_city").alias("current_city"),
-        F.col("a_state").alias("current_state"),
-        F.col("a_pincode").alias("curr_pincode"),
-        "permanent_address_1", "permanent_address_2", "peramanent_address_city", "peramanent_address_state",
-        "permanant_pincode",
-        "bussiness_address_1", "bussiness_address_2", "bussiness_address_city", "business_address_state",
-        "co_app_address_1", "co_app_address_2", "co_app_pincode",
-        "gurantor_address_1", "gurantor_address_2", "gurantor_pincode",
+        F.col("house_ownership").alias("house_ownership"),
+        F.col("address_line_1").alias("current_address1"),
+        F.col("address_line_2").alias("current_address2"),
+        F.col("city").alias("current_city"),
+        F.col("state").alias("current_state"),
+        F.col("pincode").alias("curr_pincode"),
+        *[name for _, _, name in ROLE_COLUMNS],
         F.col("oe_name").alias("oem_name"),
         F.col("v_name").alias("vehicle_name"),
         F.col("v_model").alias("vehicle_model"),
@@ -198,16 +264,16 @@ def loan_profile(tables: dict, loans: DataFrame | None = None) -> DataFrame:
         F.col("vd_vin").alias("vin"),
         F.col("ds_full_name").alias("dealership_name"),
         F.col("ld_on_road_price").alias("on_road_price"),
-        ist_date("cr_created_at").alias("soft_check_date"),
-        ist_date("ld_decision_date").alias("loan_approval_date"),
-        ist_date("ld_loan_start_date").alias("disbursal_date"),
-        ist_date("ld_dp_date").alias("downpayment_date"),
-        ist_date("dd_pre_emi_date").alias("pre_emi_date"),
-        ist_date("dd_emi_start_date").alias("emi_start_date"),
-        F.col("dd_down_payment").alias("downpayment"),
-        F.col("dd_pre_emi_amount").alias("pre_emi_amount"),
-        F.col("dd_emi_amount").alias("emi_amount"),
-        F.col("dd_utr_reference").alias("utr_reference"),
+        F.col("cr_date").alias("soft_check_date"),
+        F.col("ld_decision_date").alias("loan_approval_date"),
+        F.col("ld_loan_start_date").alias("disbursal_date"),
+        F.col("ld_dp_date").alias("downpayment_date"),
+        F.col("pre_emi_date"),
+        F.col("emi_start_date"),
+        F.col("down_payment").alias("downpayment"),
+        F.col("pre_emi_amount"),
+        F.col("emi_amount"),
+        F.col("utr_reference"),
         F.col("ld_loan_amount").alias("loan_amount"),
         F.col("ld_duration_in_months").alias("tenure"),
         F.col("ld_interest_rate").alias("rate_of_interest"),

@@ -179,15 +179,13 @@ def loan_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("o_totalprice") * F.lit(0.01)).alias("pre_emi_amount"),
         (F.col("o_totalprice") * F.lit(0.05)).alias("emi_amount"),
         _s("UTR", "o_orderkey").alias("utr_reference"))
-    m1 = oc.select(_s("LD", "o_orderkey").alias("loan_details_uuid"), _s("U", "c_custkey").alias("user_profile_uuid"),
-                   F.lit("CURRENT_RESIDENCE").alias("address_type"), _s("AC", "c_custkey").alias("address_uuid"))
-    m2 = oc.select(_s("LD", "o_orderkey").alias("loan_details_uuid"), _s("U", "c_custkey").alias("user_profile_uuid"),
-                   F.when(F.col("c_custkey") % 3 == 1, "OFFICE").otherwise("PERMANENT_RESIDENCE").alias("address_type"),
-                   _s("AP", "c_custkey").alias("address_uuid"))
-    m3 = oc.where(F.col("c_custkey") % 10 == 9).select(
+    mapped = lambda kind, tag: F.struct(kind.alias("address_type"), _s(tag, "c_custkey").alias("address_uuid"))
+    two = [mapped(F.lit("CURRENT_RESIDENCE"), "AC"),
+           mapped(F.when(F.col("c_custkey") % 3 == 1, "OFFICE").otherwise("PERMANENT_RESIDENCE"), "AP")]
+    out["address_mapping"] = oc.select(
         _s("LD", "o_orderkey").alias("loan_details_uuid"), _s("U", "c_custkey").alias("user_profile_uuid"),
-        F.lit("CURRENT_RESIDENCE").alias("address_type"), _s("AX", "c_custkey").alias("address_uuid"))
-    out["address_mapping"] = m1.unionByName(m2).unionByName(m3)
+        F.inline(F.when(F.col("c_custkey") % 10 == 9, F.array(*two, mapped(F.lit("CURRENT_RESIDENCE"), "AX")))
+                 .otherwise(F.array(*two))))
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") == r["r_regionkey"])
     lines = cn.select("*", F.inline(F.array(*[
         F.struct(_s(tag, "c_custkey").alias("uuid"), F.concat(F.lit(word), F.col("c_name")).alias("address_line_1"))
