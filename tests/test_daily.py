@@ -80,3 +80,16 @@ def test_report_csv_round_trip_and_master_column_check(spark):
     spark.createDataFrame([("1", "L1")], "vin string, loan_no string").write.parquet(f"{root}/bad")
     with pytest.raises(ValueError):
         io.read_master(spark, f"{root}/bad")
+
+
+def test_an_instant_is_worked_out_once_a_row(spark):
+    """Filters and columns made of ``eventat`` share one computation; before,
+    each had its own copy of the expression."""
+    from nightjar.operators import charging as ch
+    from nightjar.sources import proxy
+    from nightjar.sources.vendors import PROXY_VENDORS
+
+    events = spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    t = proxy.telemetry_proxy(events).where(ch.charging_scan_filter(PROXY_VENDORS, dt.date(2024, 1, 31), 60))
+    plan = ch.charging_candidates(t, PROXY_VENDORS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("secondwithfraction") + plan.lower().count("extract(second") == 1
