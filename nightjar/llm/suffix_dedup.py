@@ -281,9 +281,9 @@ def _counted_repeats(contexts: DataFrame, size: int) -> DataFrame:
                 start = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 at = b.offsets[row] + start
                 digest = mix((acc[at + size] - acc[at]) * inv[at])
-                part = batch.slice(b.lo, b.hi - b.lo).take(pa.array(row))
+                own = pa.array(b.lo + row)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array((x[row] - start).astype(np.int32)),
+                    [batch.column(0).take(own), batch.column(1).take(own), pa.array((x[row] - start).astype(np.int32)),
                      pa.array(signed(digest))], names=["key", "ctx", "left", "digest"])
 
     each = contexts.mapInArrow(strings_of, "key long, ctx long, left int, digest long")

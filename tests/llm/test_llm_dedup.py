@@ -188,6 +188,34 @@ def test_suffix_repeats_of_crowded_keys(spark, group):
     assert {d: len(got.get(d, ())) for d, _ in docs} == {d: want[d][1] for d, _ in docs}
 
 
+def test_suffix_counts_contexts_that_cut_characters(spark):
+    """Contexts of crowded keys begin and end inside characters too."""
+    r = random.Random(8)
+    make = lambda n: "".join(r.choice("aeäöüßéñ€😀 ") for _ in range(n))
+    p = make(160)
+    docs = [(i, make(r.randint(0, 90)) + p[r.randint(0, 25):160 - r.randint(0, 25)] + make(40)) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute.suffix(docs)
+    for group in (2, suf.GROUP):
+        got = {}
+        for s in suf.repeats(frame, group=group).collect():
+            got.setdefault(s.doc_id, set()).update(range(s.start, s.end))
+        assert {d: len(got.get(d, ())) for d, _ in docs} == {d: want[d][1] for d, _ in docs}
+
+
+def test_blocks_take_strings_and_bytes():
+    import pyarrow as pa
+
+    from nightjar.llm.textbytes import blocks
+
+    rows = ["é€", None, "", "😀a"]
+    cut = [None if x is None else x.encode()[1:] for x in rows]
+    for column in (pa.array(rows), pa.array(rows, pa.large_string()), pa.array(cut, pa.binary())):
+        want = [(x if isinstance(x, bytes) else x.encode()) if x is not None else b"" for x in column.to_pylist()]
+        for size in (1, 100):
+            assert [b.text(i) for b in blocks(column, size) for i in range(b.hi - b.lo)] == want
+
+
 @pytest.mark.parametrize("capacity", [suf.CAPACITY, 0])
 def test_suffix_keeps_groups_whole_beside_crowded_keys(spark, monkeypatch, capacity):
     """Keys with few contexts are not split over tasks when others are
